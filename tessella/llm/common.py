@@ -45,6 +45,14 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of :func:`stored` that no later step reads."""
     for df in tables:

@@ -6,13 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, simhash
+from pyspark.sql import functions as F
+
+from . import langid, quality, simhash, toxicity
+from .common import bucket
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    held_out = bucket(F.col("doc_id"), 5) == 0
+    rows = langid.training_rows(docs, "doc_id", "text", "lang", ~held_out, langid.MAX_TRAIN_ROWS)
+    return langid.identify(docs, langid.fit(rows), carry=(("held_out", held_out),))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
@@ -21,9 +31,19 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_documents(spark, sf_dir))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = bucket(F.col("doc_id"), 4) == 2
+    rows = toxicity.training_docs(docs, labels, "doc_id", "text", "toxic", ~held_out, toxicity.MAX_TRAIN_DOCS)
+    return toxicity.assess(docs, toxicity.fit(rows), carry=(("held_out", held_out),))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
     "op3_simhash": op3_simhash,
     "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import gathered, raw, slices, stored
+from .common import fresh, gathered, raw, slices, stored
 from .components import components
 
 SHINGLE = 3
@@ -159,9 +159,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows that repeat the id of the document that stays are reduced to one of them; only those go through
     a second shuffle.  Rows without an id cannot be told apart and stay.
     """
-    found = near_duplicates(docs, id_col, text_col, **options)
-    heads = found.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("_head")).agg(F.count("*").alias("_rows"))
-    kept = docs.join(heads, F.col(id_col) == F.col("_head"), "inner")
-    once = kept.where("_rows = 1").select(*docs.columns)
-    repeated = kept.where("_rows > 1").select(*docs.columns).dropDuplicates([id_col])
+    head, rows = fresh(docs, "head"), fresh(docs, "rows")
+    found = near_duplicates(docs, id_col, text_col, **options).select(F.col(id_col).alias("id"), "component_id")
+    heads = found.where("id = component_id").groupBy(F.col("id").alias(head)).agg(F.count("*").alias(rows))
+    kept = docs.join(heads, docs[id_col] == heads[head], "inner")
+    once = kept.where(F.col(rows) == 1).select(*docs.columns)
+    repeated = kept.where(F.col(rows) > 1).select(*docs.columns).dropDuplicates([id_col])
     return once.unionByName(repeated).unionByName(docs.where(F.col(id_col).isNull()))
