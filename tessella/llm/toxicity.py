@@ -35,8 +35,8 @@ def features(word: bytes) -> list[int]:
 
 
 def sentences(text: bytes) -> list[list[bytes]]:
-    """The words of each sentence, lower-cased; sentences without words are left out."""
-    return [w for w in map(bytes.split, SENTENCE.split(text.lower())) if w]
+    """The distinct words of each sentence, lower-cased; sentences without words are left out."""
+    return [list(dict.fromkeys(w)) for w in map(bytes.split, SENTENCE.split(text.lower())) if w]
 
 
 class Model:
