@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import langid, quality, simhash, topk, toxicity
+from . import langid, quality, simhash, topk, toxicity, urls
 from .common import bucket
 
 
@@ -23,6 +23,10 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(rows), carry=(("held_out", held_out),))
 
 
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
@@ -46,6 +50,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op2_urls": op2_urls,
     "op3_simhash": op3_simhash,
     "op4_topk": op4_topk,
     "op6_quality": op6_quality,
