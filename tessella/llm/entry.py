@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import langid, quality, simhash, topk, toxicity, urls
+from . import langid, mixing, packing, quality, simhash, topk, toxicity, urls
 from .common import bucket
 
 
@@ -48,13 +48,25 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.assess(docs, toxicity.fit(rows), carry=(("held_out", held_out),))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return packing.pack(docs).select("doc_id", "n_tokens", "bucket", "bucket_len", "shard", "batch", "batch_id")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return mixing.mix(docs).select("doc_id", "source", "lang", "topic", "weight", "probability", "selected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_urls": op2_urls,
     "op3_simhash": op3_simhash,
     "op4_topk": op4_topk,
+    "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {
