@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, quality, simhash, topk, toxicity, urls
+from . import langid, mixing, packing, pii, quality, simhash, topk, toxicity, urls
 from .common import bucket
 
 
@@ -53,6 +53,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs).select("doc_id", "n_tokens", "bucket", "bucket_len", "shard", "batch", "batch_id")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return mixing.mix(docs).select("doc_id", "source", "lang", "topic", "weight", "probability", "selected")
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_pii": op8_pii,
     "op10_mixing": op10_mixing,
 }
 
