@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, pii, quality, simhash, topk, toxicity, urls
+from . import langid, lm, mixing, packing, pii, quality, simhash, topk, toxicity, urls
 from .common import bucket
 
 
@@ -57,6 +57,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_documents(spark, sf_dir))
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_documents(spark, sf_dir), bucket(F.col("doc_id"), 7) == 2)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return mixing.mix(docs).select("doc_id", "source", "lang", "topic", "weight", "probability", "selected")
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
+    "op9_lm": op9_lm,
     "op10_mixing": op10_mixing,
 }
 
