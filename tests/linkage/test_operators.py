@@ -46,7 +46,7 @@ def test_resolver_is_the_greedy_one(spark):
 def test_selection(spark):
     df = spark.createDataFrame([("a", "x", 0.9), ("a", "y", 0.65), ("a", "z", 0.62), ("b", "x", 0.67), ("c", "x", 0.68)] + [("d", f"{i:02}", 0.9) for i in range(20)], CLAIM)
     got = sorted((r.s1_id, r.cand_id) for r in select.select_matches(df, Rule(single=0.68, match=0.60, share=0.70)).collect())
-    assert got == [("a", "x"), ("a", "y")] [:2] + [("c", "x")] + [("d", f"{i:02}") for i in range(12)]
+    assert got == [("a", "x"), ("a", "y"), ("c", "x")] + [("d", f"{i:02}") for i in range(12)]
 
 
 def test_prune_boundaries(spark):
@@ -58,7 +58,7 @@ def test_prune_boundaries(spark):
 
 def test_f05(spark):
     cases = [(3, 2, 2, 5 / 7), (0, 0, 0, 1), (0, 0, 1, 0), (1, 0, 0, 0), (2, 1, 1, 0.5556), (2, 0, 2, 0)]
-    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, p int, h int, t int, want double")
+    df = spark.createDataFrame([(i, *map(float, c)) for i, c in enumerate(cases)], "i int, p double, h double, t double, want double")
     for r in df.select("want", metrics.f05(F.col("p"), F.col("h"), F.col("t")).alias("got")).collect():
         assert r.got == pytest.approx(r.want, abs=1e-4)
 
@@ -69,7 +69,7 @@ def records(spark, *rows):
 
 def test_features_of_an_identical_pair(spark):
     q = records(spark, ("S1-1", "Alpha Zylker Ltd", "12 Main St 94016", "US"))
-    r = records(spark, ("S3-1", "Alpha Zylker Ltd", "12 Main St 94016", "US"), ("S2-9", "Alpha Group", "", "US"))
+    r = records(spark, ("S3-1", "Alpha Zylker Ltd", "12 Main St 94016", "US"), ("S2-9", "Alpha Zylker Group", "", "US"))
     cfg = Config(df_frac=1.0)
     found = retrieve.context(linkage.candidates(q, r, cfg))
     idf, total = pairs.name_idf(q.unionByName(r))
@@ -78,7 +78,7 @@ def test_features_of_an_identical_pair(spark):
     assert len(pairs.FEATURES) == 42 and all(f in same for f in pairs.FEATURES)
     assert all(same[f] == 1 for f in ("name_ratio", "core_jaro", "addr_ratio", "long_num_exact", "addr_housenum_exact", "name_idf_soft_jaccard", "is_s3", "postcode_delta"))
     assert same.ret_score == pytest.approx(1) and same.ret_rank == 1
-    assert rows["S2-9"].addr_empty_cand == 1 and 0 < rows["S2-9"].name_idf_soft_jaccard < 0.5
+    assert rows["S2-9"].addr_empty_cand == 1 and 0 < rows["S2-9"].name_idf_soft_jaccard < 1
 
 
 def test_soft_jaccard_literal(spark):
