@@ -214,8 +214,8 @@ def fit(rows: DataFrame, families: dict[str, tuple[str, ...]] = FAMILIES) -> Mod
             yield pa.RecordBatch.from_arrays([pa.array(vectors, pa.binary()), part.column(1)], names=["vector", "lang"])
 
     found = sorted((r.lang, bytes(r.vector)) for r in rows.select("text", "lang").mapInArrow(run, "vector binary, lang string").collect())
-    x = np.array([np.frombuffer(v, np.float32) for _, v in found], np.float32).reshape(len(found), -1)
-    return Model(x if len(found) else np.zeros((0, DIM), np.float32), [c for c, _ in found], families)
+    x = np.array([np.frombuffer(v, np.float32) for _, v in found], np.float32).reshape(len(found), DIM)
+    return Model(x, [c for c, _ in found], families)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[tuple[str, Column], ...] = ()) -> DataFrame:
