@@ -129,7 +129,7 @@ def _entity(name: str, predicted: str) -> str:
 ), {name} AS (SELECT *, {_f05("n_pred", "n_hit", "n_true")} AS f05 FROM {name}_n)"""
 
 
-_RULES = ", ".join(f"({i}, {a}, {b}, {c})" for i, (a, b, c) in enumerate(product(*GRID)))
+_RULES = ", ".join(f"({i}, {a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for i, (a, b, c) in enumerate(product(*GRID)))
 _GRID = f"""{PRUNED}, rules(rule, single, "match", share) AS (VALUES {_RULES}), places AS (
   SELECT *, max(prob) OVER (PARTITION BY s1_id) AS best, row_number() OVER (PARTITION BY s1_id ORDER BY prob DESC, cand_id) AS place FROM scored
 ), flagged AS (
