@@ -57,7 +57,8 @@ def link(queries: DataFrame, records: DataFrame, models, cfg: Config, names=pair
     Records whose country is not in the index, or without candidates, have no pair; writers add their
     empty lists from source 1.
     """
-    q, r = blocking.views(queries), blocking.views(records)
+    # Normalised once for each record; the index, retrieval and both sides of the features read it.
+    q, r = blocking.views(queries).persist(), blocking.views(records).persist()
     scored = model.predict(pair_features(q, r, cfg), models, names)
     return scored, select.resolve_one_to_one(select.select_matches(scored, cfg.rule))
 

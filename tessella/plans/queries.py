@@ -22,19 +22,16 @@ SWEEP = [Prune(floor_confident=a, floor=b, cap_confident=c, cap=d) for a, b, c,
 
 
 class View:
-    """The linkage view of one data folder, with normalised queries and records."""
+    """The linkage view of one data folder, with normalised queries and records.
+
+    Most plans read the normalised records several times, so they are persisted (memory, then disk).
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.all = linkage.document_view(spark, sf_dir)
         self.one, self.rest, self.truth = linkage.split_view(self.all)
-
-    @property
-    def q(self) -> DataFrame:
-        return blocking.views(self.one)
-
-    @property
-    def r(self) -> DataFrame:
-        return blocking.views(self.rest)
+        self.viewed = blocking.views(self.all).persist()
+        self.q, self.r = (self.viewed.where(c) for c in ("entity_id like 'S1-%'", "entity_id not like 'S1-%'"))
 
     @property
     def entities(self) -> DataFrame:
@@ -55,7 +52,7 @@ def _round(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = blocking.views(View(spark, sf_dir).all)
+    v = View(spark, sf_dir).viewed
     return v.select(
         "entity_id", "name_raw", "name_core", "name_skeleton", F.array_join("address_tokens", " ").alias("address_words"),
         F.array_join("address_numbers", " ").alias("numbers"), F.array_join(T.number_pairs_of(F.col("address_tokens")), " ").alias("number_pairs"),
@@ -98,7 +95,7 @@ def candidate_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def name_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = View(spark, sf_dir)
-    return _round(pairs.name_idf(v.q.unionByName(v.r))[0], "idf")
+    return _round(pairs.name_idf(v.viewed)[0], "idf")
 
 
 def _true_pairs(v: View) -> DataFrame:
@@ -113,7 +110,7 @@ def set_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def soft_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = View(spark, sf_dir)
-    idf, total = pairs.name_idf(v.q.unionByName(v.r))
+    idf, total = pairs.name_idf(v.viewed)
     found = pairs.attach(retrieve.prune(v.found()).select("s1_id", "cand_id"), v.q, v.r)
     return _round(pairs.soft_jaccard(found, idf, total), "name_idf_soft_jaccard")
 
