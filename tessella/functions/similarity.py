@@ -150,11 +150,18 @@ COLUMNS = (
 )
 
 
-def row(name: tuple[str, str], core: tuple[str, str], skel: tuple[str, str], addr: tuple[str, str]) -> list[float]:
+def row(name: tuple[str, str], core: tuple[str, str], skel: tuple[str, str], addr: tuple[str, str], known: dict | None = None) -> list[float]:
+    """Values of COLUMNS; ``known`` keeps what has been computed for a pair of strings (core names often are the raw ones)."""
+    known = {} if known is None else known
+
+    def each(p: tuple[str, str]) -> list[float]:
+        if p not in known:
+            known[p] = [*(f(*p) / 100 for f in FIVE), jaro_winkler(*p)]
+        return known[p]
+
     squeezed = lambda p: (p[0].replace(" ", ""), p[1].replace(" ", ""))
     return [
-        *(f(*name) / 100 for f in FIVE), jaro_winkler(*name),
-        *(f(*core) / 100 for f in FIVE), jaro_winkler(*core), ratio(*squeezed(core)) / 100,
+        *each(name), *each(core), ratio(*squeezed(core)) / 100,
         *(f(*skel) / 100 for f in FIVE[:4]), ratio(*squeezed(skel)) / 100,
         ratio(*addr) / 100, token_set_ratio(*addr) / 100, partial_ratio(*addr) / 100,
     ]
@@ -164,7 +171,8 @@ def similarities(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """mapInPandas body: id columns pass, then the columns of COLUMNS for (name, core, skel, addr) pairs."""
     for df in batches:
         sides = [list(zip(df[f"{x}_1"], df[f"{x}_2"], strict=True)) for x in ("name", "core", "skel", "addr")]
-        values = [row(*p) for p in zip(*sides, strict=True)]
+        known: dict = {}  # for this batch
+        values = [row(*p, known) for p in zip(*sides, strict=True)]
         out = pd.DataFrame(values, columns=list(COLUMNS)).astype("float32")
         out.insert(0, "cand_id", df["cand_id"].to_numpy())
         out.insert(0, "s1_id", df["s1_id"].to_numpy())
