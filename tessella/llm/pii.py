@@ -259,7 +259,8 @@ def redact(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_ch
     prefix = "pii"
     while any(c.lower().startswith(prefix) for c in docs.columns):
         prefix += "_"
-    table = stored(annotated(docs.select(text_col), text_col, prefix).select(f"{prefix}_loose").where(F.size(f"{prefix}_loose") > 0), "spans")
+    # Rows without candidates are left out later: a filter here would be pushed below and search the text again.
+    table = stored(annotated(docs.select(text_col), text_col, prefix).select(f"{prefix}_loose"), "spans")
     model = fit(table, f"{prefix}_loose")
     names = F.array(*(F.lit(f"[{k}]") for k in (*KINDS, *MORE_KINDS)))
     out, spans = annotated(docs, text_col, prefix), f"{prefix}_spans"
