@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -153,14 +153,14 @@ def near_duplicates(
     )
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each group stays: that with the smallest id, all columns kept.
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
+    """One document of each group that ``by`` finds stays: that with the smallest id, all columns kept.
 
     Rows that repeat the id of the document that stays are reduced to one of them; only those go through
     a second shuffle.  Rows without an id cannot be told apart and stay.
     """
     head, rows = fresh(docs, "head"), fresh(docs, "rows")
-    found = near_duplicates(docs, id_col, text_col, **options).select(F.col(id_col).alias("id"), "component_id")
+    found = by(docs, id_col, text_col, **options).select(F.col(id_col).alias("id"), "component_id")
     heads = found.where("id = component_id").groupBy(F.col("id").alias(head)).agg(F.count("*").alias(rows))
     kept = docs.join(heads, docs[id_col] == heads[head], "inner")
     once = kept.where(F.col(rows) == 1).select(*docs.columns)
