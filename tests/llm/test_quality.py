@@ -70,3 +70,31 @@ def test_keep_and_judge_agree(spark, sf, odd_docs, no_docs):
         want = sorted(str(r.doc_id) for r in quality.judge(table).where("kept").collect())
         assert sorted(str(r.doc_id) for r in kept.collect()) == want
     assert quality.judge(no_docs).count() == 0
+
+
+def test_bands_reject_base64_and_hex_at_every_length(spark, sf):
+    import base64
+    import random
+
+    rng = random.Random(4)
+
+    def wrapped(size, width):
+        line = base64.b64encode(rng.randbytes(size)).decode()
+        return "\n".join(line[i : i + width] for i in range(0, len(line), width))[:size]
+
+    def hexadecimal(size, width):
+        return " ".join(rng.randbytes(width // 2).hex() for _ in range(size // width + 1))[:size]
+
+    ends = [b.from_bytes for b in quality.DOCUMENT_BANDS[2:]] + [120_000]
+    noise = [wrapped(size, width) for a, b in zip(ends, ends[1:], strict=False) for size in (a, (a + b) // 2, b - 1) for width in (16, 76)]
+    noise += [hexadecimal(size, width) for size in (4096, 6000, 8191, 8192, 12_000, 16_383, 16_384, 40_000, 80_000) for width in (8, 32, 64)]
+    long = [t for (t,) in spark.read.parquet(f"{sf}/documents.parquet").where("length(text) > 2000").select("text").collect() if quality.MIN_WORDS < len(t.split())]
+    prose = "\n".join(long).encode()[:18_000].decode("utf-8", "ignore")
+    noise += [prose + "\n" + wrapped(22_000, 76), wrapped(22_000, 76) + "\n" + prose]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(noise)], "doc_id long, text string")
+    for r in quality.judge(docs).collect():
+        few = len(noise[r.doc_id].split()) < quality.MIN_WORDS
+        assert r.reason == ("few_words" if few else r.reason) and r.reason in ("few_words", "incompressible", "chunks"), (r, noise[r.doc_id][:80])
+    assert sum(len(t.split()) >= quality.MIN_WORDS for t in noise) > 60
+    whole = spark.createDataFrame([(1, prose)], "doc_id long, text string")
+    assert quality.judge(whole).first().reason not in ("incompressible", "chunks")
