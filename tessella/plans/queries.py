@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,8 +160,9 @@ def macro_f05(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recall_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retrieves as many candidates as the largest k that is reported."""
     v = View(spark, sf_dir)
-    return _round(metrics.recall_curve(v.found(), v.truth), "recall")
+    return _round(metrics.recall_curve(v.found(replace(CFG, k=max(metrics.KS))), v.truth), "recall")
 
 
 def prune_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
