@@ -29,11 +29,12 @@ _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _IP = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 _EMAIL = r"^[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++$"
 
-#: Candidates: digit groups, strings around an @, long runs of letters and digits.
+#: Candidates: digit groups, strings around an @, long runs of letters and digits.  A group ends after 31 digits,
+#: with all digits that follow without a gap: an open count of gaps would read long rows of numbers again and again.
 CANDIDATES = (
-    r"(?<![0-9A-Za-z.])\+?\(?[0-9](?:[\x20().-]{0,3}[0-9]){6,30}+(?![0-9A-Za-z@])"
+    r"(?<![0-9A-Za-z.])\+?\(?[0-9](?:[\x20().-]{0,3}[0-9]){6,30}+[0-9]*+(?![0-9A-Za-z@])"
     r"|(?<![^\x20\x09-\x0D@])[^\x20\x09-\x0D@]++@[^\x20\x09-\x0D@]++"
-    r"|(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,512}+(?![A-Za-z0-9+/_=-])"
+    r"|(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}+(?![A-Za-z0-9+/_=-])"
 )
 CONTEXT = 32
 #: Gazetteers: top-level domains, calling codes, card issuers.

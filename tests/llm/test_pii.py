@@ -84,3 +84,17 @@ def test_redact(spark, sf, odd_docs, no_docs):
     assert pii.find(out).where("n_email + n_ip + n_card + n_phone > 0").count() == 0
     assert out.where(F.length("text") != F.col("n_chars")).count() == 0
     assert pii.redact(odd_docs).count() == odd_docs.count() and pii.redact(no_docs).count() == 0
+
+
+def test_long_runs_are_candidates(spark):
+    # No digit runs that could be card numbers.
+    key = "".join(f"{chr(97 + i % 26)}{i * i % 10}" for i in range(4000))
+    rows = [(i, f"some words then token = {key[: 500 + 100 * i]} and more") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    assert all(got[i] == f"secret:24:{24 + 500 + 100 * i}" for i in range(60))
+    assert all(r.text == "some words then token = [secret] and more" for r in pii.redact(docs, size_col=None).collect())
+    texts = [("1" * 40,), ("12 34 " + "5" * 5000,), ("1 2 " * 20_000 + "3x",)]
+    found = F.regexp_extract_all("text", F.lit(pii.CANDIDATES), F.lit(0))
+    runs = [r[0] for r in spark.createDataFrame(texts, "text string").select(found).collect()]
+    assert runs[0] == ["1" * 40] and runs[1] == ["12 34 " + "5" * 5000] and len(runs[2]) > 1000
