@@ -3,34 +3,41 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space, the only separators of words (fixed value).
 SPACE = r"[\x20\x09-\x0D]+"
 
-#: Rows of an Arrow batch that are turned into Python objects at once.
+#: Rows of an Arrow batch that are turned into Python objects at once, and bytes (but one row at least).
 SLICE_ROWS = 256
+SLICE_BYTES = 16 << 20
+#: Bytes of a text that are split into words at once.
+PIECE = 1 << 20
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    A local folder is set only where the session names none (single-machine tests).
+    A local folder, one for each application, is used only where the session names none and runs in one
+    process (single-machine tests).
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-    path = os.path.join(tempfile.gettempdir(), f"tessella-{spark.sparkContext.applicationId}")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return os.path.join(tempfile.gettempdir(), f"tessella-{spark.sparkContext.applicationId}")
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
@@ -76,7 +83,50 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
     """Cut Arrow batches into small zero-copy slices, so that few texts are Python objects at a time."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+            yield from _halved(batch.slice(at, rows))
+
+
+def _halved(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    if part.num_rows > 1 and part.nbytes > SLICE_BYTES:
+        half = part.num_rows // 2
+        yield from _halved(part.slice(0, half))
+        yield from _halved(part.slice(half))
+    else:
+        yield part
+
+
+def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
+    """A text cut at white space about every ``size`` bytes, so no word is cut."""
+    at = 0
+    while at < len(text):
+        gap = _GAP.search(text, at + size) if at + size < len(text) else None
+        end = gap.end() if gap else len(text)
+        yield text[at:end]
+        at = end
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Words (A-Z lower-cased) of a column of texts: places in the list of distinct words, that list, words of each text.
+
+    Words are runs of characters other than ASCII white space; nulls and empty texts have none.
+    """
+    n = len(texts)
+    if n and int(pc.max(pc.binary_length(texts)).as_py() or 0) > PIECE:
+        cut = [list(pieces(x or b"")) for x in raw(texts)]
+        owner = np.repeat(np.arange(n), [len(x) for x in cut])
+        texts = pa.array([p for x in cut for p in x], pa.binary()).cast(pa.string())
+    else:
+        owner = np.arange(n)
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    starts = lists.offsets.to_numpy()
+    flat = lists.values.slice(starts[0], starts[-1] - starts[0]) if len(lists) else pa.array([], pa.string())
+    # The splitter gives an empty string before leading and after trailing white space.
+    full = pc.greater(pc.binary_length(flat), 0)
+    sums = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))]).astype(np.int64)
+    at = starts - starts[0] if len(starts) else starts
+    lengths = np.bincount(owner, sums[at[1:]] - sums[at[:-1]], n).astype(np.int64) if len(lists) else np.zeros(n, np.int64)
+    coded = flat.filter(full).dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), raw(coded.dictionary), lengths
 
 
 def raw(column: pa.Array) -> list[bytes | None]:

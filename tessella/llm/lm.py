@@ -1,55 +1,56 @@
 """LM scoring: a hashed maximum-entropy model with class-factored softmax, and exact unigram scores.
 
-P(word | history) = P(class | history) * P(word | class, history).  The most frequent words fill classes
-of ``WIDTH`` words; all others are one more class whose words share its mass by smoothed counts.  Both
-softmaxes are log-linear in hashed features of the history: the last word, the last two words, and the last
-but one (a skip).  Training is one pass over all training documents in ``ROUNDS`` rounds: every task makes
-stochastic gradient steps on its part from the common weights, and the steps are averaged by tokens.
+P(word | history) = P(class | history) * P(word | class, history), with classes of classes where the vocabulary
+is large (:class:`Tree`).  Each softmax is log-linear in hashed features of the history: the last word, the last
+two words, and the last but one (a skip).  Words below a count floor are one class whose words share its mass by
+smoothed counts.
+
+Texts are turned into word numbers once.  Training then deals them to workers by a hash of the row; the number of
+workers follows the corpus, not the cluster.  In each of ``ROUNDS`` rounds every worker makes gradient steps from the
+common weights, and each row of weights becomes the mean over the workers that used it, weighted by use.  The
+vocabulary, the table of weights and a worker's share all grow with the square root of the training tokens, so what
+the workers send grows in proportion to the corpus.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import gathered, raw, slices, stored
+from .common import discard, gathered, slices, split_words, stored
 
-#: Words in a class, and classes of frequent words.
+#: Outcomes of a softmax.
 WIDTH = 32
-CLASSES = 16
-#: Rows of hashed features in each of the two weight tables (14 bits).
-BITS = 14
+#: Root classes that hold words, that hold classes of words, and that hold deeper classes; one more is for all rare words.
+NEAR, MIDDLE, DEEP = 16, 8, 7
+#: Words modelled one by one, rows of hashed weights, and a worker's tokens a round, for each square root of the training tokens.
+WORDS_PER_ROOT = 24
+ROWS_PER_ROOT = 28
+SHARE_PER_ROOT = 434
+LEAST_BITS = 10
 ROUNDS = 2
 RATE = 0.3
-BATCH = 8192
-#: Most frequent words whose counts go to every task (at most LONGEST bytes each); the counts of all others are joined.
-FREQUENT = 300_000
-LONGEST = 128
+#: Tokens whose gradients are taken together.
+BATCH = 4096
+#: Longer words are known by a digest of 128 bits, so that no key is long.
+LONGEST = 64
 #: Words a counting task holds before it passes its counts on.
 HELD = 400_000
 #: The end of a text as a word: no word holds white space.
 END = b" "
-ROW_BLOCK = 32
-PIECE = 1 << 20
-_GAP = re.compile(rb"[\x20\x09-\x0D]")
+#: Rows of weights that travel together.
+BLOCK = 128
 
 
-def tokens(text: bytes | None) -> Iterator[list[bytes]]:
-    """Words of a text (A-Z lower-cased), piece by piece, then the end."""
-    text = text or b""
-    at = 0
-    while at < len(text):
-        gap = _GAP.search(text, at + PIECE) if at + PIECE < len(text) else None
-        end = gap.end() if gap else len(text)
-        yield text[at:end].lower().split()
-        at = end
-    yield [END]
+def key(word: bytes) -> bytes:
+    """A word, or for a long one white space (which no word holds) and its digest."""
+    return word if len(word) <= LONGEST else b" " + xxhash.xxh3_128_hexdigest(word).encode()
 
 
 def word_counts(docs: DataFrame, text_col: str, training: Column) -> DataFrame:
@@ -57,7 +58,6 @@ def word_counts(docs: DataFrame, text_col: str, training: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, int] = {}
-        get = held.get
 
         def flush() -> Iterator[pa.RecordBatch]:
             keys, n = list(held), list(held.values())
@@ -66,12 +66,12 @@ def word_counts(docs: DataFrame, text_col: str, training: Column) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 50_000], pa.binary()), pa.array(n[at : at + 50_000], pa.int64())], names=["word", "n"])
 
         for part in slices(batches):
-            for text in raw(part.column(0)):
-                for piece in tokens(text):
-                    for w in piece:
-                        held[w] = get(w, 0) + 1
-                if len(held) > HELD:
-                    yield from flush()
+            ids, distinct, _ = split_words(part.column(0))
+            for w, n in zip(map(key, distinct), np.bincount(ids, minlength=len(distinct)).tolist(), strict=True):
+                held[w] = held.get(w, 0) + n
+            held[END] = held.get(END, 0) + part.num_rows
+            if len(held) > HELD:
+                yield from flush()
         yield from flush()
 
     found = docs.where(training).select(F.col(text_col).alias("text")).mapInArrow(run, "word binary, n long")
@@ -80,7 +80,7 @@ def word_counts(docs: DataFrame, text_col: str, training: Column) -> DataFrame:
 
 @dataclass
 class Counts:
-    """Counts that every task gets: the frequent words in order, and the totals."""
+    """The words modelled one by one, most frequent first, with their counts, and the totals."""
 
     words: list[bytes]
     n: np.ndarray
@@ -88,37 +88,152 @@ class Counts:
     distinct: int
 
     @property
-    def tail_log10(self) -> float:
-        """log10 of the denominator of a word within the class of all less frequent words."""
-        top = self.n[: WIDTH * CLASSES]
-        return float(np.log10(self.tokens - top.sum() + max(0, self.distinct - len(top)) + 1))
+    def whole(self) -> int:
+        """Denominator of a word's smoothed share of all tokens."""
+        return self.tokens + self.distinct + 1
 
+    @property
+    def rare(self) -> int:
+        """Denominator of a word's smoothed share of the class of all rare words."""
+        return self.whole - int(self.n.sum()) - len(self.n)
+
+
+def frequent(table: DataFrame, per_root: float = WORDS_PER_ROOT) -> Counts:
+    """The words of at least the lowest count that ``per_root`` words for each root of the tokens allow.
 
-def frequent(table: DataFrame, most: int = FREQUENT) -> Counts:
+    A histogram over at most 256 + 32 * 40 steps of the count gives that floor, so no task sorts the words.
+    """
     total = table.agg(F.sum("n"), F.count("*")).first()
-    top = table.where(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(most).toArrow()
-    return Counts(top.column("word").to_pylist(), top.column("n").to_numpy(), int(total[0] or 0), int(total[1]))
+    tokens, distinct = int(total[0] or 0), int(total[1])
+    most = max(64, int(per_root * tokens**0.5))
+    step = F.when(F.col("n") < 256, F.col("n")).otherwise(256 + F.floor(32 * F.log2(F.col("n") / 256.0)))
+    floor, words = None, 0
+    for r in sorted(table.groupBy(step.alias("step")).agg(F.min("n").alias("least"), F.count("*").alias("words")).collect(), reverse=True):
+        words += r.words
+        if words > most:
+            break
+        floor = r.least
+    if floor is None:
+        return Counts([], np.zeros(0, np.int64), tokens, distinct)
+    top = table.where(F.col("n") >= floor).toArrow()
+    n, known = top.column("n").to_numpy(), top.column("word").to_pylist()
+    order = sorted(range(len(n)), key=lambda i: (-n[i], known[i]))
+    return Counts([known[i] for i in order], n[order], tokens, distinct)
+
+
+class Tree:
+    """Classes of words by frequency: the path of each rank from the root softmax to its word.
+
+    The NEAR * WIDTH most frequent words are children of a root class, the next MIDDLE * WIDTH ** 2 lie one
+    softmax deeper, all others ``depth`` softmaxes below the root; rank ``n_words`` is the class of rare words.
+    """
+
+    def __init__(self, n_words: int):
+        self.n_words = n_words
+        first, second = NEAR * WIDTH, NEAR * WIDTH + MIDDLE * WIDTH**2
+        self.depth = 3
+        while DEEP * WIDTH**self.depth < n_words - second:
+            self.depth += 1
+        #: (first rank, end, first root class, levels below the root, first node of each level)
+        self.bands = []
+        nodes = 1
+        for start, end, child, levels in ((0, first, 0, 1), (first, second, NEAR, 2), (second, max(second, n_words), NEAR + MIDDLE, self.depth)):
+            used = max(0, min(end, n_words) - start)
+            begin = []
+            for level in range(1, levels + 1):
+                begin.append(nodes)
+                nodes += -(-used // WIDTH ** (levels - level + 1))
+            self.bands.append((start, end, child, levels, begin))
+        self.nodes = nodes
+
+    def steps(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each level: (places in ``ids``, node, child) of the softmaxes on the paths, from the root down."""
+        child = np.full(len(ids), WIDTH - 1)
+        parts = []
+        for start, end, first, levels, begin in self.bands:
+            at = np.flatnonzero((ids >= start) & (ids < min(end, self.n_words)))
+            q = ids[at] - start
+            child[at] = first + q // WIDTH**levels
+            parts.append((at, q, levels, begin))
+        yield np.arange(len(ids)), np.zeros(len(ids), np.int64), child
+        for level in range(1, self.depth + 1):
+            found = [(at, begin[level - 1] + q // WIDTH ** (levels - level + 1), q // WIDTH ** (levels - level) % WIDTH) for at, q, levels, begin in parts if level <= levels and len(at)]
+            if found:
+                yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 class Model:
-    """Weights of the two softmaxes; rows are hashed features, the last row is the bias."""
+    """Weights: one row of WIDTH for each hashed (feature, node), then one bias row for each node; use of each row."""
 
-    def __init__(self, top: np.ndarray | None = None, inner: np.ndarray | None = None):
-        self.top = np.zeros(((1 << BITS) + 1, CLASSES + 1), np.float32) if top is None else top
-        self.inner = np.zeros(((1 << BITS) + CLASSES, WIDTH), np.float32) if inner is None else inner
+    def __init__(self, tree: Tree, bits: int, table: np.ndarray | None = None, seen: np.ndarray | None = None):
+        self.tree, self.bits = tree, bits
+        size = (1 << bits) + tree.nodes
+        self.table = np.zeros((size, WIDTH), np.float32) if table is None else table
+        self.seen = np.ones(size, np.float32) if seen is None else seen
 
     @staticmethod
-    def start(counts: Counts) -> Model:
-        """Biases that give class and word shares; all other weights 0."""
-        m = Model()
-        n = np.zeros(WIDTH * CLASSES)
-        n[: min(len(n), len(counts.n))] = counts.n[: len(n)]
-        shares = np.append(n.reshape(CLASSES, WIDTH).sum(1), max(0, counts.tokens - n.sum())) + 1.0
-        m.top[-1] = np.log(shares / shares.sum())
-        inner = n.reshape(CLASSES, WIDTH) + 0.5
-        m.inner[1 << BITS :] = np.log(inner / inner.sum(1, keepdims=True))
+    def start(counts: Counts, bits: int) -> Model:
+        """Biases that give each class and word its share of the training tokens; all other weights 0."""
+        m = Model(Tree(len(counts.n)), bits)
+        mass = np.full(m.tree.nodes * WIDTH, 1e-6)
+        ranks = np.arange(len(counts.n) + 1)
+        n = np.append(counts.n + 0.5, counts.tokens - counts.n.sum() + 1.0)
+        for at, node, child in m.tree.steps(ranks):
+            mass += np.bincount(node * WIDTH + child, n[at], len(mass))
+        mass = mass.reshape(-1, WIDTH)
+        m.table[1 << bits :] = np.log(mass / mass.sum(1, keepdims=True))
         return m
 
+    def rows(self, codes: np.ndarray, at: np.ndarray, node: np.ndarray, level: int) -> list[np.ndarray]:
+        """Rows of weights that a softmax adds up: three features (two below the first class), and the bias."""
+        salt = (node.astype(np.uint32) + np.uint32(11)) * np.uint32(668265263)
+        used = codes if level < 2 else codes[::2]
+        return [*(((c[at] ^ salt) * np.uint32(3266489917) >> np.uint32(32 - self.bits)).astype(np.int64) for c in used), (1 << self.bits) + node]
+
+    def sums(self, rows: list[np.ndarray]) -> np.ndarray:
+        z = self.table.take(rows[0], axis=0)
+        for r in rows[1:]:
+            z += self.table.take(r, axis=0)
+        z -= z.max(1, keepdims=True)
+        return z
+
+    def learn(self, codes: np.ndarray, ids: np.ndarray) -> None:
+        """One gradient step for the tokens ``ids`` (step sizes by Adagrad, one for each row)."""
+        for level, (at, node, child) in enumerate(self.tree.steps(ids)):
+            rows = self.rows(codes, at, node, level)
+            p = self.sums(rows)
+            np.exp(p, out=p)
+            p /= p.sum(1, keepdims=True)
+            p[np.arange(len(at)), child] -= 1
+            self._move(rows, p)
+
+    def _move(self, rows: list[np.ndarray], grad: np.ndarray) -> None:
+        n = len(grad)
+        packed = np.concatenate([r << 32 | np.arange(n) for r in rows])
+        packed.sort()
+        keys = packed >> 32
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        # Sums of each row's run; one outcome after the other, as its gradients fit the cache.
+        total = np.add.reduceat(np.ascontiguousarray(grad.T).take(packed & 0xFFFFFFFF, axis=1), first, axis=1)
+        at = keys[first]
+        self.seen[at] += np.einsum("ij,ij->j", total, total)
+        total *= RATE / np.sqrt(self.seen[at])
+        self.table[at] -= total.T
+
+    def log10(self, codes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """log10 P of each token given its history (of the class alone for rare words)."""
+        out = np.zeros(len(ids))
+        for begin in range(0, len(ids), BATCH):
+            s = slice(begin, begin + BATCH)
+            part = np.zeros(len(ids[s]))
+            for level, (at, node, child) in enumerate(self.tree.steps(ids[s])):
+                z = self.sums(self.rows(codes[:, s], at, node, level))
+                own = z[np.arange(len(at)), child]
+                np.exp(z, out=z)
+                part[at] += own - np.log(z.sum(1))
+            out[s] = part / np.log(10)
+        return out
+
 
 def histories(ids: np.ndarray, starts: np.ndarray, unknown: int) -> np.ndarray:
     """Feature codes (3, n) of token ids; ``starts`` are the places where texts begin."""
@@ -134,158 +249,143 @@ def histories(ids: np.ndarray, starts: np.ndarray, unknown: int) -> np.ndarray:
     return np.stack([(one + np.uint32(1)) * a, ((one + np.uint32(1)) * a ^ (two + np.uint32(3)) * b) * a, (two + np.uint32(7)) * b ^ np.uint32(0x5BD1E995)])
 
 
-def _sum(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    z = table.take(rows[0], axis=0)
-    z += table.take(rows[1], axis=0)
-    z += table.take(rows[2], axis=0)
-    z += bias
-    return z
+def encode(docs: DataFrame, counts: Counts, id_col: str, text_col: str, held_out: Column) -> DataFrame:
+    """(row, id, held_out, n_tokens, n_known, base, ids, rare) for every row of ``docs``, written once.
 
+    ``ids``: ranks of all tokens as 32-bit integers, rare words with the rank behind the last.  ``rare``: their keys
+    and how often the text holds them.  ``n_known`` and ``base`` are those of the other words.
+    """
+    blob, n_words, log_n = b"\n".join(counts.words), len(counts.words), np.append(np.log10((counts.n + 1.0) / counts.whole), 0.0)
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
-    return z
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = dict(zip(blob.split(b"\n"), range(n_words), strict=True)) if n_words else {}
+        end = known.get(END, n_words)
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for part in slices(batches):
+                word, distinct, lengths = split_words(part.column(3))
+                keys = list(map(key, distinct))
+                ranks = np.fromiter((known.get(w, n_words) for w in keys), np.int64, len(keys))
+                n_docs, owner = len(lengths), np.repeat(np.arange(len(lengths)), lengths)
+                ids = np.empty(len(word) + n_docs, np.int32)
+                stops = np.cumsum(lengths + 1)
+                inside = np.ones(len(ids), bool)
+                inside[stops - 1] = False
+                ids[inside], ids[stops - 1] = ranks[word], end
+                owner = np.concatenate([owner, np.arange(n_docs)])
+                every = np.concatenate([ranks[word], np.full(n_docs, end)])
+                other = np.flatnonzero(every == n_words)
+                # Rare words of each text, once each; the end is rare where no training text has one.
+                keys.append(END)
+                which = np.concatenate([word, np.full(n_docs, len(keys) - 1)])[other]
+                pairs, times = np.unique(owner[other] * len(keys) + which, return_counts=True)
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(pairs // len(keys), minlength=n_docs))])
+                items = pa.StructArray.from_arrays([pa.array([keys[i] for i in pairs % len(keys)], pa.binary()), pa.array(times, pa.int64())], names=["word", "times"])
+                cuts = np.concatenate([[0], stops])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *part.columns[:3], pa.array(lengths + 1), pa.array(np.bincount(owner, every < n_words, n_docs).astype(np.int64)), pa.array(np.bincount(owner, log_n[every], n_docs)),
+                        pa.array([ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items),
+                    ],
+                    names=["row", "id", "held_out", "n_tokens", "n_known", "base", "ids", "rare"],
+                )
 
+        yield from gathered(rows(), 1024)
 
-def _rows(codes: np.ndarray, salt: np.ndarray | None = None) -> np.ndarray:
-    h = codes if salt is None else codes + salt
-    return ((h * np.uint32(3266489917)) >> np.uint32(32 - BITS)).astype(np.uint16)
+    narrow = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
+    schema = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, ids binary, rare array<struct<word:binary,times:long>>"
+    return stored(narrow.mapInArrow(run, schema), "encoded")
 
 
-class Steps:
-    """Stochastic gradient steps on a local copy of the weights (one step size for each row, by Adagrad)."""
+def flat_ids(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of several texts, and where each text starts."""
+    lengths = np.array([len(t) // 4 for t in texts], np.int64)
+    return np.frombuffer(b"".join(texts), np.int32).astype(np.int64), np.cumsum(lengths) - lengths
 
-    def __init__(self, model: Model):
-        self.model = Model(model.top.copy(), model.inner.copy())
-        self.seen = [np.full(len(model.top), 1.0, np.float32), np.full(len(model.inner), 1.0, np.float32)]
 
-    def _move(self, table: np.ndarray, seen: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
-        n = rows.shape[1]
-        flat = rows.reshape(-1)
-        order = np.argsort(flat, kind="stable")
-        keys = flat[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        # Sums of each row's run, as differences of a running sum.
-        run = np.cumsum(grad[order % n], axis=0)
-        total = run[np.append(first[1:], len(flat)) - 1]
-        total[1:] -= run[first[1:] - 1]
-        at = keys[first]
-        seen[at] += np.einsum("ij,ij->i", total, total)
-        table[at] -= (RATE / np.sqrt(seen[at]))[:, None] * total
+def train(encoded: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
+    """Weights after one pass over all training rows of :func:`encode`, in ``rounds`` rounds.
 
-    def learn(self, codes: np.ndarray, ids: np.ndarray) -> None:
-        m, size = self.model, WIDTH * CLASSES
-        group = np.minimum(ids // WIDTH, CLASSES)
-        rows = _rows(codes)
-        p = _softmax(_sum(m.top, rows, m.top[-1]))
-        p[np.arange(len(ids)), group] -= 1
-        self._move(m.top, self.seen[0], rows, p)
-        known = np.flatnonzero(ids < size)
-        if len(known):
-            g = group[known]
-            rows = _rows(codes[:, known], (g.astype(np.uint32) + np.uint32(11)) * np.uint32(668265263))
-            p = _softmax(_sum(m.inner, rows, m.inner.take((1 << BITS) + g, axis=0)))
-            p[np.arange(len(known)), ids[known] % WIDTH] -= 1
-            self._move(m.inner, self.seen[1], rows, p)
-
-
-def log_probability(model: Model, codes: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """log10 P(class) + log10 P(word | class) of each token (of the class alone for less frequent words)."""
-    out = np.empty(len(ids))
-    for at in range(0, len(ids), BATCH):
-        s = slice(at, at + BATCH)
-        own, c = ids[s], codes[:, s]
-        group = np.minimum(own // WIDTH, CLASSES)
-        rows = _rows(c)
-        part = _picked(_sum(model.top, rows, model.top[-1]), group)
-        known = np.flatnonzero(own < WIDTH * CLASSES)
-        if len(known):
-            g = group[known]
-            rows = _rows(c[:, known], (g.astype(np.uint32) + np.uint32(11)) * np.uint32(668265263))
-            part[known] += _picked(_sum(model.inner, rows, model.inner.take((1 << BITS) + g, axis=0)), own[known] % WIDTH)
-        out[s] = part * np.float64(1 / np.log(10))
-    return out
-
-
-def _picked(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Natural log of the softmax at one place of each row."""
-    top = z.max(1)
-    own = z[np.arange(len(z)), at] - top
-    z -= top[:, None]
-    np.exp(z, out=z)
-    return (own - np.log(z.sum(1))).astype(np.float64)
-
-
-def _ids(text: bytes | None, get) -> list[int]:
-    out: list[int] = []
-    for piece in tokens(text):
-        out += map(get, piece)
-    return out
-
-
-class _Known(dict):
-    """word -> rank; all other words have the rank after the last (not stored)."""
-
-    def __missing__(self, word: bytes) -> int:
-        return self.size
-
-
-def train(docs: DataFrame, counts: Counts, text_col: str, part: Column, training: Column, rounds: int = ROUNDS) -> Model:
-    """Weights after one pass over all training rows, in ``rounds`` parts (``part``: 0 .. rounds - 1)."""
-    model = Model.start(counts)
+    A row goes to a round and a worker by a hash of its number, so no worker is larger than others by more than a
+    text, and a worker reads its rows in the same order whatever the partitions are.
+    """
+    root = max(1.0, float(counts.tokens)) ** 0.5
+    bits = max(LEAST_BITS, round(np.log2(ROWS_PER_ROOT * root)))
+    model = Model.start(counts, bits)
     if not counts.tokens:
         return model
-    blob, n_words = b"\n".join(counts.words), len(counts.words)
-    narrow = docs.where(training).select(F.col(text_col).alias("text"), part.alias("part"))
+    n_words = len(counts.n)
+    workers = max(1, round(root / SHARE_PER_ROOT / rounds))
+    h = F.xxhash64("row", F.lit(9))
+    dealt = encoded.where("not held_out").select(F.pmod(h, F.lit(rounds)).alias("round"), F.pmod(F.shiftrightunsigned(h, 20), F.lit(workers)).alias("worker"), "row", "ids")
     for k in range(rounds):
-        top, inner = model.top, model.inner
-
-        def run(batches: Iterator[pa.RecordBatch], top=top, inner=inner) -> Iterator[pa.RecordBatch]:
-            known = _Known(zip(blob.split(b"\n"), range(n_words), strict=True))
-            known.size = n_words
-            steps, seen = Steps(Model(top, inner)), 0
-            for chunk in slices(batches, 64):
-                texts = [_ids(t, known.__getitem__) for t in raw(chunk.column(0))]
-                lengths = np.array([len(t) for t in texts])
-                flat = np.fromiter((i for t in texts for i in t), np.int64, int(lengths.sum()))
-                codes = histories(flat, np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64), n_words)
-                for at in range(0, len(flat), BATCH):
-                    steps.learn(codes[:, at : at + BATCH], flat[at : at + BATCH])
-                seen += len(flat)
-            if seen:
-                moved = np.concatenate([(steps.model.top - top).reshape(-1), (steps.model.inner - inner).reshape(-1)])
-                moved = np.pad(moved, (0, -len(moved) % 1024)).reshape(-1, 1024)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(moved))), pa.array([(r * np.float32(seen)).tobytes() for r in moved], pa.binary()), pa.array(np.full(len(moved), seen))],
-                    names=["block", "data", "seen"],
-                )
+        table, seen = model.table.astype(np.float16), model.seen
+
+        def run(batches: Iterator[pa.RecordBatch], table=table, seen=seen) -> Iterator[pa.RecordBatch]:
+            at, own, uses = None, None, None
+            buffer: list[bytes] = []
+
+            def learn() -> None:
+                ids, starts = flat_ids(buffer)
+                codes = histories(ids, starts, n_words)
+                for begin in range(0, len(ids), BATCH):
+                    own.learn(codes[:, begin : begin + BATCH], ids[begin : begin + BATCH])
+                buffer.clear()
+
+            def moves() -> Iterator[pa.RecordBatch]:
+                if buffer:
+                    learn()
+                used = own.seen - seen
+                change = own.table - table.astype(np.float32)
+                for begin in range(0, len(used), BLOCK * 64):
+                    blocks = [b for b in range(begin, min(len(used), begin + BLOCK * 64), BLOCK) if used[b : b + BLOCK].any()]
+                    cut = lambda x: pa.array([x[b : b + BLOCK].tobytes() for b in blocks], pa.binary())  # noqa: B023, E731
+                    yield pa.RecordBatch.from_arrays([pa.array([b // BLOCK for b in blocks], pa.int64()), cut(used), cut(change.astype(np.float16))], names=["block", "used", "change"])
+
+            for batch in batches:
+                for part in slices(iter([batch]), 4096):
+                    for worker, ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                        if worker != at:
+                            if own is not None:
+                                yield from moves()
+                            at, own, uses = worker, Model(Tree(n_words), bits, table.astype(np.float32), seen.copy()), 0
+                        buffer.append(ids)
+                        uses += len(ids) // 4
+                        if uses >= 4 * BATCH:
+                            learn()
+                            uses = 0
+            if own is not None:
+                yield from moves()
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[int, list] = {}
             for batch in batches:
-                for block, data, seen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                    own = sums.setdefault(block, [np.zeros(1024), 0])
-                    own[0] += np.frombuffer(data, np.float32)
-                    own[1] += seen
+                for part in slices(iter([batch])):
+                    for block, used, change in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                        u = np.frombuffer(used, np.float32)
+                        own = sums.setdefault(block, [np.zeros(len(u)), np.zeros(len(u)), np.zeros((len(u), WIDTH))])
+                        own[0] += u
+                        own[1] += u * u
+                        own[2] += u[:, None] * np.frombuffer(change, np.float16).reshape(-1, WIDTH)
+            # Means over the workers, weighted by use: of the change, and of the use itself.
+            safe = lambda u: np.where(u > 0, u, 1.0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int64()), pa.array([s.tobytes() for s, _ in sums.values()], pa.binary()), pa.array([n for _, n in sums.values()], pa.int64())],
-                names=["block", "data", "seen"],
-            )
-
-        schema = "block long, data binary, seen long"
-        moves = narrow.where(F.col("part") == k).select("text").mapInArrow(run, schema).repartition("block").mapInArrow(add, schema).collect()
-        if not moves:
-            continue
-        whole = np.zeros((max(r.block for r in moves) + 1, 1024))
-        for r in moves:
-            whole[r.block] = np.frombuffer(r.data, np.float64) / r.seen
-        whole = whole.reshape(-1)
-        model = Model(
-            (top + whole[: top.size].reshape(top.shape)).astype(np.float32),
-            (inner + whole[top.size : top.size + inner.size].reshape(inner.shape)).astype(np.float32),
-        )
+                [
+                    pa.array(list(sums), pa.int64()), pa.array([(v / safe(u)).astype(np.float32).tobytes() for u, v, _ in sums.values()], pa.binary()),
+                    pa.array([(c / safe(u)[:, None]).astype(np.float16).tobytes() for u, _, c in sums.values()], pa.binary()),
+                ],
+                names=["block", "used", "change"],
+            )
+
+        schema = "block long, used binary, change binary"
+        given = dealt.where(F.col("round") == k).repartition(workers, "worker").sortWithinPartitions("worker", "row").select("worker", "ids")
+        merged = given.mapInArrow(run, schema).repartition("block").mapInArrow(add, schema).toArrow()
+        new, new_seen = table.astype(np.float32), seen.copy()
+        for block, used, change in zip(merged.column("block").to_pylist(), merged.column("used"), merged.column("change"), strict=True):
+            rows = slice(block * BLOCK, (block + 1) * BLOCK)
+            new_seen[rows] += np.frombuffer(used.as_py(), np.float32)
+            new[rows] += np.frombuffer(change.as_py(), np.float16).reshape(-1, WIDTH)
+        model = Model(model.tree, bits, new, new_seen)
     return model
 
 
@@ -294,63 +394,42 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
 
     Learns from the rows where ``held_out`` is false.  Null and empty texts hold the end alone.  Whole texts
     are read, long ones piece by piece.  ``base_score`` is exact over all training counts: those of the
-    FREQUENT most frequent words go to every task, a text's other words are joined with their counts.
-    Repeated rows each get their row (and teach each time); an empty table gives none; without training
-    rows all words are new.
+    words modelled one by one go to every task, a text's other words are joined with their counts, once for
+    each text.  Repeated rows each get their row (and teach each time); an empty table gives none; without
+    training rows all words are new.  Columns other than the id, the text and those in ``held_out`` are not read.
     """
     out = F.coalesce(held_out, F.lit(False))
     table = stored(word_counts(docs, text_col, ~out), "counts")
     counts = frequent(table)
-    part = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(9)), F.lit(ROUNDS))
-    model = train(docs, counts, text_col, part, ~out)
-    blob, n_words = b"\n".join(counts.words), len(counts.words)
-    log_n = np.append(np.log10(counts.n.astype(np.float64) + 1), 0.0)
-    top, inner, vocabulary = model.top, model.inner, WIDTH * CLASSES
+    encoded = encode(docs, counts, id_col, text_col, out)
+    model = train(encoded, counts)
+    n_words, bits, weights = len(counts.n), model.bits, model.table.astype(np.float16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(zip(blob.split(b"\n"), range(n_words), strict=True)) if n_words else _Known()
-        known.size = n_words
-        weights = Model(top, inner)
+        own = Model(Tree(n_words), bits, weights.astype(np.float32))
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for chunk in slices(batches, 64):
-                texts, rare = [], []
-                for text in raw(chunk.column(3)):
-                    words = [w for piece in tokens(text) for w in piece]
-                    ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                    rare.append([words[i] for i in np.flatnonzero(ids == n_words)])
-                    texts.append(ids)
-                lengths = np.array([len(t) for t in texts])
-                start = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
-                flat = np.concatenate(texts)
-                p = log_probability(weights, histories(flat, start, n_words), flat)
-                n = log_n[flat]
-                tail = flat >= vocabulary
-                sums = lambda x: np.add.reduceat(x, start)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *chunk.columns[:3], pa.array(lengths, pa.int64()), pa.array(sums((flat < n_words).astype(np.int64))),
-                        pa.array(sums(n)), pa.array(sums(p + np.where(tail, n, 0.0))), pa.array(sums(tail.astype(np.int64))), pa.array(rare, pa.list_(pa.binary())),
-                    ],
-                    names=["row", "id", "held_out", "n_tokens", "n_known", "base", "model", "n_tail", "rare"],
-                )
-
-        yield from gathered(rows(), 1024)
-
-    narrow = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), out.alias("held_out"), F.col(text_col).alias("text"))
-    schema = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, model double, n_tail long, rare array<binary>"
-    scored = stored(narrow.mapInArrow(run, schema), "scores")
-    words = scored.select("row", F.explode("rare").alias("word"))
-    met = words.join(table, "word").groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1.0)).alias("sum"))
-    denominator = float(np.log10(counts.tokens + counts.distinct + 1))
-    more, extra = F.coalesce("more", F.lit(0).cast("long")), F.coalesce("sum", F.lit(0.0))
-    return scored.drop("rare").join(met, "row", "left").select(
+            for part in slices(batches, 64):
+                ids, starts = flat_ids(part.column(part.num_columns - 1).to_pylist())
+                p = own.log10(histories(ids, starts, n_words), ids)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(np.add.reduceat(p, starts))], names=[*part.schema.names[:-1], "model"])
+
+        yield from gathered(rows())
+
+    schema = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, model double"
+    scored = stored(encoded.select("row", "id", "held_out", "n_tokens", "n_known", "base", "ids").mapInArrow(run, schema), "scores")
+    words = stored(encoded.select("row", F.explode("rare").alias("w")).select("row", "w.word", "w.times"), "rare")
+    discard(encoded)
+    new = F.coalesce("n", F.lit(0).cast("long"))
+    share = lambda of: F.sum(F.col("times") * F.log10((new + 1.0) / of))
+    met = words.join(table, "word", "left").groupBy("row").agg(F.sum(F.when(new > 0, F.col("times")).otherwise(0)).alias("more"), share(counts.whole).alias("own"), share(counts.rare).alias("within"))
+    or_none = lambda c, zero: F.coalesce(c, F.lit(zero))
+    return scored.join(met, "row", "left").select(
         F.col("id").alias(id_col),
         "held_out",
         "n_tokens",
-        (F.col("n_known") + more).alias("n_known"),
+        (F.col("n_known") + or_none("more", 0)).cast("long").alias("n_known"),
         F.lit(counts.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + extra - F.col("n_tokens") * denominator).alias("base_score"),
-        (F.col("model") + extra - F.col("n_tail") * counts.tail_log10).alias("score"),
+        (F.col("base") + or_none("own", 0.0)).alias("base_score"),
+        (F.col("model") + or_none("within", 0.0)).alias("score"),
     )
-

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessella.llm import lm
+from tessella.llm import common, lm
 from tessella.llm.common import bucket
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -31,11 +31,10 @@ def run(docs):
     return lm.score(docs, bucket(F.col("doc_id"), 7) == 2).collect()
 
 
-@pytest.mark.parametrize("most", [300_000, 40])
-def test_base_equals_brute_force(spark, sf, odd_docs, monkeypatch, most):
-    monkeypatch.setattr(lm, "FREQUENT", most)
-    monkeypatch.setattr(lm.frequent, "__defaults__", (most,))
-    tables = [spark.read.parquet(f"{sf}/documents.parquet")] + ([odd_docs] if most == 40 else [])
+@pytest.mark.parametrize("per_root", [24, 0.001])
+def test_base_equals_brute_force(spark, sf, odd_docs, monkeypatch, per_root):
+    monkeypatch.setattr(lm.frequent, "__defaults__", (per_root,))
+    tables = [spark.read.parquet(f"{sf}/documents.parquet")] + ([odd_docs] if per_root < 1 else [])
     for table in tables:
         rows = [(r.doc_id, r.text) for r in table.collect()]
         want = sorted(brute(rows))
@@ -44,40 +43,111 @@ def test_base_equals_brute_force(spark, sf, odd_docs, monkeypatch, most):
         assert all(g[5] == pytest.approx(w[5], rel=1e-9) for g, w in zip(got, want, strict=True))
 
 
-def test_model_beats_unigrams_on_unseen_texts(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    got = [r for r in run(docs) if r.held_out]
-    assert sum(r.score for r in got) > sum(r.base_score for r in got)
-    assert all(r.score < 0 for r in got)
+def paths(n_words):
+    """rank -> [(node, child)], by the classes' definition, one word at a time."""
+    tree, w = lm.Tree(n_words), lm.WIDTH
+    out = {n_words: [(0, w - 1)]}
+    for r in range(n_words):
+        start, _, first, levels, begin = next(b for b in tree.bands if b[0] <= r < b[1])
+        q = r - start
+        out[r] = [(0, first + q // w**levels)] + [(begin[k - 1] + q // w ** (levels - k + 1), q // w ** (levels - k) % w) for k in range(1, levels + 1)]
+    return out
 
 
-def test_probabilities_add_up_to_one():
+def brute_log10(model, path, code):
+    """Sum over the path of log10 softmax, from the weights and the feature hash alone."""
+    total = 0.0
+    for level, (node, child) in enumerate(path):
+        salt = (node + 11) * 668265263 % 2**32
+        rows = [((c ^ salt) * 3266489917 % 2**32) >> (32 - model.bits) for c in (code if level < 2 else code[::2])]
+        z = model.table[[*rows, (1 << model.bits) + node]].astype(np.float64).sum(0)
+        total += (z[child] - math.log(np.exp(z).sum())) / math.log(10)
+    return total
+
+
+def brute_codes(ids, n_words):
+    begin, a, b, m = n_words + 1, 2654435761, 2246822519, 2**32
+    out = []
+    for i in range(len(ids)):
+        one, two = ids[i - 1] if i else begin, ids[i - 2] if i > 1 else begin
+        out.append(((one + 1) * a % m, ((one + 1) * a % m ^ (two + 3) * b % m) * a % m, (two + 7) * b % m ^ 0x5BD1E995))
+    return out
+
+
+@pytest.mark.parametrize("n_words", [0, 3, 600, 9000])
+def test_probabilities_add_up_to_one(n_words):
     rng = np.random.default_rng(9)
-    size = lm.WIDTH * lm.CLASSES
-    m = lm.Model()
-    m.top = rng.normal(size=m.top.shape).astype(np.float32)
-    m.inner = rng.normal(size=m.inner.shape).astype(np.float32)
-    codes = lm.histories(np.array([5, 9, 2]), np.array([0]), 600)[:, [2]]
-    p = lm.log_probability(m, np.repeat(codes, size + 1, axis=1), np.arange(size + 1))
+    m = lm.Model(lm.Tree(n_words), 10)
+    m.table = rng.normal(size=m.table.shape).astype(np.float32)
+    m.table[1 << 10 :] = -50  # outcomes without a word have no mass
+    for p in paths(n_words).values():
+        for node, child in p:
+            m.table[(1 << 10) + node, child] = rng.normal()
+    codes = lm.histories(np.array([5, 9, 2]), np.array([0]), n_words)[:, [2]]
+    p = m.log10(np.repeat(codes, n_words + 1, axis=1), np.arange(n_words + 1))
     assert (10**p).sum() == pytest.approx(1, abs=1e-4)
+    known = paths(n_words)
+    code = brute_codes([5, 9, 2], n_words)[2]
+    for r in (0, n_words // 2, n_words):
+        assert p[r] == pytest.approx(brute_log10(m, known[r], code), abs=1e-4)
+
+
+def test_score_equals_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = bucket(F.col("doc_id"), 7) == 2
+    counts = lm.frequent(lm.word_counts(docs, "text", ~out))
+    model = lm.train(lm.encode(docs, counts, "doc_id", "text", out), counts)
+    model.table = model.table.astype(np.float16).astype(np.float32)
+    rank, known = {w.decode(): i for i, w in enumerate(counts.words)}, paths(len(counts.words))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    c = Counter(w for i, t in rows if not held(i) for w in words(t))
+    rare = sum(c.values()) - int(counts.n.sum()) + len(c) - len(counts.n) + 1
+    got = {r.doc_id: r.score for r in lm.score(docs, out).collect()}
+    for i, t in rows[:25]:
+        ids = [rank.get(w, len(rank)) for w in words(t)]
+        want = sum(brute_log10(model, known[j], k) for j, k in zip(ids, brute_codes(ids, len(rank)), strict=True))
+        want += sum(math.log10((c[w] + 1) / rare) for w in words(t) if w not in rank)
+        assert got[i] == pytest.approx(want, rel=1e-4)
+    assert len(rank) > 512  # more than the words directly below the root
+
+
+def test_gain_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    gains = []
+    for n in (1, 8, 64):
+        got = [r for r in run(docs.repartition(n)) if r.held_out]
+        gains.append((sum(r.score for r in got) - sum(r.base_score for r in got)) / sum(r.n_tokens for r in got))
+        assert all(r.score < 0 for r in got)
+    assert min(gains) > 0.08 and max(gains) < 1.1 * min(gains), gains
 
 
 def test_steps_lower_the_loss():
-    rng = np.random.default_rng(10)
-    ids = np.tile(np.array([1, 40, 3, 700, 2, 5]), 3000) + 0 * rng.integers(0, 2, 18000)
+    ids = np.tile(np.array([1, 40, 3, 700, 2, 5]), 3000)
     codes = lm.histories(ids, np.array([0]), 1000)
-    s = lm.Steps(lm.Model())
-    before = lm.log_probability(s.model, codes, ids).mean()
+    m = lm.Model(lm.Tree(1000), 12)
+    before = m.log10(codes, ids).mean()
     for at in range(0, len(ids), 1000):
-        s.learn(codes[:, at : at + 1000], ids[at : at + 1000])
-    assert lm.log_probability(s.model, codes, ids).mean() > before + 0.5
+        m.learn(codes[:, at : at + 1000], ids[at : at + 1000])
+    assert m.log10(codes, ids).mean() > before + 0.5
+
+
+def test_words_are_split_as_python_does(monkeypatch):
+    texts = ["  aa Bb\tcc\x0b\n" * 50, None, "", " \n", "É x\x85y \x1c"]
+    import pyarrow as pa
+
+    for size in (1 << 20, 7):
+        monkeypatch.setattr(common, "PIECE", size)
+        monkeypatch.setattr(common.pieces, "__defaults__", (size,))
+        ids, distinct, lengths = common.split_words(pa.array(texts))
+        want = [(t or "").encode().lower().split() for t in texts]
+        assert [distinct[i] for i in ids] == [w for x in want for w in x] and lengths.tolist() == [len(x) for x in want]
 
 
-def test_long_texts_are_read_in_pieces(monkeypatch):
-    text = ("aa Bb\tcc\n" * 50).encode()
-    whole = [w for p in lm.tokens(text) for w in p]
-    monkeypatch.setattr(lm, "PIECE", 7)
-    assert [w for p in lm.tokens(text) for w in p] == whole and len(whole) == 151
+def test_long_words_keep_their_own_counts(spark):
+    long = ["x" * 300 + str(k) for k in range(3)]
+    docs = spark.createDataFrame([(i, " ".join([long[i % 3], "a"])) for i in range(60)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_known, round(r.base_score, 9)) for r in run(docs))
+    assert got == sorted((int(i), k, round(s, 9)) for i, _, _, k, _, s in brute([(r.doc_id, r.text) for r in docs.collect()]))
 
 
 def test_empty_and_untrained(spark, no_docs):
