@@ -19,16 +19,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, gathered, slices, split_words, stored
+from .common import discard, flat_words, gathered, slices, stored
 
 #: Outcomes of a softmax.
 WIDTH = 32
 #: Root classes that hold words, that hold classes of words, and that hold deeper classes; one more is for all rare words.
 NEAR, MIDDLE, DEEP = 16, 8, 7
+#: Features of the softmaxes at the root, one below, and deeper: 0 the last word, 1 the last two words, 2 the last but one.
+FEATURES = ((0, 1, 2), (0, 2), (0,))
 #: Words modelled one by one, rows of hashed weights, and a worker's tokens a round, for each square root of the training tokens.
 WORDS_PER_ROOT = 24
 ROWS_PER_ROOT = 28
@@ -40,39 +43,34 @@ RATE = 0.3
 BATCH = 4096
 #: Longer words are known by a digest of 128 bits, so that no key is long.
 LONGEST = 64
-#: Words a counting task holds before it passes its counts on.
-HELD = 400_000
+#: Texts that are split into words together (and no more bytes than a slice has).
+ROWS = 16_384
 #: The end of a text as a word: no word holds white space.
 END = b" "
 #: Rows of weights that travel together.
 BLOCK = 128
 
 
-def key(word: bytes) -> bytes:
-    """A word, or for a long one white space (which no word holds) and its digest."""
-    return word if len(word) <= LONGEST else b" " + xxhash.xxh3_128_hexdigest(word).encode()
+def keys(words: pa.Array) -> pa.Array:
+    """Words as bytes; in place of a long one white space (which no word holds) and its digest."""
+    long = np.flatnonzero(pc.greater(pc.binary_length(words), LONGEST).to_numpy(zero_copy_only=False))
+    plain = words.cast(pa.binary())
+    if not len(long):
+        return plain
+    out = plain.to_pylist()
+    for i in long:
+        out[i] = b" " + xxhash.xxh3_128_hexdigest(out[i]).encode()
+    return pa.array(out, pa.binary())
 
 
 def word_counts(docs: DataFrame, text_col: str, training: Column) -> DataFrame:
-    """(word, n) over all training rows, the end counted once a row; counted in tasks before the shuffle."""
+    """(word, n) over all training rows, the end counted once a row; counted in slices of texts before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, int] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            keys, n = list(held), list(held.values())
-            held.clear()
-            for at in range(0, len(keys), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 50_000], pa.binary()), pa.array(n[at : at + 50_000], pa.int64())], names=["word", "n"])
-
-        for part in slices(batches):
-            ids, distinct, _ = split_words(part.column(0))
-            for w, n in zip(map(key, distinct), np.bincount(ids, minlength=len(distinct)).tolist(), strict=True):
-                held[w] = held.get(w, 0) + n
-            held[END] = held.get(END, 0) + part.num_rows
-            if len(held) > HELD:
-                yield from flush()
-        yield from flush()
+        for part in slices(batches, ROWS):
+            found = flat_words(part.column(0))[0].value_counts()
+            yield pa.RecordBatch.from_arrays([keys(found.field("values")), found.field("counts")], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([part.num_rows], pa.int64())], names=["word", "n"])
 
     found = docs.where(training).select(F.col(text_col).alias("text")).mapInArrow(run, "word binary, n long")
     return found.groupBy("word").agg(F.sum("n").alias("n"))
@@ -162,6 +160,9 @@ class Tree:
                 yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+_ONES = np.ones((WIDTH, 1), np.float32)
+
+
 class Model:
     """Weights: one row of WIDTH for each hashed (feature, node), then one bias row for each node; use of each row."""
 
@@ -187,38 +188,40 @@ class Model:
     def rows(self, codes: np.ndarray, at: np.ndarray, node: np.ndarray, level: int) -> list[np.ndarray]:
         """Rows of weights that a softmax adds up: three features (two below the first class), and the bias."""
         salt = (node.astype(np.uint32) + np.uint32(11)) * np.uint32(668265263)
-        used = codes if level < 2 else codes[::2]
-        return [*(((c[at] ^ salt) * np.uint32(3266489917) >> np.uint32(32 - self.bits)).astype(np.int64) for c in used), (1 << self.bits) + node]
+        used = FEATURES[min(level, len(FEATURES) - 1)]
+        return [*(((codes[k][at] ^ salt) * np.uint32(3266489917) >> np.uint32(32 - self.bits)).astype(np.int64) for k in used), (1 << self.bits) + node]
 
-    def sums(self, rows: list[np.ndarray]) -> np.ndarray:
+    def powers(self, rows: list[np.ndarray]) -> np.ndarray:
+        """exp of the sums of rows (sums above 60 count as 60, so that no power overflows)."""
         z = self.table.take(rows[0], axis=0)
         for r in rows[1:]:
             z += self.table.take(r, axis=0)
-        z -= z.max(1, keepdims=True)
-        return z
+        np.minimum(z, 60, out=z)
+        return np.exp(z, out=z)
 
     def learn(self, codes: np.ndarray, ids: np.ndarray) -> None:
         """One gradient step for the tokens ``ids`` (step sizes by Adagrad, one for each row)."""
         for level, (at, node, child) in enumerate(self.tree.steps(ids)):
             rows = self.rows(codes, at, node, level)
-            p = self.sums(rows)
-            np.exp(p, out=p)
-            p /= p.sum(1, keepdims=True)
+            p = self.powers(rows)
+            p /= p @ _ONES
             p[np.arange(len(at)), child] -= 1
-            self._move(rows, p)
-
-    def _move(self, rows: list[np.ndarray], grad: np.ndarray) -> None:
-        n = len(grad)
-        packed = np.concatenate([r << 32 | np.arange(n) for r in rows])
-        packed.sort()
-        keys = packed >> 32
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        # Sums of each row's run; one outcome after the other, as its gradients fit the cache.
-        total = np.add.reduceat(np.ascontiguousarray(grad.T).take(packed & 0xFFFFFFFF, axis=1), first, axis=1)
-        at = keys[first]
-        self.seen[at] += np.einsum("ij,ij->j", total, total)
-        total *= RATE / np.sqrt(self.seen[at])
-        self.table[at] -= total.T
+            if level < 2:
+                # Few nodes: their biases' gradients are one small product.
+                nodes, place = np.unique(node, return_inverse=True)
+                rows.pop()
+                self._move(nodes + (1 << self.bits), (place == np.arange(len(nodes))[:, None]).astype(np.float32) @ p)
+            packed = np.concatenate([r << 32 | np.arange(len(at)) for r in rows])
+            packed.sort()
+            keys = packed >> 32
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            # Sums of each row's run; one outcome after the other, as its gradients fit the cache.
+            total = np.add.reduceat(np.ascontiguousarray(p.T).take(packed & 0xFFFFFFFF, axis=1), first, axis=1)
+            self._move(keys[first], total.T)
+
+    def _move(self, at: np.ndarray, total: np.ndarray) -> None:
+        self.seen[at] += np.einsum("ij,ij->i", total, total)
+        self.table[at] -= total * (RATE / np.sqrt(self.seen[at]))[:, None]
 
     def log10(self, codes: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """log10 P of each token given its history (of the class alone for rare words)."""
@@ -227,10 +230,8 @@ class Model:
             s = slice(begin, begin + BATCH)
             part = np.zeros(len(ids[s]))
             for level, (at, node, child) in enumerate(self.tree.steps(ids[s])):
-                z = self.sums(self.rows(codes[:, s], at, node, level))
-                own = z[np.arange(len(at)), child]
-                np.exp(z, out=z)
-                part[at] += own - np.log(z.sum(1))
+                z = self.powers(self.rows(codes[:, s], at, node, level))
+                part[at] += np.log(z[np.arange(len(at)), child] / (z @ _ONES)[:, 0])
             out[s] = part / np.log(10)
         return out
 
@@ -258,29 +259,32 @@ def encode(docs: DataFrame, counts: Counts, id_col: str, text_col: str, held_out
     blob, n_words, log_n = b"\n".join(counts.words), len(counts.words), np.append(np.log10((counts.n + 1.0) / counts.whole), 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = dict(zip(blob.split(b"\n"), range(n_words), strict=True)) if n_words else {}
-        end = known.get(END, n_words)
+        known = pa.array(blob.split(b"\n") if n_words else [], pa.binary())
+        end = pc.index_in(pa.scalar(END, pa.binary()), value_set=known).as_py()
+        end = n_words if end is None else end
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for part in slices(batches):
-                word, distinct, lengths = split_words(part.column(3))
-                keys = list(map(key, distinct))
-                ranks = np.fromiter((known.get(w, n_words) for w in keys), np.int64, len(keys))
+            for part in slices(batches, ROWS):
+                flat, lengths = flat_words(part.column(3))
+                coded = flat.dictionary_encode()
+                names = keys(coded.dictionary)
+                word = coded.indices.to_numpy()
                 n_docs, owner = len(lengths), np.repeat(np.arange(len(lengths)), lengths)
+                ranks = pc.index_in(names, value_set=known).fill_null(n_words).to_numpy()[word]
                 ids = np.empty(len(word) + n_docs, np.int32)
                 stops = np.cumsum(lengths + 1)
                 inside = np.ones(len(ids), bool)
                 inside[stops - 1] = False
-                ids[inside], ids[stops - 1] = ranks[word], end
+                ids[inside], ids[stops - 1] = ranks, end
                 owner = np.concatenate([owner, np.arange(n_docs)])
-                every = np.concatenate([ranks[word], np.full(n_docs, end)])
+                every = np.concatenate([ranks, np.full(n_docs, end, ranks.dtype)])
                 other = np.flatnonzero(every == n_words)
                 # Rare words of each text, once each; the end is rare where no training text has one.
-                keys.append(END)
-                which = np.concatenate([word, np.full(n_docs, len(keys) - 1)])[other]
-                pairs, times = np.unique(owner[other] * len(keys) + which, return_counts=True)
-                offsets = np.concatenate([[0], np.cumsum(np.bincount(pairs // len(keys), minlength=n_docs))])
-                items = pa.StructArray.from_arrays([pa.array([keys[i] for i in pairs % len(keys)], pa.binary()), pa.array(times, pa.int64())], names=["word", "times"])
+                which = np.concatenate([word, np.full(n_docs, len(names), word.dtype)])[other]
+                pairs, times = np.unique(owner[other] * (len(names) + 1) + which, return_counts=True)
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(pairs // (len(names) + 1), minlength=n_docs))])
+                own = pa.concat_arrays([names, pa.array([END], pa.binary())]).take(pa.array(pairs % (len(names) + 1)))
+                items = pa.StructArray.from_arrays([own, pa.array(times, pa.int64())], names=["word", "times"])
                 cuts = np.concatenate([[0], stops])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -378,7 +382,7 @@ def train(encoded: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
             )
 
         schema = "block long, used binary, change binary"
-        given = dealt.where(F.col("round") == k).repartition(workers, "worker").sortWithinPartitions("worker", "row").select("worker", "ids")
+        given = dealt.where(F.col("round") == k).repartitionByRange(workers, "worker").sortWithinPartitions("worker", "row").select("worker", "ids")
         merged = given.mapInArrow(run, schema).repartition("block").mapInArrow(add, schema).toArrow()
         new, new_seen = table.astype(np.float32), seen.copy()
         for block, used, change in zip(merged.column("block").to_pylist(), merged.column("used"), merged.column("change"), strict=True):
