@@ -105,8 +105,8 @@ def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
         at = end
 
 
-def split_words(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """Words (A-Z lower-cased) of a column of texts: places in the list of distinct words, that list, words of each text.
+def flat_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words (A-Z lower-cased) of a column of texts one after the other, and the words of each text.
 
     Words are runs of characters other than ASCII white space; nulls and empty texts have none.
     """
@@ -117,15 +117,21 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
         texts = pa.array([p for x in cut for p in x], pa.binary()).cast(pa.string())
     else:
         owner = np.arange(n)
+    if not len(texts):
+        return pa.array([], pa.string()), np.zeros(n, np.int64)
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
     starts = lists.offsets.to_numpy()
-    flat = lists.values.slice(starts[0], starts[-1] - starts[0]) if len(lists) else pa.array([], pa.string())
+    flat = lists.values.slice(starts[0], starts[-1] - starts[0])
     # The splitter gives an empty string before leading and after trailing white space.
     full = pc.greater(pc.binary_length(flat), 0)
-    sums = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))]).astype(np.int64)
-    at = starts - starts[0] if len(starts) else starts
-    lengths = np.bincount(owner, sums[at[1:]] - sums[at[:-1]], n).astype(np.int64) if len(lists) else np.zeros(n, np.int64)
-    coded = flat.filter(full).dictionary_encode()
+    sums = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))]).astype(np.int64)[starts - starts[0]]
+    return flat.filter(full), np.bincount(owner, np.diff(sums), n).astype(np.int64)
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Places of a column's words in the list of distinct words, that list, words of each text (see :func:`flat_words`)."""
+    flat, lengths = flat_words(texts)
+    coded = flat.dictionary_encode()
     return coded.indices.to_numpy().astype(np.int64), raw(coded.dictionary), lengths
 
 
@@ -146,3 +152,24 @@ def gathered(batches: Iterator[pa.RecordBatch], rows: int = 4096) -> Iterator[pa
             held, n = [], 0
     if n:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def hash_sample(rows: DataFrame, key: str, group: str, most: int, groups: int) -> list[tuple]:
+    """(key, group) of up to ``most`` distinct keys of each group: those whose hashes are smallest.
+
+    The ``groups`` most frequent groups take part.  A hash limit that about twice as many keys meet goes first, so
+    no task and no window holds a group; then what is left (about ``2 * most * groups`` rows) is collected.
+    Null keys and groups take no part.
+    """
+    rows = rows.select(F.col(key).alias("key"), F.col(group).alias("group")).where("key is not null and group is not null")
+    sizes = rows.groupBy("group").agg(F.approx_count_distinct("key", 0.02).alias("n"), F.count("*").alias("rows")).orderBy(F.desc("rows"), "group").limit(groups).collect()
+    if not sizes:
+        return []
+    limits = [(r["group"], int(min(1.0, 2.2 * most / max(1, r["n"])) * 2**52)) for r in sizes]
+    schema = f"group {rows.schema['group'].dataType.simpleString()}, top long"
+    small = F.broadcast(rows.sparkSession.createDataFrame(limits, schema))  # at most ``groups`` rows
+    hashed = rows.withColumn("u", F.shiftrightunsigned(F.xxhash64("key"), 12)).join(small, "group").where("u < top")
+    found: dict = {}
+    for r in sorted(hashed.select("key", "group", "u").distinct().collect(), key=lambda r: (r["u"], str(r["key"]))):
+        found.setdefault(r["group"], []).append((r["key"], r["group"]))
+    return [x for rows_ in found.values() for x in rows_[:most]]
