@@ -1,4 +1,7 @@
-"""URL filter: rules, and for the rest two character models whose log-likelihood ratio decides.  Native."""
+"""URL filter: rules, and for the rest two character models whose log-likelihood ratio decides.  Native.
+
+The models learn from URLs that a rule accepts or rejects, and from labels if the caller has any.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +10,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket, stored
+from .common import bucket, discard, stored
 
 #: (verdict, rule): host suffix and path prefix.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-#: Host or path words that mark a URL as rejected for training, unless a rule allows it.
-REJECT_WORDS = ("casino", "poker", "bets", "betting", "pills", "viagra", "porn", "xxx", "escort", "payday")
 #: Characters of a URL that the models tell apart: a-z, one digit, . - / _ and one for all else (32 codes).
 LETTERS = "abcdefghijklmnopqrstuvwxyz0.-/_"
 CODES = 32
@@ -73,31 +74,32 @@ def _positions(codes: Column) -> Column:
 
 
 def model(training: DataFrame, text_col: str = "url_text", label_col: str = "accepted") -> DataFrame:
-    """(ctx, ratios): log P(sym | ctx, accepted) - log P(sym | ctx, rejected), an array over the 32 symbols.
+    """(ctx, ratios): log P(sym | ctx, accepted) - log P(sym | ctx, rejected), an array over the 32 symbols, for every context.
 
-    Variable order: for each context seen, the longest suffix with counts is smoothed by the next shorter
-    one down to the uniform distribution (P = (n + B * P_shorter) / (N + B)).  Counts are per class over
-    all training URLs; there are at most 32 ** 3 contexts.
+    Variable order: the counts of a context are smoothed by the next shorter one down to the uniform distribution,
+    P = (n + B * P_shorter) / (N + B).  A context without counts thus has the probabilities of its longest suffix
+    that has some.  Counts are per class over all training URLs; there are 32 ** 3 contexts of the longest order.
     """
+    spark = training.sparkSession
     chars = _characters(training, text_col, label_col).withColumnRenamed(label_col, "accepted")
     counts = stored(chars.groupBy("ctx", "sym").agg(F.sum(F.col("accepted").cast("long")).alias("yes"), F.sum((~F.col("accepted")).cast("long")).alias("no")), "grams")
-    zero = F.transform(F.sequence(F.lit(0), F.lit(CODES - 1)), lambda s: F.lit(0).cast("long"))
 
     def table(order: int) -> DataFrame:
-        """Counts by symbol of each context of ``order`` characters, as arrays."""
+        """Counts by symbol of each context of ``order`` characters, as arrays; 0 for contexts that were not seen."""
         cut = counts.select((F.col("ctx") % CODES**order).alias("ctx"), "sym", "yes", "no").groupBy("ctx", "sym").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
         grouped = cut.groupBy("ctx").agg(F.map_from_entries(F.collect_list(F.struct("sym", F.struct("yes", "no")))).alias("m"))
         pick = lambda f: F.transform(F.sequence(F.lit(0), F.lit(CODES - 1)), lambda s: F.coalesce(F.col("m")[s][f], F.lit(0).cast("long")))
-        return grouped.select("ctx", pick("yes").alias("yes"), pick("no").alias("no"))
+        every = spark.range(CODES**order).select(F.col("id").cast("int").alias("ctx"))
+        return every.join(grouped, "ctx", "left").select("ctx", pick("yes").alias("yes"), pick("no").alias("no"))
 
     def smooth(n: Column, shorter: Column) -> Column:
         total = F.aggregate(n, F.lit(0.0), lambda a, x: a + x)
         return F.zip_with(n, shorter, lambda x, p: (x + BACK_OFF * p) / (total + BACK_OFF))
 
-    uniform = F.transform(zero, lambda _: F.lit(1.0 / CODES))
+    uniform = F.transform(F.sequence(F.lit(0), F.lit(CODES - 1)), lambda _: F.lit(1.0 / CODES))
     level = table(0).select("ctx", smooth(F.col("yes"), uniform).alias("p_yes"), smooth(F.col("no"), uniform).alias("p_no"))
     for order in range(1, MAX_CONTEXT + 1):
-        longer = table(order).withColumn("short", F.col("ctx") % CODES ** (order - 1))
+        longer = table(order).withColumn("short", (F.col("ctx") % CODES ** (order - 1)).cast("int"))
         level = longer.join(level.withColumnRenamed("ctx", "short"), "short").select(
             "ctx", smooth(F.col("yes"), F.col("p_yes")).alias("p_yes"), smooth(F.col("no"), F.col("p_no")).alias("p_no")
         )
@@ -105,14 +107,13 @@ def model(training: DataFrame, text_col: str = "url_text", label_col: str = "acc
 
 
 def ratio(urls: DataFrame, grams: DataFrame, text_col: str, key: str) -> DataFrame:
-    """(key, llr): mean log-likelihood ratio per character of each key's text (0 where no context is known).
+    """(key, llr): mean log-likelihood ratio per character of each key's text, its end included.
 
-    The model has at most 32 ** 3 rows of 32 doubles (8.4 MB) by construction, so it is broadcast.  Characters
+    The model has 32 ** 3 rows of 32 doubles (8.4 MB) by construction, so it is broadcast.  Characters
     are summed before the shuffle: one partial row per URL.
     """
-    chars = _characters(urls, text_col, key)
-    met = chars.join(F.broadcast(grams), "ctx", "left")
-    return met.groupBy(key).agg(F.avg(F.coalesce(F.get("ratios", F.col("sym")), F.lit(0.0))).alias("llr"))
+    met = _characters(urls, text_col, key).join(F.broadcast(grams), "ctx")
+    return met.groupBy(key).agg(F.avg(F.get("ratios", F.col("sym"))).alias("llr"))
 
 
 def threshold(scored: DataFrame, step: float = 0.01, cost: float = 2.0) -> float:
@@ -132,38 +133,29 @@ def threshold(scored: DataFrame, step: float = 0.01, cost: float = 2.0) -> float
     return at
 
 
-def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, reject_words: tuple[str, ...] = REJECT_WORDS) -> DataFrame:
+def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, labels: DataFrame | None = None) -> DataFrame:
     """(id, host, path, rule, verdict, llr) for every row.
 
-    Training: URLs that a rule blocks, or that hold a reject word and no rule allows, are rejected; URLs that
-    a rule allows are accepted, and so are those with neither rule nor reject word (a rule's own host words
-    must not be all that the models learn).  A fifth of both, by a hash, is kept out of the counts and sets
-    the threshold.  Without accepted or without rejected URLs nothing is blocked but by rules.  Null urls and
-    urls without '://' have empty host and path, no rule, and are allowed (there is nothing to object to).
-    Repeated rows each get their row (rows are told apart by a row number), an empty table gives none.
+    Training: URLs that a rule allows are accepted and URLs that a rule blocks are rejected; ``labels`` (url,
+    accepted) adds URLs of known worth.  A fifth of the distinct URLs, by a hash of the URL, is kept out of the
+    counts and sets the threshold, so no URL is on both sides.  Without accepted or without rejected URLs nothing
+    is blocked but by rules.  Null urls and urls without '://' have empty host and path, no rule, no ``llr``, and are
+    allowed (there is nothing to object to).  Repeated rows each get their row, rows without id too; an empty table
+    gives none.  Columns other than the two named are not read.
     """
-    host, path = host_path(F.col(url_col))
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("found", rule_for(F.col("host"), F.col("path"), rules)).withColumn("text", F.concat("host", "path"))
-    spam = F.col("text").rlike("(?i)" + "|".join(reject_words)) if reject_words else F.lit(False)
-    rows = rows.select(
-        F.xxhash64("id", "text").alias("key"), "id", "host", "path", F.col("found.rule").alias("rule"), F.col("found.verdict").alias("ruled"), "text",
-        F.when(F.col("found.verdict") == "allow", True).when(F.col("found.verdict") == "block", False).when(F.col("text") == "", None).otherwise(~spam).alias("accepted"),
-    )
-    labelled = rows.where("accepted is not null")
-    kept_out = bucket(F.col("key"), CALIBRATE) == 0
-    grams = stored(model(labelled.where(~kept_out), "text"), "urls")
-    texts = rows.where("text <> ''").select("text").distinct()
+    def parsed(df: DataFrame, url: str, *keep: Column) -> DataFrame:
+        host, path = host_path(F.col(url))
+        return df.select(*keep, host.alias("host"), path.alias("path")).withColumn("text", F.concat("host", "path"))
+
+    rows = parsed(pages, url_col, F.col(id_col).cast("long").alias("id")).withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
+    known = rows.where("found is not null and text <> ''").select("text", (F.col("found.verdict") == "allow").alias("accepted"))
+    if labels is not None:
+        known = known.union(parsed(labels, "url", F.col("accepted")).where("accepted is not null and text <> ''").select("text", "accepted"))
+    kept_out = bucket(F.xxhash64("text"), CALIBRATE) == 0
+    grams = stored(model(known.where(~kept_out), "text"), "urls")
+    texts = rows.where("text <> ''").select("text").union(known.where(kept_out).select("text")).distinct()
     scored = stored(ratio(texts, grams, "text", "text"), "ratios")
-    held = labelled.where(kept_out).select("text", "accepted")
-    limit = threshold(held.join(scored, "text"))
-    return (
-        rows.join(scored, "text", "left")
-        .select(
-            F.col("id").alias(id_col), "host", "path", "rule",
-            F.coalesce("ruled", F.when(F.col("llr") < limit, "block").otherwise("allow")).alias("verdict"),
-            "llr",
-        )
-    )
-
-
+    discard(grams)
+    limit = threshold(known.where(kept_out).join(scored, "text"))
+    judged = F.coalesce("found.verdict", F.when(F.col("llr") < limit, "block").otherwise("allow"))
+    return rows.join(scored, "text", "left").select(F.col("id").alias(id_col), "host", "path", F.col("found.rule").alias("rule"), judged.alias("verdict"), "llr")

@@ -6,9 +6,6 @@ from pyspark.sql import functions as F
 
 from tessella.llm import urls
 
-WORDS = re.compile("|".join(urls.REJECT_WORDS), re.I)
-
-
 def split(url):
     if url is None or "://" not in url:
         return "", ""
@@ -38,19 +35,20 @@ def brute_llr(training, texts):
         for i in range(3, len(c)):
             for order in range(4):
                 n[yes][order][tuple(c[i - order : i])][c[i]] += 1
-    seen = [set(n[True][o]) | set(n[False][o]) for o in range(4)]
 
     def p(yes, ctx, sym):
         got = 1 / 32
         for order in range(len(ctx) + 1):
-            row = n[yes][order][ctx[len(ctx) - order :]]
-            got = (row[sym] + 2 * got) / (sum(row.values()) + 2)
+            row = n[yes][order].get(ctx[len(ctx) - order :])
+            if row is None:  # not seen: the longest known suffix decides
+                break
+            got = (row.get(sym, 0) + 2 * got) / (sum(row.values()) + 2)
         return got
 
     out = {}
     for text in texts:
         c = codes(text)
-        r = [math.log(p(True, tuple(c[i - 3 : i]), c[i]) / p(False, tuple(c[i - 3 : i]), c[i])) if tuple(c[i - 3 : i]) in seen[3] else 0.0 for i in range(3, len(c))]
+        r = [math.log(p(True, tuple(c[i - 3 : i]), c[i]) / p(False, tuple(c[i - 3 : i]), c[i])) for i in range(3, len(c))]
         out[text] = sum(r) / len(r)
     return out
 
@@ -64,18 +62,21 @@ def test_models_equal_brute_force(spark):
     assert all(abs(got[t] - want[t]) < 1e-9 for t in texts)
 
 
-def test_whole_query_equals_brute_force(spark, sf):
-    pages = spark.read.parquet(f"{sf}/pages.parquet")
-    got = {r.page_id: r for r in urls.judge(pages).collect()}
+def kept_out(spark, texts):
+    """The texts whose hash keeps them out of the counts."""
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "t string")
+    return {r.t for r in df.where("crc32(cast(cast(xxhash64(t) as string) as binary)) % 5 = 0").collect()}
+
+
+def check(spark, pages, labels=()):
+    given = spark.createDataFrame(list(labels), "url string, accepted boolean") if labels else None
+    got = {r.page_id: r for r in urls.judge(pages, labels=given).collect()}
     rows = {r.page_id: split(r.url) for r in pages.collect()}
     assert len(got) == len(rows)
-    key = {r.id: r.k for r in pages.select(F.col("page_id").alias("id"), F.concat(*urls.host_path(F.col("url"))).alias("t")).select("id", (F.crc32(F.xxhash64("id", "t").cast("string").cast("binary")) % 5).alias("k")).collect()}
-    label = {}
-    for i, (host, path) in rows.items():
-        verdict = rule(host, path)[1]
-        label[i] = verdict == "allow" if verdict else not WORDS.search(host + path)
-    llr = brute_llr([("".join(rows[i]), label[i]) for i in rows if key[i]], {"".join(x) for x in rows.values()})
-    held = [(llr["".join(rows[i])], label[i]) for i in rows if not key[i]]
+    known = [("".join(x), rule(*x)[1] == "allow") for x in rows.values() if rule(*x)[1]] + [("".join(split(u)), y) for u, y in labels]
+    out = kept_out(spark, {t for t, _ in known})
+    llr = brute_llr([k for k in known if k[0] not in out], {"".join(x) for x in rows.values()} | out)
+    held = [(llr[t], y) for t, y in known if t in out]
     limit = urls.threshold(spark.createDataFrame(held, "llr double, accepted boolean"))
     for i, (host, path) in rows.items():
         r, verdict = rule(host, path)
@@ -83,6 +84,27 @@ def test_whole_query_equals_brute_force(spark, sf):
         assert (got[i].host, got[i].path, got[i].rule) == (host, path, r)
         assert abs(got[i].llr - x) < 1e-9
         assert got[i].verdict == (verdict or ("block" if x < limit else "allow"))
+    return got, held, limit
+
+
+def test_whole_query_equals_brute_force(spark, sf):
+    check(spark, spark.read.parquet(f"{sf}/pages.parquet"))
+
+
+def test_labels_teach_the_models(spark, sf):
+    """Spam hosts that the caller labels are blocked under names that were not labelled."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    spam = [(f"http://{w}-{i}.example.com/en/{i}", False) for i in range(150) for w in ("casino", "free-bets")]
+    good = [(r.url, True) for r in pages.where("page_id > 2").collect() if not rule(*split(r.url))[1] and not re.search("casino|bets|pills|ads", r.url)]
+    new = spark.createDataFrame([(1, "http://www.casino-win.example.com/en/7777"), (2, "http://m.therst.example.com/en/7777")], "page_id long, url string")
+    got, _, _ = check(spark, pages.select("page_id", "url").where("page_id > 2").union(new), spam + good)
+    assert got[1].verdict == "block" and got[2].verdict == "allow"
+
+
+def test_held_out_rule_urls_are_told_apart(spark):
+    _, held, limit = check(spark, spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    yes, no = [x >= limit for x, y in held if y], [x < limit for x, y in held if not y]
+    assert yes and no and sum(yes) / len(yes) > 0.9 and sum(no) / len(no) > 0.9
 
 
 def test_odd_urls_and_rules(spark):
