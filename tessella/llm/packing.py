@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
+from bisect import bisect_left
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,56 +12,63 @@ from .common import fresh, words
 #: Tokens of a padded batch.
 TOKEN_BUDGET = 16_384
 BUCKETS = 12
-#: Lengths up to this are told apart one by one; above it, this many steps for each doubling.
-STEPS = 128
 #: Documents that are numbered together; a bucket is cut into as many shards as it needs.
 SHARD_ROWS = 50_000
 
 
-def cell(length: Column, steps: int = STEPS) -> Column:
-    """Histogram cell of a length: the length itself below 2 * steps, then ``steps`` cells for each doubling.
+def histogram(lengths: DataFrame, length_col: str) -> list[tuple[int, int]]:
+    """(length, documents) for each length, in order.
 
-    At most 2 * steps + 32 * steps cells cover all lengths below 2 ** 39, whatever the corpus.
+    k distinct lengths need more than k * k / 2 tokens, so the driver gets at most sqrt(2 * tokens) rows.
     """
-    bits = F.greatest(F.lit(0), F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double"))).cast("int") - int(np.log2(steps)))
-    return F.when(length < 2 * steps, length.cast("long")).otherwise(bits.cast("long") * steps + F.call_function("shiftright", length.cast("long"), bits))
-
-
-def histogram(lengths: DataFrame, length_col: str, steps: int = STEPS) -> list[tuple[int, int, int]]:
-    """(largest length, documents, tokens) of each cell in order; bounded by the number of cells."""
-    rows = lengths.groupBy(cell(F.col(length_col), steps).alias("cell")).agg(
-        F.max(length_col).alias("top"), F.count("*").alias("n"), F.sum(length_col).alias("tokens")
-    )
-    return sorted((r.top, r.n, r.tokens) for r in rows.collect())
+    return sorted((r[0], r[1]) for r in lengths.groupBy(length_col).agg(F.count("*")).collect())
 
 
-def boundaries(hist: list[tuple[int, int, int]], buckets: int = BUCKETS) -> list[int]:
-    """Upper ends of at most ``buckets`` buckets with the least padding (dynamic programming).
+def boundaries(hist: list[tuple[int, int]], buckets: int = BUCKETS) -> list[int]:
+    """Upper ends of at most ``buckets`` buckets with the least padding (dynamic programming, exact integers).
 
-    The padding of a bucket is its end times its documents, less their tokens; ends are the cells' largest
-    lengths.  Among equal solutions the one with fewest buckets, then smallest ends, is taken.
+    The padding of a bucket is its end times its documents, less their tokens, so a bucket after the first i lengths
+    that ends at the j-th adds end * (n_j - n_i) to what the first i cost: a line in ``end`` for each i.  The least of
+    these lines is kept as their lower envelope, so a bucket more costs time in proportion to the lengths.  Among equal
+    solutions the one with fewest buckets, then smallest ends, is taken.
     """
     if not hist:
         return []
-    top = np.array([h[0] for h in hist], np.float64)
-    n = np.concatenate([[0], np.cumsum([h[1] for h in hist])]).astype(np.float64)
-    tokens = np.concatenate([[0], np.cumsum([h[2] for h in hist])]).astype(np.float64)
-    m = len(hist)
-    cost = np.full(m + 1, np.inf)
-    cost[0] = 0
+    top, m = [h[0] for h in hist], len(hist)
+    n = [0]
+    for _, count in hist:
+        n.append(n[-1] + count)
+    cost: list[int | None] = [0] + [None] * m
     back, totals = [], []
     for _ in range(min(buckets, m)):
-        new, choice = np.full(m + 1, np.inf), np.zeros(m + 1, int)
+        new: list[int | None] = [None] * (m + 1)
+        choice = [0] * (m + 1)
+        lines: list[int] = []  # of lengths i: cost[i] - n[i] * end
+        first = 0
         for j in range(1, m + 1):
-            whole = cost[:j] + top[j - 1] * (n[j] - n[:j]) - (tokens[j] - tokens[:j])
-            choice[j] = int(whole.argmin())
-            new[j] = whole[choice[j]]
+            i = j - 1
+            if cost[i] is not None:
+                while len(lines) - first > 1:
+                    a, b = lines[-2], lines[-1]
+                    # b is nowhere below both a and i.
+                    if (cost[i] - cost[a]) * (n[b] - n[a]) <= (cost[b] - cost[a]) * (n[i] - n[a]):
+                        lines.pop()
+                    else:
+                        break
+                lines.append(i)
+            x = top[j - 1]
+            while len(lines) - first > 1 and cost[lines[first + 1]] - n[lines[first + 1]] * x < cost[lines[first]] - n[lines[first]] * x:
+                first += 1
+            if len(lines) > first:
+                choice[j] = lines[first]
+                new[j] = cost[lines[first]] + (n[j] - n[lines[first]]) * x
         cost = new
         back.append(choice)
         totals.append(new[m])
-    k, j, ends = int(np.argmin(totals)), m, []
+    k = min(range(len(totals)), key=lambda b: (totals[b] is None, totals[b] or 0))
+    j, ends = m, []
     for level in range(k, -1, -1):
-        ends.append(int(top[j - 1]))
+        ends.append(top[j - 1])
         j = back[level][j]
     return ends[::-1]
 
@@ -72,7 +80,6 @@ def pack(
     length: Column | None = None,
     budget: int = TOKEN_BUDGET,
     buckets: int = BUCKETS,
-    steps: int = STEPS,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """``docs`` with n_tokens, bucket, bucket_len, shard, batch and batch_id columns; every row is packed.
@@ -80,17 +87,20 @@ def pack(
     ``length``: the tokens of a row, by default the words of its whole text (null and empty texts have 0
     tokens and go to the first bucket).  A batch holds up to max(1, budget // bucket_len) rows of one bucket,
     padded to bucket_len; a document longer than the budget is a batch of its own.  Rows of a bucket are
-    dealt to shards by a hash of id and length, and numbered within the shard, so no window holds more than
-    about ``shard_rows`` rows; all batches of a shard but the last are full.  Columns of ``docs`` that have
+    dealt to shards by a hash of id and length (without an id, of the row's place), and numbered within the shard, so
+    a window holds about ``shard_rows`` rows, and more only where one id repeats; all batches of a shard but the last
+    are full.  Columns of ``docs`` that have
     one of the names used here keep it, and the new column gets an underscore.  Repeated rows are packed
     each; ties in length go by id; an empty table stays empty.
     """
     names = {x: fresh(docs, x) for x in ("n_tokens", "bucket", "bucket_len", "shard", "batch", "batch_id")}
     tokens = (F.size(words(F.col(text_col))) if length is None else F.coalesce(length, F.lit(0))).cast("long")
     measured = docs.withColumn(names["n_tokens"], tokens)
-    hist = histogram(docs.select(tokens.alias("n_tokens")), "n_tokens", steps)
+    hist = histogram(docs.select(tokens.alias("n_tokens")), "n_tokens")
     ends = boundaries(hist, buckets) or [0]
-    counts = [sum(n for top, n, _ in hist if (ends[k - 1] if k else -1) < top <= ends[k]) for k in range(len(ends))]
+    counts = [0] * len(ends)
+    for length_, n in hist:
+        counts[bisect_left(ends, length_)] += n
     shards = [max(1, -(-c // shard_rows)) for c in counts]
 
     def by_bucket(values: list[int]) -> Column:
@@ -102,7 +112,7 @@ def pack(
     dealt = measured.withColumns({
         names["bucket"]: by_bucket(list(range(len(ends)))).cast("int"),
         names["bucket_len"]: by_bucket(ends),
-        names["shard"]: F.pmod(F.xxhash64(F.col(id_col), F.col(names["n_tokens"])), by_bucket(shards)).cast("int"),
+        names["shard"]: F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.monotonically_increasing_id()), F.col(names["n_tokens"])), by_bucket(shards)).cast("int"),
     })
     place = fresh(docs, "place")
     size = by_bucket([max(1, budget // max(1, e)) for e in ends])
