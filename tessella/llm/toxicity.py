@@ -5,19 +5,23 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import gathered, slices
+from .common import discard, gathered, hash_sample, slices, split_words, stored
 
 #: Hashed features: a word and its beginnings, so that forms of one stem share weights.
 DIM = 1 << 18
 STEMS = (4, 5, 6, 7, 8)
 #: Labelled documents that a fit reads at most, half of them for each label where there are enough.
 MAX_TRAIN_DOCS = 3000
+#: Bytes of their texts at most, half of them for each label.
+MAX_TRAIN_BYTES = 16 << 20
 THRESHOLD = 0.3
 #: Sentences end at these marks or at a line's end.
 SENTENCE = re.compile(rb"(?<=[.!?])[\x20\x09-\x0D]+|\n+")
@@ -34,9 +38,30 @@ def features(word: bytes) -> list[int]:
     return [zlib.crc32(b"=" + bare) % DIM, *(zlib.crc32(bare[:k]) % DIM for k in STEMS if k <= len(bare))]
 
 
-def sentences(text: bytes) -> list[list[bytes]]:
-    """The distinct words of each sentence, lower-cased; sentences without words are left out."""
-    return [list(dict.fromkeys(w)) for w in map(bytes.split, SENTENCE.split(text.lower())) if w]
+@dataclass
+class Bags:
+    """Sentences of several texts as sets of words: (sentence, word) pairs, each sentence's text, the distinct words."""
+
+    sentence: np.ndarray
+    word: np.ndarray
+    text_of: np.ndarray
+    distinct: list[bytes]
+    texts: int
+
+    @staticmethod
+    def of(texts: pa.Array) -> Bags:
+        """Sentences end after a word that ends with . ! or ?, and at a line's end (or a lone U+0001); those without words are left out."""
+        ids, distinct, lengths = split_words(pc.replace_substring(texts.fill_null(""), "\n", " \x01 "))
+        mark = np.array([w == b"\x01" for w in distinct], bool)
+        stop = mark | np.array([w[-1] in b".!?" for w in distinct], bool)
+        text_of = np.repeat(np.arange(len(lengths)), lengths)
+        begins = np.ones(len(ids), bool)
+        begins[1:] = stop[ids[:-1]] | (text_of[1:] != text_of[:-1])
+        sentence = np.cumsum(begins)
+        words = ~mark[ids] if len(ids) else np.zeros(0, bool)
+        pairs = np.unique(sentence[words] * len(distinct) + ids[words])
+        kept, place = np.unique(pairs // max(1, len(distinct)), return_inverse=True)
+        return Bags(place, pairs % max(1, len(distinct)), text_of[begins][kept - 1], distinct, len(lengths))
 
 
 class Model:
@@ -48,10 +73,15 @@ class Model:
     def words(self) -> _Weights:
         return _Weights(self.weights)
 
-    def score(self, text: bytes, words: _Weights) -> float:
-        """Noisy-or of the sentences, 1 - prod(1 - p); 0 without sentences.  ``words`` caches weights."""
-        z = np.array([sum(map(words.__getitem__, s)) for s in sentences(text)]) + self.bias
-        return float(-np.expm1(-np.logaddexp(0, z).sum()))
+    def totals(self, bags: Bags, words: _Weights, shift: float = 0.0) -> np.ndarray:
+        """-log P(label 0) of each text: the sum over its sentences.  ``words`` caches weights."""
+        own = np.fromiter(map(words.__getitem__, bags.distinct), np.float64, len(bags.distinct))
+        z = np.bincount(bags.sentence, own[bags.word], len(bags.text_of)) + self.bias + shift
+        return np.bincount(bags.text_of, np.logaddexp(0, z), bags.texts)
+
+    def scores(self, bags: Bags, words: _Weights) -> np.ndarray:
+        """Noisy-or of each text's sentences, 1 - prod(1 - p); 0 without sentences."""
+        return -np.expm1(-self.totals(bags, words))
 
 
 class _Weights(dict):
@@ -68,21 +98,16 @@ class _Weights(dict):
         return got
 
 
-def fit_noisy_or(docs: list[list[list[bytes]]], labels: np.ndarray, rounds: int = 100, rate: float = 0.05, penalty: float = 1e-5, sparse: float = 3e-4, min_docs: int = 3) -> Model:
+def fit_noisy_or(bags: Bags, labels: np.ndarray, rounds: int = 100, rate: float = 0.05, penalty: float = 1e-5, sparse: float = 3e-4, min_docs: int = 3) -> Model:
     """Maximum likelihood of document labels under the noisy-or of sentence scores (Adam, full batches).
 
-    An L1 term keeps to the few features that explain the labels.  Both labels weigh the same.  Features of fewer than ``min_docs`` documents keep weight 0.  One label
-    alone (or no documents) gives a model without weights.
+    An L1 term keeps to the few features that explain the labels.  Both labels weigh the same.  Features of fewer than
+    ``min_docs`` documents keep weight 0.  One label alone (or no documents) gives a model without weights.
     """
-    weights = np.zeros(DIM)
-    if not len(docs) or labels.min() == labels.max():
-        return Model(weights, 20.0 if len(docs) and labels.max() else -20.0)
-    known: dict[bytes, int] = {}
-    word = np.array([known.setdefault(w, len(known)) for d in docs for s in d for w in s], np.int64)
-    lengths = np.array([len(s) for d in docs for s in d])
-    sent_of = np.repeat(np.arange(len(lengths)), lengths)
-    doc_of = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    ids = [features(w) for w in known]
+    if not len(labels) or labels.min() == labels.max():
+        return Model(np.zeros(DIM), 20.0 if len(labels) and labels.max() else -20.0)
+    word, sent_of, doc_of, n = bags.word, bags.sentence, bags.text_of, bags.texts
+    ids = [features(w) for w in bags.distinct]
     flat = np.array([i for x in ids for i in x], np.int64)
     owner = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
     # Document frequency of the features, from the distinct words of each document.
@@ -98,8 +123,8 @@ def fit_noisy_or(docs: list[list[list[bytes]]], labels: np.ndarray, rounds: int
     m, v = np.zeros(DIM + 1), np.zeros(DIM + 1)
     for t in range(1, rounds + 1):
         of_word = np.bincount(owner, w[flat], len(ids))
-        z = np.bincount(sent_of, of_word[word], len(lengths)) + bias
-        total = np.bincount(doc_of, np.logaddexp(0, z), len(docs))  # -log P(label 0)
+        z = np.bincount(sent_of, of_word[word], len(doc_of)) + bias
+        total = np.bincount(doc_of, np.logaddexp(0, z), n)  # -log P(label 0)
         outer = cost * np.where(labels > 0, -1 / np.expm1(np.clip(total, 1e-6, 50)), 1.0)
         g_sent = outer[doc_of] / (1 + np.exp(-np.clip(z, -30, 30)))
         g_word = np.bincount(word, g_sent[sent_of], len(ids))
@@ -113,45 +138,55 @@ def fit_noisy_or(docs: list[list[list[bytes]]], labels: np.ndarray, rounds: int
     return Model(w, float(bias))
 
 
-def calibrated(model: Model, docs: list[list[list[bytes]]], labels: np.ndarray, threshold: float = THRESHOLD, cost: float = 8.0) -> Model:
+def calibrated(model: Model, bags: Bags, labels: np.ndarray, threshold: float = THRESHOLD, cost: float = 8.0) -> Model:
     """Shift the bias so that missed label-1 documents plus ``cost`` times false alarms are fewest at ``threshold``."""
-    if not len(docs) or labels.min() == labels.max():
+    if not len(labels) or labels.min() == labels.max():
         return model
     words = model.words()
-    z = [np.array([sum(map(words.__getitem__, s)) for s in d]) + model.bias for d in docs]
     best = (np.inf, 0.0)
     for shift in sorted(np.arange(-4, 2.01, 0.1), key=abs):
-        p = np.array([-np.expm1(-np.logaddexp(0, x + shift).sum()) for x in z]) >= threshold
+        p = -np.expm1(-model.totals(bags, words, shift)) >= threshold
         loss = (~p[labels > 0]).mean() + cost * p[labels == 0].mean()
         if loss < best[0] - 1e-12:
             best = (loss, shift)
     return Model(model.weights, model.bias + best[1])
 
 
-def training_docs(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column, max_docs: int) -> DataFrame:
-    """(text, label) of up to ``max_docs`` usable labelled documents; which ones, a hash of the id decides.
+def training_docs(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column, max_docs: int, max_bytes: int = MAX_TRAIN_BYTES
+) -> list[tuple[int, str]]:
+    """(label, text) of up to ``max_docs`` usable labelled documents with ``max_bytes`` of text; a hash of the id decides which.
 
-    Contradicting labels of one id count as 1.  Null labels, ids and texts teach nothing.
+    Contradicting labels of one id count as 1, repeated documents of an id once.  Null labels, ids and texts teach
+    nothing.  No window and no task holds all documents of a label; the driver gets sizes first, then the texts
+    that the bounds allow.
     """
-    marked = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & usable).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = marked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= max_docs // 2).drop("n")
+    marked = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & usable).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).cast("int").alias("label"))
+    ids = hash_sample(marked, "id", "label", max_docs // 2, 2)
+    small = docs.sparkSession.createDataFrame(ids, f"id {marked.schema['id'].dataType.simpleString()}, label int")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null and id is not null")
-    found = texts.join(F.broadcast(chosen), "id")  # at most max_docs ids
-    again = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    return found.withColumn("n", F.row_number().over(again)).where(F.col("n") <= max_docs // 2).select("text", "label")
-
-
-def fit(rows: DataFrame) -> Model:
+    found = stored(texts.join(F.broadcast(small), "id").groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "labelled")  # at most max_docs ids
+    place, sizes = {x: i for i, x in enumerate(ids)}, found.select("id", "label", F.octet_length("text").alias("size")).collect()
+    used, chosen = {0: 0, 1: 0}, []
+    for r in sorted(sizes, key=lambda r: place[(r["id"], r["label"])]):
+        if used[r["label"]] + r["size"] <= max_bytes // 2:
+            used[r["label"]] += r["size"]
+            chosen.append((r["id"],))
+    kept = found.join(F.broadcast(docs.sparkSession.createDataFrame(chosen, f"id {marked.schema['id'].dataType.simpleString()}")), "id")
+    rows = [(r["label"], r["text"]) for r in kept.select("label", "text").collect()]
+    discard(found)
+    return rows
+
+
+def fit(rows: list[tuple[int, str]]) -> Model:
     """Fit on the rows of :func:`training_docs`, a bounded sample; a fifth of them, by hash, sets the bias."""
-    found = sorted(((r.label, r.text.encode()) for r in rows.collect()), key=lambda r: (r[0], r[1]))
-    split = [(sentences(t), float(y > 0), zlib.crc32(t) % 5 == 0) for y, t in found]
-    split = [x for x in split if x[0]]
-    part = lambda later: ([d for d, _, c in split if c == later], np.array([y for _, y, c in split if c == later]))
-    tune = part(True)
-    if min((tune[1] == k).sum() for k in (0, 1)) < 20 if len(tune[1]) else True:
-        return fit_noisy_or([d for d, _, _ in split], np.array([y for _, y, _ in split]))
-    return calibrated(fit_noisy_or(*part(False)), *tune)
+    found = sorted((y, t) for y, t in rows if t.split())
+    later = np.array([zlib.crc32(t.encode()) % 5 == 0 for _, t in found], bool)
+    part = lambda mask: (Bags.of(pa.array([t for (_, t), k in zip(found, mask, strict=True) if k], pa.string())), np.array([float(y > 0) for (y, _), k in zip(found, mask, strict=True) if k]))
+    tune = part(later)
+    if min((tune[1] == k).sum() for k in (0, 1)) < 20:
+        return fit_noisy_or(*part(np.ones(len(found), bool)))
+    return calibrated(fit_noisy_or(*part(~later)), *tune)
 
 
 def assess(
@@ -174,15 +209,14 @@ def assess(
 
         def rows() -> Iterator[pa.RecordBatch]:
             for part in slices(batches):
-                score, worst = [], []
-                for text in part.column(part.num_columns - 1).cast(pa.binary()).to_pylist():
-                    p = model.score(text or b"", words)
-                    score.append(p)
-                    worst.append(locate(text, model, words) if p >= threshold else (None, None, None))
+                texts = part.column(part.num_columns - 1)
+                score = model.scores(Bags.of(texts), words)
+                found = score >= threshold
+                worst = [locate(texts[i].as_py().encode(), model, words) if x else (None, None, None) for i, x in enumerate(found.tolist())]
                 arrays = [
                     *part.columns[:-1],
                     pa.array(score, pa.float64()),
-                    pa.array([int(p >= threshold) for p in score], pa.int32()),
+                    pa.array(found.astype(np.int32), pa.int32()),
                     pa.array([x[0] for x in worst], pa.int64()),
                     pa.array([x[1] for x in worst], pa.int64()),
                     pa.array([x[2] for x in worst], pa.float64()),
@@ -203,11 +237,12 @@ def locate(text: bytes, model: Model, words: _Weights) -> tuple[int, int, float]
         spans.append((at, m.start()))
         at = m.end()
     spans.append((at, len(text)))
-    best = (0, 0, -1.0)
+    best = (0, 0, -np.inf)
     for lo, hi in spans:
-        p = model.score(text[lo:hi], words)
-        if p > best[2] and text[lo:hi].split():
-            best = (lo, hi, p)
+        own = dict.fromkeys(text[lo:hi].lower().split())
+        z = sum(map(words.__getitem__, own)) + model.bias
+        if own and z > best[2]:
+            best = (lo, hi, z)
     size = lambda b: len(b.decode("utf-8", "replace"))
     lo = size(text[: best[0]])
-    return lo, lo + size(text[best[0] : best[1]]), best[2]
+    return lo, lo + size(text[best[0] : best[1]]), float(1 / (1 + np.exp(-best[2])))

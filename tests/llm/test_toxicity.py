@@ -1,6 +1,10 @@
+import math
 import random
+import re
+import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tessella.llm import toxicity
@@ -61,5 +65,44 @@ def test_odd_tables(spark, odd_docs, no_docs):
 
 def test_noisy_or():
     model = toxicity.Model(np.zeros(toxicity.DIM), 0.0)
-    assert abs(model.score(b"a b. c d", model.words()) - 0.75) < 1e-9
-    assert model.score(b"", model.words()) == 0 and model.score(b" \n ", model.words()) == 0
+    got = model.scores(toxicity.Bags.of(pa.array(["a b. c d", "", " \n ", None, "a\nb\n\nc"])), model.words())
+    assert np.allclose(got, [0.75, 0, 0, 0, 0.875])
+
+
+def brute_score(text, model):
+    """1 - prod(1 - p) over the sentences, each a set of lower-cased words with hashed stems."""
+    rest = 1.0
+    for sentence in re.split(rb"(?<=[.!?])[\x20\x09-\x0D]+|\n+", (text or "").encode().lower()):
+        words = set(sentence.split())
+        if words:
+            z = model.bias
+            for w in words:
+                bare = w.strip(b"!?.,;:\"'()[]{}<>|*#$%&-_/\\=+~`^@")
+                codes = [b"=" + bare, *(bare[:k] for k in (4, 5, 6, 7, 8) if k <= len(bare))] if bare else []
+                z += sum(float(model.weights[zlib.crc32(c) % toxicity.DIM]) for c in codes)
+            rest *= 1 - 1 / (1 + math.exp(-z))
+    return 1 - rest
+
+
+def test_whole_query_equals_brute_force(spark, sf, odd_docs):
+    held = bucket(F.col("doc_id"), 4) == 2
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.fit(toxicity.training_docs(docs, labels, "doc_id", "text", "toxic", ~held, toxicity.MAX_TRAIN_DOCS))
+    for table in (docs, odd_docs):
+        text = {(r.doc_id, r.text) for r in table.collect()}
+        got = toxicity.assess(table.withColumn("given", F.col("text")), model, carry=(("held_out", held), ("given", F.col("text")))).collect()
+        assert {(r.doc_id, r.given) for r in got} == text and len(got) == table.count()
+        for r in got:
+            want = brute_score(r.given, model)
+            assert abs(r.score - want) < 1e-5 and r.predicted == int(r.score >= 0.3)
+
+
+def test_training_sample_is_bounded_in_rows_and_bytes(spark):
+    rows = [(i, "word " * (i % 50 + 1), i % 3 == 0) for i in range(4000)] + [(5, "again", False)] * 300
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(y)) for i, _, y in rows], "doc_id long, toxic int")
+    pick = lambda **bounds: toxicity.training_docs(docs, labels, "doc_id", "text", "toxic", F.lit(True), **bounds)
+    got = pick(max_docs=200)
+    assert [sum(y == k for y, _ in got) for k in (0, 1)] == [100, 100] and sorted(got) == sorted(pick(max_docs=200))
+    small = pick(max_docs=200, max_bytes=6000)
+    assert 20 < len(small) < 200 and all(sum(len(t) for y, t in small if y == k) <= 3000 for k in (0, 1))
