@@ -8,10 +8,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import gathered, slices
+from .common import gathered, hash_sample, slices
 
 #: Families of common language codes.  A code that is not listed is a family of its own.
 FAMILIES = {
@@ -28,6 +28,8 @@ DIM = 1 << 13
 ORDERS = (1, 2, 3, 4)
 #: Labelled rows that a fit reads at most, shared equally among the languages.
 MAX_TRAIN_ROWS = 2000
+#: Languages that a fit tells apart at most, the most frequent ones.
+MAX_LANGS = 200
 UNKNOWN = "und"
 #: Bytes whose n-grams are in memory at once; longer texts are summed piece by piece.
 PIECE = 1 << 19
@@ -193,16 +195,18 @@ class Model:
 
 
 def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, usable: Column, max_rows: int) -> DataFrame:
-    """Up to ``max_rows`` usable labelled rows, as many for each language; which ones, a hash of the id decides."""
+    """(text, lang) of up to ``max_rows`` usable labelled rows, as many for each language; a hash of the id decides which.
+
+    The MAX_LANGS most frequent languages take part.  Rows without id teach nothing, repeated rows of an id and
+    language once.  No window and no task holds all rows of a language.
+    """
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), usable.alias("usable"))
-    named = named.where("usable and lang is not null and text is not null and text rlike '\\\\p{L}'")
-    ids = named.select("id", "lang", F.xxhash64("id").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    langs = max(1, ids.select("lang").distinct().count())
-    each = max(1, max_rows // langs)
-    chosen = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).select("id", "lang").distinct()
-    rows = named.join(F.broadcast(chosen), ["id", "lang"], "left_semi")  # at most max_rows ids
-    return rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))).where(F.col("n") <= each).select("text", "lang")
+    named = named.where("usable and id is not null and lang is not null and text is not null and text rlike '\\\\p{L}'")
+    langs = max(1, min(MAX_LANGS, named.select("lang").distinct().count()))
+    chosen = hash_sample(named, "id", "lang", max(1, max_rows // langs), langs)
+    small = docs.sparkSession.createDataFrame(chosen, f"id {named.schema['id'].dataType.simpleString()}, lang string")
+    rows = named.join(F.broadcast(small), ["id", "lang"])  # at most max_rows ids
+    return rows.groupBy("id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "lang")
 
 
 def fit(rows: DataFrame, families: dict[str, tuple[str, ...]] = FAMILIES) -> Model:
@@ -219,7 +223,7 @@ def fit(rows: DataFrame, families: dict[str, tuple[str, ...]] = FAMILIES) -> Mod
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[tuple[str, Column], ...] = ()) -> DataFrame:
-    """(id, lang_pred, score, family share kept inside score) for every row; no shuffle.
+    """(id, lang_pred, score) for every row; no shuffle.  ``score``: share of the family times that of the language in it.
 
     A null text or one without letters gives ``und`` with score 0.  Whole texts are read, long ones
     piece by piece.  Repeated rows each get their row; an empty table gives none.
