@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, gathered, raw, slices, stored
@@ -19,6 +19,8 @@ SEED = 42
 MAX_BITS = 3
 #: Fingerprints are cut into this many blocks; two within MAX_BITS bits share BLOCKS - MAX_BITS of them.
 BLOCKS = 6
+#: Ids that go to every task at most (8 bytes each, 16 MB); more are joined.
+BROADCAST_IDS = 2_000_000
 #: Members of a block key that one task compares; more are split into pairs of parts.
 PART = 20_000
 
@@ -92,16 +94,17 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, part:
     """(a, b): links between distinct fingerprints whose components are those of all close pairs.
 
     Each fingerprint goes to every choice of ``blocks - max_bits`` of its blocks: close pairs meet in at
-    least one.  A key's members are counted by a window, keys with one member end there, and a key with
-    more than ``part`` members is split into parts that meet pairwise, so no task or row holds more than
-    two parts and no pair is left out.
+    least one.  A key's members are counted before they meet (with map-side sums, so a common key gathers
+    nowhere), keys with one member end there, and a key with more than ``part`` members is split into parts
+    that meet pairwise, so no task or row holds more than two parts and no pair is left out.
     """
     masks = block_masks(blocks, max_bits)
     keyed = fps.select(
         F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in masks))).alias("mask", "key"),
         "fp",
     )
-    met = keyed.withColumn("n", F.count("*").over(Window.partitionBy("key", "mask"))).where("n > 1")
+    counts = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
+    met = keyed.join(counts, ["mask", "key"])
     parts = F.ceil(F.col("n") / part).cast("int")
     mine: Column = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     dealt = met.withColumn("parts", parts).withColumn("mine", mine)
@@ -137,7 +140,8 @@ def near_duplicates(
     """(id, fingerprint, component_id) for every row of ``docs``.
 
     Exact copies meet as one fingerprint before any comparison, so a group of copies of any size costs
-    one row per partition.  Null, empty and white-space texts have fingerprint 0 and are linked like any
+    the comparison one row; the rows of a group get their component by a join that adaptive execution splits
+    where one fingerprint is common.  Null, empty and white-space texts have fingerprint 0 and are linked like any
     other.  Repeated rows each get their row; rows with a null id get a component by the other rows of
     their group (null if there are none).  An empty table gives an empty result.
     """
@@ -156,13 +160,20 @@ def near_duplicates(
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
     """One document of each group that ``by`` finds stays: that with the smallest id, all columns kept.
 
-    Rows that repeat the id of the document that stays are reduced to one of them; only those go through
-    a second shuffle.  Rows without an id cannot be told apart and stay.
+    Only ids are joined with the documents: those that go, and those that repeat.  Up to BROADCAST_IDS of them are
+    sent to all tasks, so no text is shuffled; more are joined.  Rows that repeat the id of the document that stays
+    are reduced to one of them (by a hash of the text).  Rows without an id cannot be told apart and stay.
     """
-    head, rows = fresh(docs, "head"), fresh(docs, "rows")
-    found = by(docs, id_col, text_col, **options).select(F.col(id_col).alias("id"), "component_id")
-    heads = found.where("id = component_id").groupBy(F.col("id").alias(head)).agg(F.count("*").alias(rows))
-    kept = docs.join(heads, docs[id_col] == heads[head], "inner")
-    once = kept.where(F.col(rows) == 1).select(*docs.columns)
-    repeated = kept.where(F.col(rows) > 1).select(*docs.columns).dropDuplicates([id_col])
-    return once.unionByName(repeated).unionByName(docs.where(F.col(id_col).isNull()))
+    found = by(docs, id_col, text_col, **options).where(F.col(id_col).isNotNull())
+    each = found.groupBy(F.col(id_col).alias("id")).agg(F.max("component_id").alias("head"), F.count("*").alias("rows"))
+    marked = stored(each.where("head < id or rows > 1"), "marked")
+    few = marked.count() <= BROADCAST_IDS
+    key = fresh(docs, "marked_id")
+    ids = lambda condition: (lambda t: F.broadcast(t) if few else t)(marked.where(condition).select(F.col("id").alias(key)))
+    match = F.col(id_col).cast("long") == F.col(key)
+    once = docs.join(ids("true"), match, "left_anti")
+    again = docs.join(ids("head = id"), match, "left_semi")
+    # The rows of one id are reduced by a running minimum, not gathered.
+    row, place = fresh(docs, "row"), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    kept = again.groupBy(id_col).agg(F.min_by(F.struct(*docs.columns), place).alias(row)).select(f"{row}.*")
+    return once.unionByName(kept)
