@@ -37,6 +37,8 @@ CANDIDATES = (
     r"|(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}+(?![A-Za-z0-9+/_=-])"
 )
 CONTEXT = 32
+#: Matches of a text that are taken together.
+CHUNK = 64
 #: Gazetteers: top-level domains, calling codes, card issuers.
 DOMAINS = "com|org|net|edu|gov|info|io|de|fr|es|it|uk|eu|ch|at|nl|be|pl|ru|us|ca|au|jp|cn|br|mx"
 CALLING = "1|7|20|27|3[0-469]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
@@ -46,6 +48,9 @@ AGAINST_IT = r"(?i)\b(?:version|licen[cs]e|page|chapter|isbn|issn|doi|figure|fig
 
 SHAPES = ("email", "plus", "quad", "digits", "mixed")
 LENGTHS = (9, 12, 16, 24, 36)
+TRAITS = 5 + 6 + 4 + 1 + 2 + 1 + 2
+#: Candidates' worth of belief that half of a shape is personal data.
+PSEUDO = 20.0
 LABELERS = ("email_pattern", "phone_pattern", "card_pattern", "ip_pattern", "secret_pattern", "gazetteer", "context_for", "context_against", "few_digits")
 SPAN = "array<struct<start:int,end:int,m:string,before:string>>"
 
@@ -55,9 +60,33 @@ def matches(text: Column, pattern: str, guard: Column) -> Column:
     return F.when(guard, F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")))
 
 
+def _chunks(n: Column) -> Column:
+    """Numbers of the chunks of ``CHUNK`` that n > 0 items fall into."""
+    return F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int"))
+
+
+def _inside(chunk: Column, n: Column) -> Column:
+    """Places of the items of a chunk."""
+    return F.sequence(chunk * CHUNK, F.least(chunk * CHUNK + (CHUNK - 1), n - 1))
+
+
+def _before(values: Column, zero: Column, merge) -> Column:
+    """For each value, what ``merge`` makes of those before it."""
+    start = F.struct(zero.alias("at"), F.array().cast("array<int>").alias("out"))
+    step = lambda a, x: F.struct(merge(a["at"], x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out"))
+    return F.aggregate(values, start, step)["out"]
+
+
 def placed(pair: Column) -> Column:
-    """Spans (start, end in code points, the match, what stands before it) from :func:`matches`; ``pair`` must be a column."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    """Spans (start, end in code points, the match, what stands before it) from :func:`matches`; ``pair`` must be a column.
+
+    Matches are taken in chunks, each from the sum of the lengths before it, so a text with many is not copied
+    over and over.
+    """
+    n = F.size(pair["found"])
+    size = lambda i: F.length(F.get(pair["gaps"], i)) + F.length(F.get(pair["found"], i))
+    sizes = F.transform(_chunks(n), lambda c: F.aggregate(_inside(c, n), F.lit(0), lambda a, i: a + size(i)))
+    begins = F.array(_before(sizes, F.lit(0), lambda a, x: a + x))
 
     def step(acc: Column, i: Column) -> Column:
         gap, m = F.get(pair["gaps"], i), F.get(pair["found"], i)
@@ -66,9 +95,11 @@ def placed(pair: Column) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), m.alias("m"), F.right(gap, F.lit(CONTEXT)).alias("before"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    some = F.size(pair["found"]) > 0
-    spans = F.aggregate(F.sequence(F.lit(0), F.size(pair["found"]) - 1), zero, step)["out"]
-    return F.when(pair.isNotNull() & some, spans).otherwise(F.array().cast(SPAN))
+    def spans(at: Column) -> Column:
+        one = lambda begin, c: F.aggregate(_inside(c, n), F.struct(begin.alias("at"), F.array().cast(SPAN).alias("out")), step)["out"]
+        return F.flatten(F.transform(at, one))
+
+    return F.when(pair.isNotNull() & (n > 0), F.get(F.transform(begins, spans), F.lit(0))).otherwise(F.array().cast(SPAN))
 
 
 def _digits(m: Column) -> Column:
@@ -107,7 +138,7 @@ def votes(m: Column, before: Column) -> list[Column]:
 
 
 def traits(m: Column, before: Column) -> Column:
-    """Features of the span classifier as one code: shape, length, share of digits, Luhn, context."""
+    """Features of the span classifier as one code: shape, length, share of digits, Luhn, mixed case, words and mark before it."""
     size, digits = F.length(m), _digits(m)
     length = F.lit(0)
     for limit in LENGTHS:
@@ -116,51 +147,61 @@ def traits(m: Column, before: Column) -> Column:
     context = F.when(before.rlike(FOR_IT), 1).when(before.rlike(AGAINST_IT), 2).otherwise(0)
     code = F.array_position(F.array(*(F.lit(s) for s in SHAPES)), shape(m)).cast("int") - 1
     luhn = F.when(F.call_function("luhn_check", digits), 1).otherwise(0)
-    return (((code * 6 + length) * 4 + share) * 2 + luhn) * 3 + context
+    case = F.when(m.rlike("[a-z]") & m.rlike("[A-Z]"), 1).otherwise(0)
+    mark = F.when(before.rlike(r"[:=]\W*$"), 1).when(before.rlike(r"[A-Za-z]{2}[\x20\x09-\x0D]*$"), 2).otherwise(0)
+    return (((((code * 6 + length) * 4 + share) * 2 + luhn) * 3 + context) * 2 + case) * 3 + mark
 
 
 def vector(code: int) -> np.ndarray:
     """One-hot features of a traits code."""
+    code, mark = divmod(code, 3)
+    code, case = divmod(code, 2)
     code, context = divmod(code, 3)
     code, luhn = divmod(code, 2)
     code, share = divmod(code, 4)
     kind, length = divmod(code, 6)
-    x = np.zeros(5 + 6 + 4 + 1 + 2)
+    x = np.zeros(TRAITS)
     x[kind] = x[5 + length] = x[11 + share] = 1
-    x[15] = luhn
+    x[15], x[18] = luhn, case
     if context:
         x[15 + context] = 1
+    if mark:
+        x[18 + mark] = 1
     return x
 
 
-def reliabilities(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100, prior: float = 0.5) -> tuple[np.ndarray, list[float]]:
+def reliabilities(patterns: list[tuple[tuple[int, ...], int]], shapes: list[int] | None = None, rounds: int = 100) -> tuple[np.ndarray, list[float]]:
     """EM over vote patterns and their counts: accuracy of each labeler, P(personal | pattern).
 
-    Labelers are taken as independent given the class.  An accuracy stays between 0.55 and 0.99 and the
-    classes start even (prior 0.5): a labeler that never meets another cannot be turned round, and a common
-    class cannot swallow the votes against it.
+    Labelers are taken as independent given the class.  The share of personal data is estimated for each shape of
+    candidates, drawn to a half by PSEUDO candidates and kept between 0.1 and 0.5; an accuracy stays between 0.55
+    and 0.99.  So a labeler that never meets another cannot be turned round, and a common class cannot swallow the
+    votes against it (where one labeler speaks alone, its accuracy and the share cannot both be told).
     """
     if not patterns:
         return np.full(len(LABELERS), 0.8), []
     v = np.array([p for p, _ in patterns])
     n = np.array([c for _, c in patterns], np.float64)
+    of = np.array(shapes if shapes is not None else [0] * len(patterns))
     told = v >= 0
     accuracy = np.full(v.shape[1], 0.8)
+    prior = np.full(of.max() + 1, 0.5)
     q = np.full(len(v), 0.5)
     for _ in range(rounds):
         odds = np.log(accuracy / (1 - accuracy))
-        logit = math.log(prior / (1 - prior)) + np.where(told, np.where(v == 1, odds, -odds), 0.0).sum(1)
+        logit = np.log(prior / (1 - prior))[of] + np.where(told, np.where(v == 1, odds, -odds), 0.0).sum(1)
         q = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         right = np.where(v == 1, q[:, None], 1 - q[:, None])
         pseudo = 5.0
         accuracy = np.clip(((n[:, None] * told * right).sum(0) + 0.8 * pseudo) / ((n[:, None] * told).sum(0) + pseudo), 0.55, 0.99)
+        prior = np.clip((np.bincount(of, n * q) + PSEUDO / 2) / (np.bincount(of, n) + PSEUDO), 0.1, 0.5)
     return accuracy, list(q)
 
 
 def fit_classifier(groups: list[tuple[int, float, float]], rounds: int = 400, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
     """Logistic regression on (traits code, spans, expected personal spans), a bounded table."""
     if not groups:
-        return np.zeros(18), -10.0
+        return np.zeros(TRAITS), -10.0
     x = np.array([vector(c) for c, _, _ in groups])
     n = np.array([g[1] for g in groups], np.float64)
     y = np.array([g[2] for g in groups], np.float64) / n
@@ -202,17 +243,16 @@ def annotated(docs: DataFrame, text_col: str, taken: str = "_pii") -> DataFrame:
 def fit(table: DataFrame, loose: str) -> dict[int, float]:
     """Probability of each traits code seen, from the candidates of all documents.
 
-    Two aggregations gather at most 3 ** 9 vote patterns (each shape allows few) and 720 traits codes.
+    Two aggregations gather at most 5 * 3 ** 9 vote patterns (each shape allows few) and 4,320 traits codes.
     """
-    spans = table.select(F.explode(loose).alias("s")).select("s.votes", "s.traits")
-    patterns = [(tuple(r["votes"]), r["n"]) for r in spans.groupBy("votes").agg(F.count("*").alias("n")).collect()]
-    patterns.sort()
-    _, q = reliabilities(patterns)
-    if not patterns:
+    spans = table.select(F.explode(loose).alias("s")).select("s.shape", "s.votes", "s.traits")
+    found = sorted((SHAPES.index(r["shape"]), tuple(r["votes"]), r["n"]) for r in spans.groupBy("shape", "votes").agg(F.count("*").alias("n")).collect())
+    if not found:
         return {}
-    key = F.array_join(F.transform(F.col("votes"), lambda v: v.cast("string")), ",")
-    known = table.sparkSession.createDataFrame([(",".join(map(str, p)), float(x)) for (p, _), x in zip(patterns, q, strict=True)], "key string, q double")
-    joined = spans.withColumn("key", key).join(F.broadcast(known), "key")  # at most 3 ** 9 patterns
+    _, q = reliabilities([(p, n) for _, p, n in found], [k for k, _, _ in found])
+    key = F.concat_ws(",", "shape", F.transform(F.col("votes"), lambda v: v.cast("string")))
+    known = table.sparkSession.createDataFrame([(",".join([SHAPES[k], *map(str, p)]), float(x)) for (k, p, _), x in zip(found, q, strict=True)], "key string, q double")
+    joined = spans.withColumn("key", key).join(F.broadcast(known), "key")  # at most 5 * 3 ** 9 patterns
     groups = sorted((r["traits"], r["n"], r["q"]) for r in joined.groupBy("traits").agg(F.count("*").alias("n"), F.sum("q").alias("q")).collect())
     w, b = fit_classifier(groups)
     return {c: float(1 / (1 + math.exp(-float(vector(c) @ w + b)))) for c, _, _ in groups}
@@ -233,21 +273,22 @@ def joined(spans: Column) -> Column:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for every row; no shuffle of rows.
+    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans) for every row; no shuffle of rows.
 
     Counts and digest are of the fixed patterns.  ``spans`` also has what the classifier adds, kinds number
-    and secret behind the others.  Null texts are empty.  Texts are read whole, once; repeated rows each get
+    and secret behind the others; ``n_spans`` counts them all.  Null texts are empty.  Texts are read whole, once; repeated rows each get
     their row; an empty table gives none.  Columns of other names are not read.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     table = stored(annotated(narrow, "text", "p").select("id", "p_base", "p_loose"), "spans")
     model = fit(table, "p_loose")
     count = lambda k: F.size(F.filter("p_base", lambda s: s["kind"] == k)).cast("long")
-    return table.select(
+    return table.withColumn("p_all", all_spans(F.col("p_base"), F.col("p_loose"), model, threshold)).select(
         F.col("id").alias(id_col),
         *(count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)),
         F.sha2(joined(F.col("p_base")).cast("binary"), 256).alias("base_sha256"),
-        joined(all_spans(F.col("p_base"), F.col("p_loose"), model, threshold)).alias("spans"),
+        joined(F.col("p_all")).alias("spans"),
+        F.size("p_all").cast("long").alias("n_spans"),
     )
 
 
@@ -273,7 +314,14 @@ def redact(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_ch
         more = F.when(apart, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(names, s["kind"]))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), more.alias("out"))
 
-    done = F.aggregate(F.col(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    # In chunks of spans, each from the end of all spans before it.
+    n = F.size(spans)
+    parts = F.transform(_chunks(n), lambda c: F.slice(F.col(spans), c * CHUNK + 1, F.lit(CHUNK)))
+    ends = F.transform(parts, lambda x: F.array_max(F.transform(x, lambda s: s["end"])))
+    starts = _before(ends, F.lit(0), lambda a, x: F.greatest(a, x))
+    pieces = F.zip_with(parts, starts, lambda x, at: F.aggregate(x, F.struct(at.alias("at"), F.lit("").alias("out")), step)["out"])
+    last = F.array_max(F.transform(F.col(spans), lambda s: s["end"]))
+    done = F.concat(F.array_join(pieces, ""), F.substring(text, last + 1, F.length(text)))
     # Computed once, as a column of its own.
     fresh_text = f"{prefix}_text"
     out = out.withColumn(fresh_text, F.when(F.size(spans) > 0, done).otherwise(text))

@@ -98,3 +98,37 @@ def test_long_runs_are_candidates(spark):
     found = F.regexp_extract_all("text", F.lit(pii.CANDIDATES), F.lit(0))
     runs = [r[0] for r in spark.createDataFrame(texts, "text string").select(found).collect()]
     assert runs[0] == ["1" * 40] and runs[1] == ["12 34 " + "5" * 5000] and len(runs[2]) > 1000
+
+
+def test_many_matches_in_one_text(spark):
+    """More matches than a chunk holds, of every kind; some overlap."""
+    line = "x a{0}@b.cd y 10.0.{0}.7, +1 (234) 555-{0:04} token = k3y{0}aB9k3yaB9k3yaB9k3yaB9k3yaB9 4111 1111 1111 1111;"
+    text = "\n".join(line.format(i) for i in range(150))
+    docs = spark.createDataFrame([(1, text, len(text)), (2, "+1 234 4111 1111 1111 1111 z", 3)], "doc_id long, text string, n_chars long")
+    rows = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert [rows[1][f"n_{k}"] for k in pii.KINDS] == brute(text)[0] and rows[1].base_sha256 == brute(text)[1]
+    assert set(brute(text)[2].split(",")) <= set(rows[1].spans.split(",")) and rows[1].n_spans == len(rows[1].spans.split(",")) >= 600
+    for r in pii.redact(docs).collect():
+        source, at, out = text if r.doc_id == 1 else "+1 234 4111 1111 1111 1111 z", 0, ""
+        for kind, a, b in (s.split(":") for s in rows[r.doc_id].spans.split(",") if s):
+            if int(a) >= at:
+                out += source[at : int(a)] + f"[{kind}]"
+            at = max(at, int(b))
+        assert r.text == out + source[at:] and r.n_chars == len(r.text)
+
+
+def test_added_spans_equal_brute_force(spark):
+    """Spans are the fixed patterns' and the candidates whose traits the model takes, unless they overlap those."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    table = pii.annotated(docs, "text", "p").select("doc_id", "text", "p_base", "p_loose").cache()
+    model = pii.fit(table, "p_loose")
+    assert model and all(0 <= p <= 1 for p in model.values())
+    rank = {"email": "email", "quad": "ip", "plus": "phone", "digits": "number", "mixed": "secret"}
+    order = [*pii.KINDS, *pii.MORE_KINDS]
+    want = {}
+    for r in table.collect():
+        base = [(s.start, s.kind, s.end) for s in r.p_base]
+        more = [(s.start, order.index(rank[s["shape"]]), s.end) for s in r.p_loose if model[s.traits] >= 0.5 and not any(a < s.end and s.start < e for a, _, e in base)]
+        assert all(r.text[a:e].strip() for a, _, e in more)
+        want[r.doc_id] = ",".join(f"{order[k]}:{a}:{e}" for a, k, e in sorted(base + more))
+    assert {r.doc_id: r.spans for r in pii.find(docs).collect()} == want
