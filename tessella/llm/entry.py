@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from . import langid, lm, mixing, packing, pii, quality, simhash, topk, toxicity, urls
-from .common import bucket
+from .common import bucket, stored, words
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +16,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out: (doc_id, held_out, lang_pred, score)."""
     docs = _documents(spark, sf_dir)
     held_out = bucket(F.col("doc_id"), 5) == 0
     rows = langid.training_rows(docs, "doc_id", "text", "lang", ~held_out, langid.MAX_TRAIN_ROWS)
@@ -24,23 +24,28 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: (page_id, host, path, rule, verdict, llr)."""
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: (doc_id, fingerprint, component_id)."""
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best of all vectors for every query, by integer inner product: (query_id, rank, vec_id, score)."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, compression figures and verdict of every document."""
     return quality.judge(_documents(spark, sf_dir))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels that are not held out, and its worst sentence."""
     docs = _documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = bucket(F.col("doc_id"), 4) == 2
@@ -49,21 +54,29 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket and batch of every document: (doc_id, n_tokens, bucket, bucket_len, shard, batch, batch_id)."""
     docs = _documents(spark, sf_dir)
-    return packing.pack(docs).select("doc_id", "n_tokens", "bucket", "bucket_len", "shard", "batch", "batch_id")
+    measured = stored(docs.select("doc_id", F.size(words(F.col("text"))).alias("size")), "sizes")
+    return packing.pack(measured, length=F.col("size")).select("doc_id", "n_tokens", "bucket", "bucket_len", "shard", "batch", "batch_id")
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts, digest of the fixed patterns' spans, all spans."""
     return pii.find(_documents(spark, sf_dir))
 
 
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and model scores of every document, learned from those that are not held out."""
     return lm.score(_documents(spark, sf_dir), bucket(F.col("doc_id"), 7) == 2)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and sampling decision of every document: (doc_id, source, lang, topic, weight, probability, selected)."""
     docs = _documents(spark, sf_dir)
-    return mixing.mix(docs).select("doc_id", "source", "lang", "topic", "weight", "probability", "selected")
+    text = F.col("text")
+    measured = stored(docs.select("doc_id", "source", "lang", mixing.topic(text).alias("kind"), F.size(words(text)).alias("size")), "kinds")
+    mixed = mixing.mix(measured, topic_of=F.col("kind"), tokens_of=F.col("size"))
+    return mixed.select("doc_id", "source", "lang", "topic", "weight", "probability", "selected")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
