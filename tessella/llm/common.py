@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 import tempfile
 import uuid
@@ -37,7 +36,22 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-    return os.path.join(tempfile.gettempdir(), f"tessella-{spark.sparkContext.applicationId}")
+    return tempfile.gettempdir()
+
+
+_MADE: set[str] = set()
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one; it is deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/tessella-{spark.sparkContext.applicationId}"
+    if path not in _MADE:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _MADE.add(path)
+    return path
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
@@ -47,7 +61,7 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     table with statistics and column pruning.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
