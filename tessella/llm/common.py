@@ -93,18 +93,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into small zero-copy slices, so that few texts are Python objects at a time."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
-            yield from _halved(batch.slice(at, rows))
+            yield from _halved(batch.slice(at, rows), size)
 
 
-def _halved(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    if part.num_rows > 1 and part.nbytes > SLICE_BYTES:
+def _halved(part: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    if part.num_rows > 1 and part.nbytes > size:
         half = part.num_rows // 2
-        yield from _halved(part.slice(0, half))
-        yield from _halved(part.slice(half))
+        yield from _halved(part.slice(0, half), size)
+        yield from _halved(part.slice(half), size)
     else:
         yield part
 

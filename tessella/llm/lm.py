@@ -37,14 +37,17 @@ WORDS_PER_ROOT = 24
 ROWS_PER_ROOT = 28
 SHARE_PER_ROOT = 434
 LEAST_BITS = 10
+#: Words whose pairs are features.
+PAIRED = NEAR * WIDTH
 ROUNDS = 2
 RATE = 0.3
 #: Tokens whose gradients are taken together.
 BATCH = 4096
 #: Longer words are known by a digest of 128 bits, so that no key is long.
 LONGEST = 64
-#: Texts that are split into words together (and no more bytes than a slice has).
-ROWS = 16_384
+#: Texts that are split into words together, and their bytes (but one text at least).
+ROWS = 2048
+TEXT_BYTES = 4 << 20
 #: The end of a text as a word: no word holds white space.
 END = b" "
 #: Rows of weights that travel together.
@@ -67,7 +70,7 @@ def word_counts(docs: DataFrame, text_col: str, training: Column) -> DataFrame:
     """(word, n) over all training rows, the end counted once a row; counted in slices of texts before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, ROWS):
+        for part in slices(batches, ROWS, TEXT_BYTES):
             found = flat_words(part.column(0))[0].value_counts()
             yield pa.RecordBatch.from_arrays([keys(found.field("values")), found.field("counts")], names=["word", "n"])
             yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([part.num_rows], pa.int64())], names=["word", "n"])
@@ -203,6 +206,8 @@ class Model:
         """One gradient step for the tokens ``ids`` (step sizes by Adagrad, one for each row)."""
         for level, (at, node, child) in enumerate(self.tree.steps(ids)):
             rows = self.rows(codes, at, node, level)
+            if len(rows) == 1:
+                break  # the deepest softmaxes stay at their words' shares
             p = self.powers(rows)
             p /= p @ _ONES
             p[np.arange(len(at)), child] -= 1
@@ -237,7 +242,10 @@ class Model:
 
 
 def histories(ids: np.ndarray, starts: np.ndarray, unknown: int) -> np.ndarray:
-    """Feature codes (3, n) of token ids; ``starts`` are the places where texts begin."""
+    """Feature codes (3, n) of token ids; ``starts`` are the places where texts begin.
+
+    Pairs of words that are not both among the PAIRED most frequent share one code: they hardly come again.
+    """
     one = np.empty(len(ids), np.uint32)
     two = np.empty(len(ids), np.uint32)
     one[1:], two[2:] = ids[:-1], ids[:-2]
@@ -247,7 +255,9 @@ def histories(ids: np.ndarray, starts: np.ndarray, unknown: int) -> np.ndarray:
     later = starts + 1
     two[later[later < len(ids)]] = begin
     a, b = np.uint32(2654435761), np.uint32(2246822519)
-    return np.stack([(one + np.uint32(1)) * a, ((one + np.uint32(1)) * a ^ (two + np.uint32(3)) * b) * a, (two + np.uint32(7)) * b ^ np.uint32(0x5BD1E995)])
+    both = ((one + np.uint32(1)) * a ^ (two + np.uint32(3)) * b) * a
+    skip = (two + np.uint32(7)) * b ^ np.uint32(0x5BD1E995)
+    return np.stack([(one + np.uint32(1)) * a, np.where(np.maximum(one, two) < PAIRED, both, np.uint32(0)), skip])
 
 
 def encode(docs: DataFrame, counts: Counts, id_col: str, text_col: str, held_out: Column) -> DataFrame:
@@ -264,7 +274,7 @@ def encode(docs: DataFrame, counts: Counts, id_col: str, text_col: str, held_out
         end = n_words if end is None else end
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for part in slices(batches, ROWS):
+            for part in slices(batches, ROWS, TEXT_BYTES):
                 flat, lengths = flat_words(part.column(3))
                 coded = flat.dictionary_encode()
                 names = keys(coded.dictionary)
@@ -340,11 +350,13 @@ def train(encoded: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
                 if buffer:
                     learn()
                 used = own.seen - seen
-                change = own.table - table.astype(np.float32)
                 for begin in range(0, len(used), BLOCK * 64):
                     blocks = [b for b in range(begin, min(len(used), begin + BLOCK * 64), BLOCK) if used[b : b + BLOCK].any()]
-                    cut = lambda x: pa.array([x[b : b + BLOCK].tobytes() for b in blocks], pa.binary())  # noqa: B023, E731
-                    yield pa.RecordBatch.from_arrays([pa.array([b // BLOCK for b in blocks], pa.int64()), cut(used), cut(change.astype(np.float16))], names=["block", "used", "change"])
+                    change = [(own.table[b : b + BLOCK] - table[b : b + BLOCK]).astype(np.float16).tobytes() for b in blocks]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([b // BLOCK for b in blocks], pa.int64()), pa.array([used[b : b + BLOCK].tobytes() for b in blocks], pa.binary()), pa.array(change, pa.binary())],
+                        names=["block", "used", "change"],
+                    )
 
             for batch in batches:
                 for part in slices(iter([batch]), 4096):

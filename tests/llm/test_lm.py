@@ -70,7 +70,8 @@ def brute_codes(ids, n_words):
     out = []
     for i in range(len(ids)):
         one, two = ids[i - 1] if i else begin, ids[i - 2] if i > 1 else begin
-        out.append(((one + 1) * a % m, ((one + 1) * a % m ^ (two + 3) * b % m) * a % m, (two + 7) * b % m ^ 0x5BD1E995))
+        pair = ((one + 1) * a % m ^ (two + 3) * b % m) * a % m
+        out.append(((one + 1) * a % m, pair if max(one, two) < lm.PAIRED else 0, (two + 7) * b % m ^ 0x5BD1E995))
     return out
 
 
