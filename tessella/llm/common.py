@@ -83,6 +83,20 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of a table of keys that go to every task at most (two longs each, 32 MB); more are joined.
+BROADCAST_ROWS = 2_000_000
+
+
+def shared(rows: DataFrame, keys: list[str], name: str = "counts") -> DataFrame:
+    """The rows of ``rows`` whose ``keys`` come up again, with their number as ``members``.
+
+    Keys are counted with sums before the shuffle, so a common key gathers nowhere.  Those that repeat are written;
+    up to BROADCAST_ROWS of them are sent to the rows, so the rows are not shuffled for it, and more are joined.
+    """
+    counts = stored(rows.groupBy(*keys).agg(F.count("*").alias("members")).where("members > 1"), name)
+    return rows.join(F.broadcast(counts) if counts.count() <= BROADCAST_ROWS else counts, keys)
+
+
 def bucket(id_col: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (null ids count as '')."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, gathered, raw, slices, stored
+from .common import BROADCAST_ROWS, fresh, gathered, raw, shared, slices, stored
 from .components import components
 
 SHINGLE = 3
@@ -19,8 +19,6 @@ SEED = 42
 MAX_BITS = 3
 #: Fingerprints are cut into this many blocks; two within MAX_BITS bits share BLOCKS - MAX_BITS of them.
 BLOCKS = 6
-#: Ids that go to every task at most (8 bytes each, 16 MB); more are joined.
-BROADCAST_IDS = 2_000_000
 #: Members of a block key that one task compares; more are split into pairs of parts.
 PART = 20_000
 
@@ -103,8 +101,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, part:
         F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in masks))).alias("mask", "key"),
         "fp",
     )
-    counts = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
-    met = keyed.join(counts, ["mask", "key"])
+    met = shared(keyed, ["mask", "key"]).withColumnRenamed("members", "n")
     parts = F.ceil(F.col("n") / part).cast("int")
     mine: Column = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     dealt = met.withColumn("parts", parts).withColumn("mine", mine)
@@ -160,14 +157,14 @@ def near_duplicates(
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
     """One document of each group that ``by`` finds stays: that with the smallest id, all columns kept.
 
-    Only ids are joined with the documents: those that go, and those that repeat.  Up to BROADCAST_IDS of them are
+    Only ids are joined with the documents: those that go, and those that repeat.  Up to BROADCAST_ROWS of them are
     sent to all tasks, so no text is shuffled; more are joined.  Rows that repeat the id of the document that stays
     are reduced to one of them (by a hash of the text).  Rows without an id cannot be told apart and stay.
     """
     found = by(docs, id_col, text_col, **options).where(F.col(id_col).isNotNull())
     each = found.groupBy(F.col(id_col).alias("id")).agg(F.max("component_id").alias("head"), F.count("*").alias("rows"))
     marked = stored(each.where("head < id or rows > 1"), "marked")
-    few = marked.count() <= BROADCAST_IDS
+    few = marked.count() <= BROADCAST_ROWS
     key = fresh(docs, "marked_id")
     ids = lambda condition: (lambda t: F.broadcast(t) if few else t)(marked.where(condition).select(F.col("id").alias(key)))
     match = F.col(id_col).cast("long") == F.col(key)
