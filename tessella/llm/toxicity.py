@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, gathered, hash_sample, slices, split_words, stored
+from .common import discard, flat_words, gathered, hash_sample, slices, stored
 
 #: Hashed features: a word and its beginnings, so that forms of one stem share weights.
 DIM = 1 << 18
@@ -28,6 +28,8 @@ SENTENCE = re.compile(rb"(?<=[.!?])[\x20\x09-\x0D]+|\n+")
 #: Dropped before words are hashed, so that "WORD!!" and "word" are one feature.
 _EDGE = b"!?.,;:\"'()[]{}<>|*#$%&-_/\\=+~`^@"
 _CACHE = 200_000
+#: Bytes of a word that are hashed side by side with other words'; longer words are hashed one by one.
+_STEPS = 64
 
 
 def features(word: bytes) -> list[int]:
@@ -38,30 +40,72 @@ def features(word: bytes) -> list[int]:
     return [zlib.crc32(b"=" + bare) % DIM, *(zlib.crc32(bare[:k]) % DIM for k in STEMS if k <= len(bare))]
 
 
+def _crc_table() -> np.ndarray:
+    """The steps of zlib's CRC-32 by byte."""
+    t = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        t = np.where(t & 1, t >> 1 ^ np.uint32(0xEDB88320), t >> 1)
+    return t
+
+
+_CRC = _crc_table()
+
+
+def feature_table(words: pa.Array) -> np.ndarray:
+    """:func:`features` of each word, in columns; DIM where a word has no such feature."""
+    bare = pc.ascii_trim(words, characters=_EDGE.decode())
+    offsets = np.frombuffer(bare.buffers()[1], np.int32)[bare.offset : bare.offset + len(bare) + 1] if len(bare) else np.zeros(1, np.int32)
+    data = np.frombuffer(bare.buffers()[2] or b"", np.uint8) if len(bare) else np.zeros(0, np.uint8)
+    start, size = offsets[:-1].astype(np.int64), np.diff(offsets)
+    out = np.full((len(words), 1 + len(STEMS)), DIM, np.int64)
+    order = np.argsort(-size, kind="stable")
+    step = lambda c, byte: _CRC[(c ^ byte) & 255] ^ c >> 8
+    stem = np.full(len(words), 0xFFFFFFFF, np.uint32)
+    whole = np.full(len(words), step(np.uint32(0xFFFFFFFF), np.uint32(ord("="))), np.uint32)
+    for j in range(min(_STEPS, int(size.max(initial=0)))):
+        own = order[: np.searchsorted(-size[order], -j, "left")]  # words longer than j
+        byte = data[start[own] + j].astype(np.uint32)
+        whole[own] = step(whole[own], byte)
+        if j < max(STEMS):
+            stem[own] = step(stem[own], byte)
+            if j + 1 in STEMS:
+                out[own, 1 + STEMS.index(j + 1)] = (stem[own] ^ np.uint32(0xFFFFFFFF)) % DIM
+    out[size > 0, 0] = (whole[size > 0] ^ np.uint32(0xFFFFFFFF)) % DIM
+    for i in np.flatnonzero(size > _STEPS):
+        out[i, 0] = zlib.crc32(b"=" + data[start[i] : start[i] + size[i]].tobytes()) % DIM
+    return out
+
+
 @dataclass
 class Bags:
-    """Sentences of several texts as sets of words: (sentence, word) pairs, each sentence's text, the distinct words."""
+    """Sentences of several texts as sets of words: (sentence, word) pairs, each sentence's text, the words' features."""
 
     sentence: np.ndarray
     word: np.ndarray
     text_of: np.ndarray
-    distinct: list[bytes]
+    features: np.ndarray
     texts: int
 
     @staticmethod
     def of(texts: pa.Array) -> Bags:
         """Sentences end after a word that ends with . ! or ?, and at a line's end (or a lone U+0001); those without words are left out."""
-        ids, distinct, lengths = split_words(pc.replace_substring(texts.fill_null(""), "\n", " \x01 "))
-        mark = np.array([w == b"\x01" for w in distinct], bool)
-        stop = mark | np.array([w[-1] in b".!?" for w in distinct], bool)
+        flat, lengths = flat_words(pc.replace_substring(texts.fill_null(""), "\n", " \x01 "))
+        coded = flat.dictionary_encode()
+        ids, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        flags = lambda x: x.to_numpy(zero_copy_only=False).astype(bool)
+        mark = flags(pc.equal(distinct, "\x01"))
+        stop = mark | flags(pc.match_substring_regex(distinct, "[.!?]$"))
         text_of = np.repeat(np.arange(len(lengths)), lengths)
         begins = np.ones(len(ids), bool)
         begins[1:] = stop[ids[:-1]] | (text_of[1:] != text_of[:-1])
         sentence = np.cumsum(begins)
-        words = ~mark[ids] if len(ids) else np.zeros(0, bool)
-        pairs = np.unique(sentence[words] * len(distinct) + ids[words])
-        kept, place = np.unique(pairs // max(1, len(distinct)), return_inverse=True)
-        return Bags(place, pairs % max(1, len(distinct)), text_of[begins][kept - 1], distinct, len(lengths))
+        words, n = ~mark[ids], max(1, len(distinct))
+        pairs = sentence[words] * n + ids[words]
+        pairs.sort()
+        pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])] if len(pairs) else pairs
+        of = pairs // n
+        first = np.concatenate([[True], of[1:] != of[:-1]]) if len(of) else np.zeros(0, bool)
+        return Bags(np.cumsum(first) - 1, pairs % n, text_of[begins][of[first] - 1], feature_table(distinct), len(lengths))
 
 
 class Model:
@@ -73,15 +117,15 @@ class Model:
     def words(self) -> _Weights:
         return _Weights(self.weights)
 
-    def totals(self, bags: Bags, words: _Weights, shift: float = 0.0) -> np.ndarray:
-        """-log P(label 0) of each text: the sum over its sentences.  ``words`` caches weights."""
-        own = np.fromiter(map(words.__getitem__, bags.distinct), np.float64, len(bags.distinct))
+    def totals(self, bags: Bags, shift: float = 0.0) -> np.ndarray:
+        """-log P(label 0) of each text: the sum over its sentences."""
+        own = np.append(self.weights, np.float32(0))[bags.features].sum(1, dtype=np.float64)
         z = np.bincount(bags.sentence, own[bags.word], len(bags.text_of)) + self.bias + shift
         return np.bincount(bags.text_of, np.logaddexp(0, z), bags.texts)
 
-    def scores(self, bags: Bags, words: _Weights) -> np.ndarray:
+    def scores(self, bags: Bags) -> np.ndarray:
         """Noisy-or of each text's sentences, 1 - prod(1 - p); 0 without sentences."""
-        return -np.expm1(-self.totals(bags, words))
+        return -np.expm1(-self.totals(bags))
 
 
 class _Weights(dict):
@@ -107,9 +151,8 @@ def fit_noisy_or(bags: Bags, labels: np.ndarray, rounds: int = 100, rate: float
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(DIM), 20.0 if len(labels) and labels.max() else -20.0)
     word, sent_of, doc_of, n = bags.word, bags.sentence, bags.text_of, bags.texts
-    ids = [features(w) for w in bags.distinct]
-    flat = np.array([i for x in ids for i in x], np.int64)
-    owner = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+    ids = bags.features
+    owner, flat = np.nonzero(ids < DIM)[0], ids[ids < DIM]
     # Document frequency of the features, from the distinct words of each document.
     pairs = np.unique(doc_of[sent_of] * len(ids) + word)
     by_word = np.bincount(owner, minlength=len(ids))
@@ -142,10 +185,9 @@ def calibrated(model: Model, bags: Bags, labels: np.ndarray, threshold: float =
     """Shift the bias so that missed label-1 documents plus ``cost`` times false alarms are fewest at ``threshold``."""
     if not len(labels) or labels.min() == labels.max():
         return model
-    words = model.words()
     best = (np.inf, 0.0)
     for shift in sorted(np.arange(-4, 2.01, 0.1), key=abs):
-        p = -np.expm1(-model.totals(bags, words, shift)) >= threshold
+        p = -np.expm1(-model.totals(bags, shift)) >= threshold
         loss = (~p[labels > 0]).mean() + cost * p[labels == 0].mean()
         if loss < best[0] - 1e-12:
             best = (loss, shift)
@@ -210,7 +252,7 @@ def assess(
         def rows() -> Iterator[pa.RecordBatch]:
             for part in slices(batches):
                 texts = part.column(part.num_columns - 1)
-                score = model.scores(Bags.of(texts), words)
+                score = model.scores(Bags.of(texts))
                 found = score >= threshold
                 worst = [locate(texts[i].as_py().encode(), model, words) if x else (None, None, None) for i, x in enumerate(found.tolist())]
                 arrays = [

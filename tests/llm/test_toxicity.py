@@ -65,7 +65,7 @@ def test_odd_tables(spark, odd_docs, no_docs):
 
 def test_noisy_or():
     model = toxicity.Model(np.zeros(toxicity.DIM), 0.0)
-    got = model.scores(toxicity.Bags.of(pa.array(["a b. c d", "", " \n ", None, "a\nb\n\nc"])), model.words())
+    got = model.scores(toxicity.Bags.of(pa.array(["a b. c d", "", " \n ", None, "a\nb\n\nc"])))
     assert np.allclose(got, [0.75, 0, 0, 0, 0.875])
 
 
@@ -106,3 +106,11 @@ def test_training_sample_is_bounded_in_rows_and_bytes(spark):
     assert [sum(y == k for y, _ in got) for k in (0, 1)] == [100, 100] and sorted(got) == sorted(pick(max_docs=200))
     small = pick(max_docs=200, max_bytes=6000)
     assert 20 < len(small) < 200 and all(sum(len(t) for y, t in small if y == k) <= 3000 for k in (0, 1))
+
+
+def test_feature_table_equals_features():
+    words = ["", "!!", "abc", "(word).", "é" * 5, "x" * 63, "y" * 200 + "!", "-a-b-", "\x01", "12345678"]
+    table = toxicity.feature_table(pa.array(["skip", *words]).slice(1))
+    for w, row in zip(words, table.tolist(), strict=True):
+        assert sorted(i for i in row if i < toxicity.DIM) == sorted(toxicity.features(w.encode()))
+    assert toxicity.feature_table(pa.array([], pa.string())).shape == (0, 6)
