@@ -30,8 +30,9 @@ from .common import discard, flat_words, gathered, slices, stored
 WIDTH = 32
 #: Root classes that hold words, that hold classes of words, and that hold deeper classes; one more is for all rare words.
 NEAR, MIDDLE, DEEP = 16, 8, 7
-#: Features of the softmaxes at the root, one below, and deeper: 0 the last word, 1 the last two words, 2 the last but one.
-FEATURES = ((0, 1, 2), (0, 2), (0,))
+#: Features of the softmaxes from the root down: 0 the last word, 1 the last two words, 2 the last but one.  The deepest
+#: have none: words that share their class of WIDTH rare enough words have their shares of it.
+FEATURES = ((0, 1, 2), (0, 2), (0,), ())
 #: Words modelled one by one, rows of hashed weights, and a worker's tokens a round, for each square root of the training tokens.
 WORDS_PER_ROOT = 24
 ROWS_PER_ROOT = 28
@@ -215,18 +216,20 @@ class Model:
                 # Few nodes: their biases' gradients are one small product.
                 nodes, place = np.unique(node, return_inverse=True)
                 rows.pop()
-                self._move(nodes + (1 << self.bits), (place == np.arange(len(nodes))[:, None]).astype(np.float32) @ p)
+                self._move(nodes + (1 << self.bits), p.T @ (place[:, None] == np.arange(len(nodes))).astype(np.float32))
             packed = np.concatenate([r << 32 | np.arange(len(at)) for r in rows])
             packed.sort()
             keys = packed >> 32
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             # Sums of each row's run; one outcome after the other, as its gradients fit the cache.
             total = np.add.reduceat(np.ascontiguousarray(p.T).take(packed & 0xFFFFFFFF, axis=1), first, axis=1)
-            self._move(keys[first], total.T)
+            self._move(keys[first], total)
 
     def _move(self, at: np.ndarray, total: np.ndarray) -> None:
-        self.seen[at] += np.einsum("ij,ij->i", total, total)
-        self.table[at] -= total * (RATE / np.sqrt(self.seen[at]))[:, None]
+        """Step against the gradients ``total``, one column for each row ``at`` of weights."""
+        self.seen[at] += np.einsum("ij,ij->j", total, total)
+        total *= RATE / np.sqrt(self.seen[at])
+        self.table[at] -= total.T
 
     def log10(self, codes: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """log10 P of each token given its history (of the class alone for rare words)."""

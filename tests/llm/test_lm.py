@@ -59,7 +59,7 @@ def brute_log10(model, path, code):
     total = 0.0
     for level, (node, child) in enumerate(path):
         salt = (node + 11) * 668265263 % 2**32
-        rows = [((c ^ salt) * 3266489917 % 2**32) >> (32 - model.bits) for c in (code[k] for k in lm.FEATURES[min(level, 2)])]
+        rows = [((c ^ salt) * 3266489917 % 2**32) >> (32 - model.bits) for c in (code[k] for k in lm.FEATURES[min(level, len(lm.FEATURES) - 1)])]
         z = model.table[[*rows, (1 << model.bits) + node]].astype(np.float64).sum(0)
         total += (z[child] - math.log(np.exp(z).sum())) / math.log(10)
     return total
