@@ -1,13 +1,12 @@
-"""String similarities, 0 to 100 (Jaro-Winkler 0 to 1): scalars, and one Arrow UDF for the pair features.
+"""String similarities, 0 to 100 (Jaro-Winkler 0 to 1): scalars, and the same for whole batches of pairs.
 
-``ratio`` is 200 * LCS / (len a + len b), where LCS is the longest common subsequence, found bit by bit on
-Python integers.
+``ratio`` is 200 * LCS / (len a + len b), where LCS is the longest common subsequence, found bit by bit: the
+scalars use Python integers, the batches machine words, all pairs of a batch in step.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import numpy as np
 import pandas as pd
 
 
@@ -141,39 +140,272 @@ def jaro_winkler(a: str, b: str) -> float:
 
 
 FIVE = (ratio, token_sort_ratio, token_set_ratio, partial_ratio, weighted_ratio)
-#: Output columns of :func:`similarities`, in this order.
+#: Columns of :func:`similarities`, in this order.
 COLUMNS = (
     "name_ratio", "name_token_sort", "name_token_set", "name_partial", "name_wratio", "name_jaro",
     "core_ratio", "core_token_sort", "core_token_set", "core_partial", "core_wratio", "core_jaro", "core_concat_ratio",
     "skel_ratio", "skel_token_sort", "skel_token_set", "skel_partial", "skel_concat_ratio",
     "addr_ratio", "addr_token_set", "addr_partial",
 )
+#: Longest shorter string that is compared in machine words (longer ones go through the scalars), and bytes of masks at once.
+LONGEST = 512
+MASK_BYTES = 32 << 20
+
+
+class Codes:
+    """Strings as rows of character numbers (0 behind a string's end)."""
+
+    def __init__(self, strings: list[str], alphabet: np.ndarray | None = None):
+        self.length = np.fromiter(map(len, strings), np.int64, len(strings))
+        points = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.alphabet = np.unique(points) if alphabet is None else alphabet
+        self.rows = np.zeros((len(strings), int(self.length.max(initial=0)) + 1), np.int32)
+        self.rows[np.arange(self.rows.shape[1]) < self.length[:, None]] = np.searchsorted(self.alphabet, points) + 1
+
+
+def _masks(rows: np.ndarray, length: np.ndarray, letters: int) -> np.ndarray:
+    """Bit i of [pair, letter] tells whether the pair's pattern has the letter at place i."""
+    longest = int(length.max(initial=0))
+    out = np.zeros((len(rows), letters + 1, max(1, -(-longest // 64))), np.uint64)
+    for i in range(longest):
+        own = np.flatnonzero(length > i)
+        out[own, rows[own, i], i // 64] |= np.uint64(1 << i % 64)
+    return out
+
+
+def _step(v: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """One letter of the other string: the bits of ``v`` that stay are pattern places without a partner."""
+    u = v & m
+    s = v + u
+    if v.shape[1] > 1:
+        carry = s[:, 0] < u[:, 0]
+        for w in range(1, v.shape[1]):
+            own = s[:, w] < u[:, w]
+            s[:, w] += carry
+            carry = own | (carry & (s[:, w] == 0))
+    return s | (v & ~m)
+
+
+def _found(v: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Length of the subsequence: places of the pattern whose bits are gone (bits behind its end never go)."""
+    return v.shape[1] * 64 - np.bitwise_count(v).sum(1, dtype=np.int64)
+
+
+def _by_chunks(length: np.ndarray, letters: int):
+    """Slices of pairs whose masks fit MASK_BYTES."""
+    words = max(1, -(-int(length.max(initial=0)) // 64))
+    size = max(1, MASK_BYTES // (8 * words * (letters + 1)))
+    for at in range(0, len(length), size):
+        yield slice(at, at + size)
+
+
+def lcs_many(a: list[str], b: list[str]) -> np.ndarray:
+    """:func:`lcs` of each pair, all pairs one letter at a time."""
+    out = np.zeros(len(a), np.int64)
+    short = [x if len(x) <= len(y) else y for x, y in zip(a, b, strict=True)]
+    long = [y if len(x) <= len(y) else x for x, y in zip(a, b, strict=True)]
+    size = np.fromiter(map(len, short), np.int64, len(short))
+    for i in np.flatnonzero(size > LONGEST):
+        out[i] = lcs(short[i], long[i])
+    own = np.flatnonzero((size > 0) & (size <= LONGEST))
+    # By words of the pattern, then longest text first: the pairs still at work are a head.
+    own = own[np.lexsort((-np.fromiter((len(long[i]) for i in own), np.int64, len(own)), -(-size[own] // 64)))]
+    for words in np.unique(-(-size[own] // 64)):
+        part = own[-(-size[own] // 64) == words]
+        x = Codes([short[i] for i in part])
+        y_rows = Codes([long[i] for i in part], np.unique(np.concatenate([x.alphabet, np.frombuffer("".join(long[i] for i in part).encode("utf-32-le", "surrogatepass"), np.uint32)])))
+        x = Codes([short[i] for i in part], y_rows.alphabet)
+        for s in _by_chunks(x.length, len(x.alphabet)):
+            masks, rows, length = _masks(x.rows[s], x.length[s], len(x.alphabet)), y_rows.rows[s], y_rows.length[s]
+            v = np.full((len(rows), masks.shape[2]), ~np.uint64(0))
+            at = np.arange(len(rows))
+            for j in range(int(length.max(initial=0))):
+                k = int(np.searchsorted(-length, -j, "left"))
+                v[:k] = _step(v[:k], masks[at[:k], rows[:k, j]])
+            out[part[s]] = _found(v, x.length[s])
+    return out
+
+
+def ratio_many(a: list[str], b: list[str]) -> np.ndarray:
+    n = np.fromiter((len(x) + len(y) for x, y in zip(a, b, strict=True)), np.float64, len(a))
+    same = np.fromiter((x == y for x, y in zip(a, b, strict=True)), bool, len(a))
+    out = np.full(len(a), 100.0)
+    own = np.flatnonzero(~same & (n > 0))
+    out[own] = 200.0 * lcs_many([a[i] for i in own], [b[i] for i in own]) / n[own]
+    return out
+
+
+def partial_many(a: list[str], b: list[str]) -> np.ndarray:
+    """:func:`partial_ratio` of each pair.
+
+    The windows cut at the longer string's ends are its heads and tails: one pass each gives them all.  Whole
+    windows are compared side by side.
+    """
+    out = np.zeros(len(a))
+    work = []
+    for i, (x, y) in enumerate(zip(a, b, strict=True)):
+        x, y = (x, y) if len(x) <= len(y) else (y, x)
+        if x in y:
+            out[i] = 100.0 if x or not y else 0.0
+        elif len(x) > LONGEST:
+            out[i] = partial_ratio(x, y)
+        elif x:
+            work.append((-(-len(x) // 64), -len(x), i, x, y))
+    work.sort(key=lambda w: w[:3])
+    for words in sorted({w[0] for w in work}):
+        part = [w for w in work if w[0] == words]
+        where, short, long = np.array([w[2] for w in part]), [w[3] for w in part], [w[4] for w in part]
+        alphabet = np.unique(np.frombuffer("".join(short + long).encode("utf-32-le", "surrogatepass"), np.uint32))
+        best = np.zeros(len(part))
+        for reverse in (False, True):
+            x = Codes([s[::-1] for s in short] if reverse else short, alphabet)
+            y = Codes([s[::-1] for s in long] if reverse else long, alphabet)
+            for s in _by_chunks(x.length, len(alphabet)):
+                masks, n, rows = _masks(x.rows[s], x.length[s], len(alphabet)), x.length[s], y.rows[s]
+                v = np.full((len(n), masks.shape[2]), ~np.uint64(0))
+                at, own = np.arange(len(n)), best[s]
+                for j in range(int(n.max(initial=0)) - 1):
+                    k = int(np.searchsorted(-n, -(j + 1), "left"))  # heads are shorter than the pattern
+                    v[:k] = _step(v[:k], masks[at[:k], rows[:k, j]])
+                    own[:k] = np.maximum(own[:k], 200.0 * _found(v[:k], n[:k]) / (n[:k] + j + 1))
+                if not reverse:
+                    _windows(masks, rows, n, y.length[s], own)
+                best[s] = own
+        out[where] = best
+    return out
+
+
+def _windows(masks: np.ndarray, rows: np.ndarray, n: np.ndarray, m: np.ndarray, best: np.ndarray, size: int = 1 << 16) -> None:
+    """Raise ``best`` to the best whole window of each pair; pairs come with the longest pattern first."""
+    count = m - n + 1
+    pair = np.repeat(np.arange(len(n)), count)
+    start = np.arange(len(pair)) - np.repeat(np.cumsum(count) - count, count)
+    for begin in range(0, len(pair), size):
+        p, at = pair[begin : begin + size], start[begin : begin + size]
+        v = np.full((len(p), masks.shape[2]), ~np.uint64(0))
+        length = n[p]
+        for j in range(int(length.max(initial=0))):
+            k = int(np.searchsorted(-length, -j, "left"))
+            v[:k] = _step(v[:k], masks[p[:k], rows[p[:k], at[:k] + j]])
+        np.maximum.at(best, p, 100.0 * _found(v, length) / length)
+
+
+def jaro_winkler_many(a: list[str], b: list[str], size: int = 1 << 21) -> np.ndarray:
+    """:func:`jaro_winkler` of each pair."""
+    out = np.fromiter((float(x == y) for x, y in zip(a, b, strict=True)), np.float64, len(a))
+    own = [i for i in range(len(a)) if a[i] and b[i] and a[i] != b[i]]
+    own.sort(key=lambda i: (len(a[i]), len(b[i])))
+    at = 0
+    while at < len(own):
+        end = at + max(1, size // ((len(a[own[min(len(own) - 1, at + 1000)]]) + 1) * (max(len(b[i]) for i in own[at : at + 1000]) + 1)))
+        part = own[at : min(end, at + 1000)]
+        at += len(part)
+        x = [a[i] for i in part]
+        y = [b[i] for i in part]
+        alphabet = np.unique(np.frombuffer("".join(x + y).encode("utf-32-le", "surrogatepass"), np.uint32))
+        p, q = Codes(x, alphabet), Codes(y, alphabet)
+        reach = np.maximum(0, np.maximum(p.length, q.length) // 2 - 1)
+        taken, used = np.zeros(q.rows.shape, bool), np.zeros(p.rows.shape, bool)
+        place, row = np.arange(q.rows.shape[1]), np.arange(len(part))
+        for i in range(int(p.length.max())):
+            fits = (q.rows == p.rows[:, i : i + 1]) & ~taken & (place >= (i - reach)[:, None]) & (place <= (i + reach)[:, None]) & (p.length > i)[:, None]
+            first = fits.argmax(1)
+            hit = fits[row, first]
+            taken[row[hit], first[hit]] = True
+            used[hit, i] = True
+        m = used.sum(1)
+        front = lambda flags, rows: np.take_along_axis(rows, np.argsort(~flags, axis=1, kind="stable"), 1)
+        width = int(m.max(initial=0))
+        swaps = ((front(used, p.rows)[:, :width] != front(taken, q.rows)[:, :width]) & (np.arange(width) < m[:, None])).sum(1) // 2
+        safe = np.maximum(m, 1)
+        score = np.where(m > 0, (m / p.length + m / q.length + (m - swaps) / safe) / 3, 0.0)
+        head = np.zeros(len(part), np.int64)
+        alike = np.ones(len(part), bool)
+        for i in range(4):
+            alike &= (p.length > i) & (q.length > i)
+            if i < min(p.rows.shape[1], q.rows.shape[1]):
+                alike &= p.rows[:, i] == q.rows[:, i]
+            head += alike
+        out[part] = np.where(score > 0.7, score + 0.1 * head * (1 - score), score)
+    return out
+
+
+def _sorted(strings: list[str]) -> list[str]:
+    known: dict[str, str] = {}
+    return [known[s] if s in known else known.setdefault(s, " ".join(sorted(s.split()))) for s in strings]
+
+
+def token_set_many(a: list[str], b: list[str]) -> np.ndarray:
+    out = np.zeros(len(a))
+    known: dict[str, frozenset[str]] = {}
+    left, right, owner = [], [], []
+    for i, (s, t) in enumerate(zip(a, b, strict=True)):
+        x = known.get(s) if s in known else known.setdefault(s, frozenset(s.split()))
+        y = known.get(t) if t in known else known.setdefault(t, frozenset(t.split()))
+        if not x or not y:
+            continue
+        both = x & y
+        if both and (len(both) == len(x) or len(both) == len(y)):
+            out[i] = 100.0
+            continue
+        common = " ".join(sorted(both))
+        one, two = (f"{common} {' '.join(sorted(z - both))}".strip() for z in (x, y))
+        pairs = [(one, two), (common, one), (common, two)] if both else [(one, two)]
+        left += [p[0] for p in pairs]
+        right += [p[1] for p in pairs]
+        owner += [i] * len(pairs)
+    np.maximum.at(out, owner, ratio_many(left, right))
+    return out
+
+
+def five_many(a: list[str], b: list[str], weighted: bool = True) -> list[np.ndarray]:
+    """ratio, token_sort, token_set, partial and (if wanted) weighted ratio of each pair."""
+    whole, in_order, sets, part = ratio_many(a, b), ratio_many(_sorted(a), _sorted(b)), token_set_many(a, b), partial_many(a, b)
+    if not weighted:
+        return [whole, in_order, sets, part]
+    low = np.fromiter((min(len(x), len(y)) for x, y in zip(a, b, strict=True)), np.float64, len(a))
+    high = np.fromiter((max(len(x), len(y)) for x, y in zip(a, b, strict=True)), np.float64, len(a))
+    longer = high / np.maximum(low, 1)
+    out = np.maximum(whole, 0.95 * np.maximum(in_order, sets))
+    uneven = np.flatnonzero((low > 0) & (longer >= 1.5))
+    if len(uneven):
+        x, y = [a[i] for i in uneven], [b[i] for i in uneven]
+        scale = np.where(longer[uneven] <= 8, 0.9, 0.6)
+        meet = np.array([bool(set(s.split()) & set(t.split())) for s, t in zip(x, y, strict=True)])
+        bare = np.array([not s.split() or not t.split() for s, t in zip(x, y, strict=True)])
+        unique = lambda strings: [" ".join(sorted(set(s.split()))) for s in strings]
+        tokens = np.where(bare, 0.0, np.where(meet, 100.0, np.maximum(partial_many(_sorted(x), _sorted(y)), partial_many(unique(x), unique(y)))))
+        out[uneven] = np.maximum(whole[uneven], np.maximum(scale * part[uneven], 0.95 * scale * tokens))
+    out[low == 0] = 0.0
+    return [whole, in_order, sets, part, out]
+
+
+def similarities(*sides: pd.Series) -> pd.DataFrame:
+    """COLUMNS (0 to 1) of pairs of names, core names, skeletons and addresses, given as eight columns.
+
+    A pair of strings that comes up again in the batch, as core and raw name often do, is compared once.
+    """
+    given = [(list(sides[2 * k]), list(sides[2 * k + 1])) for k in range(4)]
+    out: dict[str, np.ndarray] = {}
 
+    def each(pairs: list[tuple[str, str]], columns: list[str], compare) -> None:
+        known: dict[tuple[str, str], int] = {}
+        place = np.fromiter((known.setdefault(p, len(known)) for p in pairs), np.int64, len(pairs))
+        found = compare([p[0] for p in known], [p[1] for p in known])
+        for c, values in zip(columns, found, strict=True):
+            out[c] = values[place]
 
-def row(name: tuple[str, str], core: tuple[str, str], skel: tuple[str, str], addr: tuple[str, str], known: dict | None = None) -> list[float]:
-    """Values of COLUMNS; ``known`` keeps what has been computed for a pair of strings (core names often are the raw ones)."""
-    known = {} if known is None else known
-
-    def each(p: tuple[str, str]) -> list[float]:
-        if p not in known:
-            known[p] = [*(f(*p) / 100 for f in FIVE), jaro_winkler(*p)]
-        return known[p]
-
-    squeezed = lambda p: (p[0].replace(" ", ""), p[1].replace(" ", ""))
-    return [
-        *each(name), *each(core), ratio(*squeezed(core)) / 100,
-        *(f(*skel) / 100 for f in FIVE[:4]), ratio(*squeezed(skel)) / 100,
-        ratio(*addr) / 100, token_set_ratio(*addr) / 100, partial_ratio(*addr) / 100,
-    ]
-
-
-def similarities(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """mapInPandas body: id columns pass, then the columns of COLUMNS for (name, core, skel, addr) pairs."""
-    for df in batches:
-        sides = [list(zip(df[f"{x}_1"], df[f"{x}_2"], strict=True)) for x in ("name", "core", "skel", "addr")]
-        known: dict = {}  # for this batch
-        values = [row(*p, known) for p in zip(*sides, strict=True)]
-        out = pd.DataFrame(values, columns=list(COLUMNS)).astype("float32")
-        out.insert(0, "cand_id", df["cand_id"].to_numpy())
-        out.insert(0, "s1_id", df["s1_id"].to_numpy())
-        yield out
+    name, core, skel, addr = (list(zip(*x, strict=True)) for x in given)
+    n = len(name)
+    six = ["ratio", "token_sort", "token_set", "partial", "wratio", "jaro"]
+    each(name + core, six, lambda a, b: [*(x / 100 for x in five_many(a, b)), jaro_winkler_many(a, b)])
+    done = {f"{side}_{c}": out[c][s] for side, s in (("name", slice(0, n)), ("core", slice(n, 2 * n))) for c in six}
+    each(skel, six[:4], lambda a, b: [x / 100 for x in five_many(a, b, weighted=False)])
+    done |= {f"skel_{c}": out[c] for c in six[:4]}
+    each(addr, ["ratio", "token_set", "partial"], lambda a, b: [ratio_many(a, b) / 100, token_set_many(a, b) / 100, partial_many(a, b) / 100])
+    done |= {f"addr_{c}": out[c] for c in ("ratio", "token_set", "partial")}
+    for side, pairs in (("core", core), ("skel", skel)):
+        squeezed = [(p[0].replace(" ", ""), p[1].replace(" ", "")) for p in pairs]
+        each(squeezed, ["ratio"], lambda a, b: [ratio_many(a, b) / 100])
+        done[f"{side}_concat_ratio"] = out["ratio"]
+    return pd.DataFrame({c: done[c].astype("float32") for c in COLUMNS})

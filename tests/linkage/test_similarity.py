@@ -41,3 +41,36 @@ def test_known_values():
     assert S.jaro_winkler("martha", "marhta") == pytest.approx(0.9611, abs=1e-4)
     assert S.jaro_winkler("abcd", "abxy") == pytest.approx(2 / 3, abs=1e-4)
     assert S.jaro_winkler("dixon", "dicksonx") == pytest.approx(0.8133, abs=1e-4)
+
+
+def some_strings(rng, n):
+    word = lambda: "".join(rng.choice("abcdeé 東") for _ in range(rng.choice([0, 1, 2, 3, 5, 9, 20])))
+    a = [" ".join(word() for _ in range(rng.choice([0, 1, 2, 3, 4, 9]))) for _ in range(n)]
+    b = [x if rng.random() < 0.1 else x[: len(x) // 2] + " ".join(word() for _ in range(3)) for x in a]
+    return a + ["x" * 600 + "ab", "", "a", "😀 b"], b + ["ab" + "x" * 550, "", "", "b 😀"]
+
+
+def test_batches_equal_scalars():
+    rng = random.Random(17)
+    for _ in range(15):
+        a, b = some_strings(rng, 40)
+        for many, one in ((S.lcs_many, S.lcs), (S.ratio_many, S.ratio), (S.partial_many, S.partial_ratio), (S.token_set_many, S.token_set_ratio), (S.jaro_winkler_many, S.jaro_winkler)):
+            assert list(many(a, b)) == pytest.approx([one(x, y) for x, y in zip(a, b, strict=True)], abs=1e-9)
+        for got, one in zip(S.five_many(a, b), S.FIVE, strict=True):
+            assert list(got) == pytest.approx([one(x, y) for x, y in zip(a, b, strict=True)], abs=1e-9)
+
+
+def test_columns_equal_scalars():
+    import pandas as pd
+
+    rng = random.Random(18)
+    sides = [pd.Series(x) for _ in range(4) for x in some_strings(rng, 30)]
+    got = S.similarities(*sides)
+    assert list(got.columns) == list(S.COLUMNS)
+    squeezed = lambda x: x.replace(" ", "")
+    for i in range(len(got)):
+        name, core, skel, addr = ((sides[2 * k][i], sides[2 * k + 1][i]) for k in range(4))
+        six = lambda p: [*(f(*p) / 100 for f in S.FIVE), S.jaro_winkler(*p)]
+        want = [*six(name), *six(core), S.ratio(*map(squeezed, core)) / 100, *(f(*skel) / 100 for f in S.FIVE[:4]), S.ratio(*map(squeezed, skel)) / 100]
+        want += [S.ratio(*addr) / 100, S.token_set_ratio(*addr) / 100, S.partial_ratio(*addr) / 100]
+        assert got.iloc[i].tolist() == pytest.approx(want, abs=1e-6)

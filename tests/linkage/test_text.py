@@ -45,6 +45,11 @@ def test_romanise():
     assert romanise("Москва") == "Moskva"
     assert romanise("Αθηνα") == "Athina"
     assert romanise("१२ अ") == "12 a" and romanise("") == ""
+    # Letters of different scripts share names.
+    assert romanise("ハナ") == "hana" and romanise("かべ") == "kabe" and romanise("しつ") == "shitsu" and romanise("ラーメン") == "ramen"
+    assert romanise("서울") == "seoul" and romanise("부산 한국") == "busan hanguk"
+    # Han characters and marks stay; normalisation splits at them.
+    assert romanise("東京 a—b") == "東京 a—b"
 
 
 def test_read_tsv(spark, tmp_path):
