@@ -7,18 +7,21 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import text as T
+from ..functions.translit import to_ascii
 
 
 def views(records: DataFrame) -> DataFrame:
     """Records with normalised views, made once for each record: raw and core name, skeletons, address words, numbers.
 
-    ``records``: entity_id, business_name, business_address, country (nulls count as empty).
+    ``records``: entity_id, business_name, business_address, country (nulls count as empty).  Names and addresses in
+    other scripts are romanised before they are normalised; the given ones stay beside the views.
     """
     base = records.select(
         "entity_id", F.coalesce("country", F.lit("")).alias("country"), F.coalesce("business_name", F.lit("")).alias("business_name"),
         F.coalesce("business_address", F.lit("")).alias("business_address"),
     )
-    with_tokens = base.withColumns({"name_tokens": T.tokens(F.col("business_name")), "address_tokens": T.address_words(F.col("business_address"))})
+    plain = to_ascii(base.withColumns({"plain_name": F.col("business_name"), "plain_address": F.col("business_address")}), "plain_name", "plain_address")
+    with_tokens = plain.withColumns({"name_tokens": T.tokens(F.col("plain_name")), "address_tokens": T.address_words(F.col("plain_address"))}).drop("plain_name", "plain_address")
     named = with_tokens.withColumn("name_raw", F.array_join("name_tokens", " "))
     return named.withColumns({
         "name_core": T.core_name(F.col("name_raw")), "name_skeleton": T.skeleton_text(F.col("name_raw")),
@@ -78,12 +81,26 @@ def build_index(viewed: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
     return weigh(counts, idf), idf
 
 
-def save_index(weights: DataFrame, idf: DataFrame, path: str, overwrite: bool = False) -> None:
-    """Write an index as Parquet by country; an existing one stays unless ``overwrite``."""
+def index_metadata(viewed: DataFrame, idf: DataFrame, cfg: Config) -> DataFrame:
+    """(country, n_records, features_kept, df_frac, buckets): one row for each block of an index."""
+    kept = idf.groupBy("country").agg(F.count("*").alias("features_kept"))
+    return block_sizes(viewed).join(kept, "country", "left").select(
+        "country", "n_records", F.coalesce("features_kept", F.lit(0)).cast("long").alias("features_kept"), F.lit(cfg.df_frac).cast("double").alias("df_frac"), F.lit(cfg.buckets if cfg.hashed else 0).alias("buckets")
+    )
+
+
+def save_index(weights: DataFrame, idf: DataFrame, path: str, overwrite: bool = False, metadata: DataFrame | None = None) -> None:
+    """Write an index as Parquet by country, and its metadata; an existing one stays unless ``overwrite``."""
     mode = "overwrite" if overwrite else "ignore"
     weights.write.mode(mode).partitionBy("country").option("maxRecordsPerFile", 2_000_000).parquet(f"{path}/weights")
     idf.write.mode(mode).partitionBy("country").parquet(f"{path}/idf")
+    if metadata is not None:
+        metadata.coalesce(1).write.mode(mode).json(f"{path}/metadata")
 
 
 def load_index(spark, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/idf")
+
+
+def load_metadata(spark, path: str) -> DataFrame:
+    return spark.read.schema("country string, n_records long, features_kept long, df_frac double, buckets int").json(f"{path}/metadata")

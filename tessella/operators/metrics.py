@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 from ..config import Prune, Rule
 from .retrieve import best_first, keep_adaptively
 
-KS = (1, 3, 5, 10, 20, 30, 50, 75, 100, 200, 500)
+#: The depths at which recall is reported, and the percentiles of scores.
+KS = (1, 3, 5, 10, 20, 30, 50, 75, 100, 150, 200, 300, 500)
 PERCENTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
+#: The pruning settings of the sweep (floors of confident and other queries, caps of both).
+SWEEP = tuple(
+    Prune(floor_confident=a, floor=b, cap_confident=c, cap=d)
+    for a, b, c, d in ((0.30, 0.20, 20, 40), (0.25, 0.15, 25, 50), (0.30, 0.18, 30, 45), (0.28, 0.17, 30, 45), (0.32, 0.20, 28, 40), (0.28, 0.16, 28, 45), (0.27, 0.16, 27, 45), (0.30, 0.18, 50, 50))
+)
 #: The grid of selection rules (single, match, share).
 GRID = ((0.55, 0.60, 0.65, 0.68, 0.70, 0.75), (0.45, 0.50, 0.55, 0.60, 0.65), (0.60, 0.70, 0.80, 0.90))
 
@@ -77,6 +83,26 @@ def missed_by_country(candidates: DataFrame, truth: DataFrame) -> DataFrame:
     return found.groupBy("country").agg(F.count("*").alias("truths"), F.count(F.when(F.col("got").isNull(), 1)).alias("missed"))
 
 
+def missed_examples(candidates: DataFrame, truth: DataFrame, n: int = 20) -> DataFrame:
+    """(s1_id, cand_id, country): the first ``n`` true pairs, by their ids, that were not retrieved."""
+    found = truth.join(candidates.select("s1_id", "cand_id"), ["s1_id", "cand_id"], "left_anti")
+    return found.select("s1_id", "cand_id", "country").orderBy("s1_id", "cand_id").limit(n)
+
+
+def top_scores(entities: DataFrame, candidates: DataFrame, truth: DataFrame) -> DataFrame:
+    """(s1_id, kind, score): the best score of each entity (0 without candidates), kind 'singleton' if it has no true pair."""
+    best = candidates.groupBy("s1_id").agg(F.max("score").alias("score"))
+    matched = truth.select("s1_id").distinct().withColumn("m", F.lit(1))
+    every = entities.select("s1_id").distinct().join(best, "s1_id", "left").join(matched, "s1_id", "left")
+    return every.select("s1_id", F.when(F.col("m").isNull(), "singleton").otherwise("matched").alias("kind"), F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
+def resolver_report(entities: DataFrame, claims: DataFrame, kept: DataFrame, truth: DataFrame) -> DataFrame:
+    """One row: macro F0.5 of the resolved claims, claims made and claims kept."""
+    score = macro_f05(entities, kept, truth)
+    return score.join(claims.agg(F.count("*").alias("n_claims"))).join(kept.agg(F.count("*").alias("n_kept")))  # one row each
+
+
 def grid_scores(entities: DataFrame, scored: DataFrame, truth: DataFrame, grid=GRID, cap: int = 12, by: list[str] | None = None) -> DataFrame:
     """(rule, single, match, share[, by], macro_f05, n_entities) of every rule; ``entities`` has s1_id (and ``by``).
 

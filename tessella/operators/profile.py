@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize
-from ..sources.tables import ID
+from ..functions.translit import to_ascii
+from ..sources.tables import ID, read_tsv
 
 NON_ASCII = r"[^\x00-\x7f]"
 
@@ -63,9 +64,26 @@ def same_country(truth: DataFrame, queries: DataFrame, records: DataFrame) -> Da
     return both.agg(_count(known & (F.col("c1") == F.col("c2"))).alias("same"), _count(known & (F.col("c1") != F.col("c2"))).alias("cross"), _count(~known).alias("unknown"))
 
 
+def cross_country_examples(truth: DataFrame, queries: DataFrame, records: DataFrame, n: int = 5) -> DataFrame:
+    """(s1_id, cand_id, country_1, country_2): the first ``n`` true pairs, by their ids, whose countries differ."""
+    q = queries.select(F.col("entity_id").alias("s1_id"), F.col("country").alias("country_1"))
+    r = records.select(F.col("entity_id").alias("cand_id"), F.col("country").alias("country_2"))
+    return truth.select("s1_id", "cand_id").join(q, "s1_id").join(r, "cand_id").where("country_1 <> country_2").select("s1_id", "cand_id", "country_1", "country_2").orderBy("s1_id", "cand_id").limit(n)
+
+
+def profile_matched(records: DataFrame, truth: DataFrame) -> DataFrame:
+    """(source, country, n_rows, missing_name, missing_address, nonlatin_name) of the records that a true pair names."""
+    rows = records.join(truth.select(F.col("cand_id").alias("entity_id")).distinct(), "entity_id", "left_semi")
+    name, address = (F.coalesce(x, F.lit("")) for x in ("business_name", "business_address"))
+    return rows.groupBy(F.substring("entity_id", 1, 2).alias("source"), "country").agg(
+        F.count("*").alias("n_rows"), _count(F.trim(name) == "").alias("missing_name"), _count(F.trim(address) == "").alias("missing_address"), _count(name.rlike(NON_ASCII)).alias("nonlatin_name")
+    )
+
+
 def name_vanishes(records: DataFrame) -> DataFrame:
-    """Records with a name of which nothing is left after normalisation."""
-    return records.where((F.trim("business_name") != "") & (normalize(F.col("business_name")) == "")).select("entity_id", "business_name")
+    """Records with a name of which nothing is left after normalisation (other scripts romanised first)."""
+    plain = to_ascii(records.withColumn("plain", F.col("business_name")), "plain")
+    return plain.where((F.trim("business_name") != "") & (normalize(F.col("plain")) == "")).select("entity_id", "business_name")
 
 
 def check_header(df: DataFrame, list_col: str) -> list[str]:
@@ -73,6 +91,19 @@ def check_header(df: DataFrame, list_col: str) -> list[str]:
     return [] if df.columns == want else [f"bad header {df.columns}, expected {want}"]
 
 
+def read_result(spark: SparkSession, path: str, list_col: str) -> DataFrame:
+    """An output file as (source1_entity_id, list); a header other than that is an error."""
+    given = spark.read.csv(path, sep="\t", header=True, quote='"', escape='"')
+    if found := check_header(given, list_col):
+        raise ValueError(f"{path}: {found[0]}")
+    return read_tsv(spark, path, ("source1_entity_id", list_col))
+
+
+def validate_files(spark: SparkSession, matches: str, candidates: str, s1: DataFrame, known: DataFrame) -> DataFrame:
+    """:func:`violations` of two output files."""
+    return violations(read_result(spark, matches, "matched_entity_ids"), read_result(spark, candidates, "candidate_entity_ids"), s1, known)
+
+
 def violations(matches: DataFrame, candidates: DataFrame, s1: DataFrame, known: DataFrame) -> DataFrame:
     """(file, rule, s1_id, detail) of every broken output rule; valid files give no row.
 

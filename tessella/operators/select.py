@@ -8,16 +8,31 @@ from pyspark.sql import functions as F
 from ..config import Rule
 
 
-def select_matches(scored: DataFrame, rule: Rule = Rule()) -> DataFrame:
+RULES = "country string, single double, match double, share double"
+
+
+def rules_by_country(best: DataFrame) -> DataFrame:
+    """(country, single, match, share) from the best rules of :func:`metrics.best_rule`, one row a country."""
+    return best.select("country", "single", "match", "share")
+
+
+def select_matches(scored: DataFrame, rule: Rule = Rule(), by_country: DataFrame | None = None) -> DataFrame:
     """Pairs (s1_id, cand_id, prob) that the rule keeps.
 
     No match if the best probability is below ``single``; else those of at least max(match, share * best),
-    ``cap`` at most, best first, ties by cand_id.
+    ``cap`` at most, best first, ties by cand_id.  ``by_country`` (see :func:`rules_by_country`) holds own limits of
+    some countries; all others follow ``rule``.
     """
     by = Window.partitionBy("s1_id")
     ranked = scored.withColumns({"best": F.max("prob").over(by), "place": F.row_number().over(by.orderBy(F.desc("prob"), "cand_id"))})
-    bar = F.greatest(F.lit(rule.match), rule.share * F.col("best"))
-    return ranked.where((F.col("best") >= rule.single) & (F.col("prob") >= bar) & (F.col("place") <= rule.cap)).drop("best", "place")
+    limits = {x: F.lit(getattr(rule, x)) for x in ("single", "match", "share")}
+    if by_country is not None:
+        own = by_country.select("country", *(F.col(x).alias(f"own_{x}") for x in limits))
+        ranked = ranked.join(F.broadcast(own), "country", "left")  # one row a country
+        limits = {x: F.coalesce(f"own_{x}", v) for x, v in limits.items()}
+    bar = F.greatest(limits["match"], limits["share"] * F.col("best"))
+    kept = ranked.where((F.col("best") >= limits["single"]) & (F.col("prob") >= bar) & (F.col("place") <= rule.cap))
+    return kept.select(*scored.columns)
 
 
 def resolve_one_to_one(claims: DataFrame) -> DataFrame:

@@ -30,17 +30,38 @@ def write_checkpoint(scored: DataFrame, path: str) -> None:
     scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("country").parquet(path)
 
 
+def mark_done(countries: DataFrame, path: str) -> None:
+    """Note countries as finished, also those without any pair."""
+    countries.select("country").write.mode("append").parquet(f"{path}_done")
+
+
 def pending(countries: DataFrame, path: str) -> DataFrame:
     """Countries that a checkpoint does not hold yet (all, if there is no checkpoint)."""
     from pyspark.errors import AnalysisException
 
-    try:
-        done = countries.sparkSession.read.parquet(path).select("country").distinct()
-    except AnalysisException:
-        return countries
-    return countries.join(done, "country", "left_anti")
+    spark = countries.sparkSession
+    for place in (f"{path}_done", path):
+        try:
+            countries = countries.join(spark.read.parquet(place).select(F.col("country").cast("string").alias("country")).distinct(), "country", "left_anti")
+        except AnalysisException:
+            continue
+    return countries
+
+
+def write_pseudo_labels(labels: DataFrame, path: str) -> None:
+    """Tab-separated (source1_entity_id, candidate_id, prob), probabilities with six digits."""
+    write_tsv(labels.select(F.col("s1_id").alias("source1_entity_id"), F.col("cand_id").alias("candidate_id"), F.format_string("%.6f", "prob").alias("prob")), path)
 
 
 def report(df: DataFrame) -> list[dict]:
     """Rows of a small report table as dictionaries."""
     return [r.asDict(recursive=True) for r in df.collect()]
+
+
+def write_report(tables: dict[str, DataFrame], path: str) -> None:
+    """One JSON line (name, rows) for each of several small report tables, written by the cluster."""
+    lines = [t.agg(F.collect_list(F.struct(*(F.col(f"`{c}`") for c in t.columns))).alias("rows")).select(F.to_json(F.struct(F.lit(n).alias("name"), "rows")).alias("value")) for n, t in tables.items()]
+    whole = lines[0]
+    for line in lines[1:]:
+        whole = whole.unionByName(line)
+    whole.coalesce(1).write.mode("overwrite").text(path)

@@ -89,5 +89,6 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 
 
 def in_split(key, percent: int = 20, seed: int = 42):
-    """True for about ``percent`` % of the keys; all rows of a key fall on one side."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(100)) < percent
+    """True for about ``percent`` % of the keys, by their md5; all rows of a key fall on one side."""
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", key, F.lit(str(seed)))), 1, 8), 16, 10).cast("long")
+    return h % 100 < percent
