@@ -7,20 +7,27 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import blocking, model, pairs, retrieve, select
+from ..sources import sinks
+from ..sources.scratch import discard, stored
 
 SPACE = r"[\x20\x09-\x0D]+"
+#: Words of a record's name, and of its address.
+NAME_WORDS, ADDRESS_WORDS = 4, 8
 
 
 def document_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as noisy records: name = words 1-8, address = words 9-16, country = lang.
+    """``documents`` as noisy records: name = the 4 longest words of the whole text, address = the next 8, country = lang.
 
-    The first record of each (country, name) is of source 1, the others of source 2 (even doc_id) or 3.
+    Words count once, longest first, ties in order of the alphabet; near copies of a text thus have nearly the same
+    record wherever they differ.  The first record of each (country, name) is of source 1, the others of source 2
+    (even doc_id) or 3.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
-    # A split limit keeps the rest of the text in one piece.
-    parts = F.filter(F.split(F.coalesce("text", F.lit("")), SPACE, 18), lambda w: w != "")
-    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("country"), parts.alias("w")).select(
-        "doc_id", "country", F.array_join(F.slice("w", 1, 8), " ").alias("business_name"), F.array_join(F.slice("w", 9, 8), " ").alias("business_address")
+    parts = F.array_distinct(F.filter(F.split(F.coalesce("text", F.lit("")), SPACE), lambda w: w != ""))
+    ranked = F.array_sort(F.transform(parts, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
+    longest = F.transform(F.slice(ranked, 1, NAME_WORDS + ADDRESS_WORDS), lambda x: x["w"])
+    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("country"), longest.alias("w")).select(
+        "doc_id", "country", F.array_join(F.slice("w", 1, NAME_WORDS), " ").alias("business_name"), F.array_join(F.slice("w", NAME_WORDS + 1, ADDRESS_WORDS), " ").alias("business_address")
     )
     first = rows.groupBy("country", "business_name").agg(F.min("doc_id").alias("head"))
     source = F.when(F.col("doc_id") == F.col("head"), "S1-").when(F.col("doc_id") % 2 == 0, "S2-").otherwise("S3-")
@@ -51,20 +58,44 @@ def pair_features(queries: DataFrame, records: DataFrame, cfg: Config) -> DataFr
     return pairs.features(found, queries, records, idf, total)
 
 
-def link(queries: DataFrame, records: DataFrame, models, cfg: Config, names=pairs.FEATURES) -> tuple[DataFrame, DataFrame]:
-    """(scored pairs, resolved matches): candidates, features, probabilities, selection, one-to-one.
+def link(queries: DataFrame, records: DataFrame, models, cfg: Config, names=pairs.FEATURES, by_country: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(scored pairs, resolved matches) of viewed queries and records: candidates, features, probabilities, selection, one-to-one.
 
     Records whose country is not in the index, or without candidates, have no pair; writers add their
-    empty lists from source 1.
+    empty lists from source 1.  Views are read by the index, by retrieval and by both sides of the features: callers
+    store or persist them (see :func:`link_corpus`).
     """
-    # Normalised once for each record; the index, retrieval and both sides of the features read it.
-    q, r = blocking.views(queries).persist(), blocking.views(records).persist()
-    scored = model.predict(pair_features(q, r, cfg), models, names)
-    return scored, select.resolve_one_to_one(select.select_matches(scored, cfg.rule))
+    scored = model.predict(pair_features(queries, records, cfg), models, names)
+    return scored, select.resolve_one_to_one(select.select_matches(scored, cfg.rule, by_country))
+
+
+def link_corpus(queries: DataFrame, records: DataFrame, score, cfg: Config, path: str, by_country: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(candidates with probabilities, resolved matches) of given records, country by country, with checkpoints under ``path``.
+
+    ``score(queries, records)`` gives (s1_id, cand_id, country, prob) of viewed records.  A country that a checkpoint
+    holds is not scored again, so a run that broke off goes on with the next one.  The resolver sees the claims of all
+    countries.
+    """
+    spark, place = queries.sparkSession, f"{path}/pairs"
+    todo = sinks.pending(records.select(F.coalesce("country", F.lit("")).alias("country")).distinct(), place)
+    for country in sorted(r["country"] for r in todo.collect()):
+        q, r = (stored(blocking.views(df.where(F.coalesce("country", F.lit("")) == country)), "views") for df in (queries, records))
+        sinks.write_checkpoint(score(q, r).select("s1_id", "cand_id", "prob", "country"), place)
+        sinks.mark_done(spark.createDataFrame([(country,)], "country string"), place)
+        discard(q, r)
+    schema = "s1_id string, cand_id string, prob double, country string"
+    scored = spark.read.schema(schema).parquet(place)
+    return scored, select.resolve_one_to_one(select.select_matches(scored, cfg.rule, by_country))
+
+
+def assemble(s1: DataFrame, scored: DataFrame, matches: DataFrame, path: str) -> tuple[str, str]:
+    """Write both output files of a run, one row for each record of source 1; returns (matches, candidates) paths."""
+    out = f"{path}/matching_results", f"{path}/candidate_pairs"
+    sinks.write_tsv(sinks.pair_list(s1, matches, "matched_entity_ids"), out[0])
+    sinks.write_tsv(sinks.pair_list(s1, scored, "candidate_entity_ids"), out[1])
+    return out
 
 
 def score_as_probability(found: DataFrame) -> DataFrame:
     """Candidates with their cosine as a stand-in for the model's probability."""
     return found.withColumn("prob", F.round(F.least("score", F.lit(1.0)), 6))
-
-

@@ -5,19 +5,24 @@ from __future__ import annotations
 from itertools import product
 
 from ..functions.text import ADDRESS_FORMS, LEGAL_FORMS, LIGATURES, NUMERALS, SOUND_GROUPS
-from ..operators.metrics import GRID, KS, PERCENTILES
-from .queries import CFG, RULE, SWEEP
+from ..operators.metrics import GRID, KS, PERCENTILES, SWEEP
+from .linkage import ADDRESS_WORDS, NAME_WORDS
+from .queries import CFG, LEAST, RULE
 
 
 def _map(table: dict[str, str]) -> str:
     return "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in table.items()) + "}"
 
 
-def _tokens(x: str) -> str:
+def _plain(x: str) -> str:
     s = f"strip_accents({x})"
     for a, b in LIGATURES.items():
         s = f"replace({s}, '{a}', '{b}')"
-    s = f"replace(lower({s}), '&', ' and ')"
+    return s
+
+
+def _tokens(x: str) -> str:
+    s = f"replace(lower({_plain(x)}), '&', ' and ')"
     s = rf"regexp_replace({s}, '\b([0-9]+)(st|nd|rd|th)\b', '\1', 'g')"
     for _ in range(2):  # matches overlap
         s = rf"regexp_replace({s}, '([a-z])0([a-z])', '\1o\2', 'g')"
@@ -39,11 +44,13 @@ def _numbers(parts: str) -> str:
     return f"list_filter({parts}, lambda t: regexp_matches(t, '^[0-9]+$'))"
 
 
-VIEW = r"""
+VIEW = rf"""
 docs AS (
   SELECT doc_id, coalesce(lang, '') AS country, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), longest AS (
+  SELECT doc_id, country, list_transform(list_sort(list_transform(list_distinct(w), lambda x: {{'n': -length(x), 'w': x}})), lambda x: x.w) AS w FROM docs
 ), recs AS (
-  SELECT doc_id, country, array_to_string(w[1:8], ' ') AS business_name, array_to_string(w[9:16], ' ') AS business_address FROM docs
+  SELECT doc_id, country, array_to_string(w[1:{NAME_WORDS}], ' ') AS business_name, array_to_string(w[{NAME_WORDS + 1}:{NAME_WORDS + ADDRESS_WORDS}], ' ') AS business_address FROM longest
 ), heads AS (
   SELECT country, business_name, min(doc_id) AS head FROM recs GROUP BY ALL
 ), view_ AS (
@@ -82,17 +89,22 @@ COUNTS = f"""{VIEWED}, feats AS (
 ), weights AS (
   SELECT country, entity_id, fid, w / sqrt(sum(w * w) OVER (PARTITION BY country, entity_id)) AS w FROM raw
 )"""
-FOUND = f"""{COUNTS}, sums AS (
+RANKED = f"""{COUNTS}, sums AS (
   SELECT q.country, q.entity_id AS s1_id, d.entity_id AS cand_id, round(sum(q.w * d.w), 6) AS score
   FROM weights q JOIN weights d ON q.country = d.country AND q.fid = d.fid
   WHERE q.entity_id LIKE 'S1-%' AND d.entity_id NOT LIKE 'S1-%' GROUP BY ALL
 ), ranked AS (
   SELECT s1_id, country, cand_id, score, CAST(row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_id) AS INTEGER) AS rank FROM sums WHERE score > 0
-), found AS (
-  SELECT * FROM ranked WHERE rank <= {CFG.k}
 )"""
 
 
+def _found(k: int) -> str:
+    return f"{RANKED}, found AS (SELECT * FROM ranked WHERE rank <= {k})"
+
+
+FOUND = _found(CFG.k)
+
+
 def _keep(p) -> str:
     return (
         f"(best > 0 AND CASE WHEN best >= {p.usable} THEN CASE WHEN best > {p.confident} THEN score >= {p.floor_confident} * best AND rank <= {p.cap_confident}"
@@ -167,9 +179,13 @@ def _with(ctes: str, query: str) -> str:
 
 
 _SWEEP = " UNION ALL ".join(
-    f"SELECT {i} AS setting, count(*) FILTER (WHERE {_keep(p)}) AS kept, count(*) FILTER (WHERE {_keep(p)} AND t.cand_id IS NOT NULL) AS hits FROM bests b LEFT JOIN truth t ON b.s1_id = t.s1_id AND b.cand_id = t.cand_id"
+    f"SELECT {k} AS k, {i} AS setting, count(*) FILTER (WHERE {_keep(p)}) AS kept, count(*) FILTER (WHERE {_keep(p)} AND t.cand_id IS NOT NULL) AS hits FROM bests b LEFT JOIN truth t ON b.s1_id = t.s1_id AND b.cand_id = t.cand_id WHERE rank <= {k}"
+    for k in (50, 100)
     for i, p in enumerate(SWEEP)
 )
+_RULED = """SELECT rule, single, "match", share, country, macro_f05, n_entities FROM (
+  SELECT *, row_number() OVER (PARTITION BY country ORDER BY macro_f05 DESC, rule) AS place FROM (
+    SELECT rule, single, "match", share, country, round(avg(f), 6) AS macro_f05, count(*) AS n_entities FROM each GROUP BY ALL HAVING count(*) >= %d)) WHERE place = 1""" % LEAST
 _LISTS = f"{VIEW}, lists AS (SELECT e.s1_id, coalesce((SELECT list(t.cand_id) FROM truth t WHERE t.s1_id = e.s1_id), CAST([] AS VARCHAR[])) AS ids FROM entities e)"
 
 ORACLE_SQL = {
@@ -205,18 +221,37 @@ FROM (SELECT unnest(list_distinct({_split('name_core')})) AS token FROM viewed)
     "entity_f05": _with(f"{CHOSEN}, {_entity('ent', 'chosen')}", "SELECT s1_id, n_pred, n_hit, n_true, round(f05, 6) AS f05 FROM ent"),
     "macro_f05": _with(f"{CHOSEN}, {_entity('one', 'chosen')}, {_entity('two', 'resolved')}", """SELECT round(avg(f05), 6) AS macro_f05, count(*) AS n_entities, 'selected' AS stage FROM one
 UNION ALL SELECT round(avg(f05), 6), count(*), 'resolved' FROM two"""),
-    "recall_curve": _with(FOUND, f"""SELECT k, hits, truths, round(hits / truths, 6) AS recall FROM (
+    "recall_curve": _with(_found(max(KS)), f"""SELECT k, hits, truths, round(hits / truths, 6) AS recall FROM (
   SELECT k, count(*) AS truths, count(*) FILTER (WHERE f.rank <= k) AS hits FROM truth t CROSS JOIN (SELECT unnest([{", ".join(map(str, KS))}]) AS k) LEFT JOIN found f ON f.s1_id = t.s1_id AND f.cand_id = t.cand_id GROUP BY k)"""),
-    "prune_sweep": _with(PRUNED, f"SELECT setting, kept, hits, round(hits / (SELECT count(*) FROM truth), 6) AS recall, round(kept / (SELECT count(*) FROM entities), 6) AS mean_candidates FROM ({_SWEEP})"),
+    "prune_sweep": _with(f"{_found(100)}, bests AS (SELECT *, max(score) OVER (PARTITION BY s1_id) AS best FROM found)", f"SELECT k, setting, kept, hits, round(hits / (SELECT count(*) FROM truth), 6) AS recall, round(kept / (SELECT count(*) FROM entities), 6) AS mean_candidates FROM ({_SWEEP})"),
     "score_percentiles": _with(FOUND, f"""SELECT kind, count(*) AS n, {", ".join(f"round(quantile_cont(score, {p}), 4) AS p{round(100 * p)}" for p in PERCENTILES)} FROM (
   SELECT f.score, CASE WHEN t.cand_id IS NULL THEN 'other' ELSE 'true' END AS kind FROM found f LEFT JOIN truth t ON f.s1_id = t.s1_id AND f.cand_id = t.cand_id) GROUP BY kind"""),
     "rank_histogram": _with(FOUND, """SELECT worst_rank, count(*) AS entities FROM (
   SELECT t.s1_id, CAST(CASE WHEN count(*) = count(f.rank) THEN max(f.rank) ELSE 0 END AS INTEGER) AS worst_rank FROM truth t LEFT JOIN found f ON f.s1_id = t.s1_id AND f.cand_id = t.cand_id GROUP BY t.s1_id) GROUP BY worst_rank"""),
     "missed_by_country": _with(FOUND, "SELECT t.country, count(*) AS truths, count(*) FILTER (WHERE f.cand_id IS NULL) AS missed FROM truth t LEFT JOIN found f ON f.s1_id = t.s1_id AND f.cand_id = t.cand_id GROUP BY t.country"),
     "grid_search": _with(_GRID, 'SELECT rule, single, "match", share, round(avg(f), 6) AS macro_f05, count(*) AS n_entities FROM each GROUP BY ALL'),
-    "country_rules": _with(_GRID, """SELECT rule, single, "match", share, country, macro_f05, n_entities FROM (
-  SELECT *, row_number() OVER (PARTITION BY country ORDER BY macro_f05 DESC, rule) AS place FROM (
-    SELECT rule, single, "match", share, country, round(avg(f), 6) AS macro_f05, count(*) AS n_entities FROM each GROUP BY ALL HAVING count(*) >= 50)) WHERE place = 1"""),
+    "country_rules": _with(_GRID, _RULED),
+    "country_thresholds": _with(f"{_GRID}, ruled AS ({_RULED})", f"""SELECT s1_id, cand_id, country, prob FROM places LEFT JOIN ruled r USING (country)
+WHERE best >= coalesce(r.single, {RULE.single}) AND prob >= greatest(coalesce(r."match", {RULE.match}), coalesce(r.share, {RULE.share}) * best) AND places.place <= {RULE.cap}"""),
+    "transliterate_names": _with(VIEW, f"SELECT entity_id, {_plain('business_name')} AS business_name, {_plain('business_address')} AS business_address FROM view_"),
+    "index_metadata": _with(COUNTS, f"SELECT country, n AS n_records, (SELECT count(*) FROM idf i WHERE i.country = s.country) AS features_kept, CAST({CFG.df_frac} AS DOUBLE) AS df_frac, 0 AS buckets FROM sizes s"),
+    "record_scan": _with(VIEW, "SELECT entity_id, business_name, business_address, country FROM view_ WHERE entity_id IN (SELECT s1_id FROM truth)"),
+    "truth_scan": _with(VIEW, "SELECT s1_id, cand_id FROM truth"),
+    "entity_split": _with(VIEW, "SELECT s1_id, CAST('0x' || substr(md5(s1_id || '|42'), 1, 8) AS BIGINT) % 100 < 20 AS validation FROM entities"),
+    "training_set": _with(f"""{PRUNED}, pseudo AS (SELECT DISTINCT s1_id, cand_id FROM scored WHERE country <> 'en' AND prob >= 0.5)""", """SELECT s.s1_id, s.cand_id, (t.cand_id IS NOT NULL)::INT AS label, false AS pseudo FROM scored s LEFT JOIN truth t ON t.s1_id = s.s1_id AND t.cand_id = s.cand_id WHERE s.country = 'en'
+UNION ALL SELECT s.s1_id, s.cand_id, (p.cand_id IS NOT NULL)::INT, true FROM scored s LEFT JOIN pseudo p ON p.s1_id = s.s1_id AND p.cand_id = s.cand_id WHERE s.country <> 'en' AND s.s1_id IN (SELECT s1_id FROM pseudo)"""),
+    "assembled_files": _with(CHOSEN, """SELECT 'matches' AS file, e.s1_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY prob DESC, cand_id), '') AS ids FROM entities e LEFT JOIN resolved r ON r.s1_id = e.s1_id GROUP BY ALL
+UNION ALL SELECT 'candidates', e.s1_id, coalesce(string_agg(cand_id, ',' ORDER BY prob DESC, cand_id), '') FROM entities e LEFT JOIN scored s ON s.s1_id = e.s1_id GROUP BY ALL"""),
+    "resolver_report": _with(f"{CHOSEN}, {_entity('two', 'resolved')}", "SELECT (SELECT round(avg(f05), 6) FROM two) AS macro_f05, (SELECT count(*) FROM two) AS n_entities, (SELECT count(*) FROM chosen) AS n_claims, (SELECT count(*) FROM resolved) AS n_kept"),
+    "top_score_percentiles": _with(FOUND, f"""SELECT kind, count(*) AS n, {", ".join(f"round(quantile_cont(score, {p}), 4) AS p{round(100 * p)}" for p in PERCENTILES)} FROM (
+  SELECT e.s1_id, CASE WHEN e.s1_id IN (SELECT s1_id FROM truth) THEN 'matched' ELSE 'singleton' END AS kind, coalesce(max(f.score), 0.0) AS score FROM entities e LEFT JOIN found f ON f.s1_id = e.s1_id GROUP BY ALL) GROUP BY kind"""),
+    "missed_examples": _with(PRUNED, "SELECT t.s1_id, t.cand_id, t.country FROM truth t LEFT JOIN pruned p ON p.s1_id = t.s1_id AND p.cand_id = t.cand_id WHERE p.cand_id IS NULL ORDER BY t.s1_id, t.cand_id LIMIT 20"),
+    "oracle_by_depth": _with(f"""{_found(100)}, {", ".join(f"hit{k} AS (SELECT f.s1_id, f.cand_id FROM found f JOIN truth t ON f.s1_id = t.s1_id AND f.cand_id = t.cand_id WHERE f.rank <= {k}), {_entity(f'ent{k}', f'hit{k}')}" for k in (10, 50, 100))}""", " UNION ALL ".join(f"SELECT {k} AS k, round(avg(f05), 6) AS macro_f05 FROM ent{k}" for k in (10, 50, 100))),
+    "profile_matched": _with(VIEW, r"""SELECT left(entity_id, 2) AS source, country, count(*) AS n_rows, count(*) FILTER (WHERE trim(business_name) = '') AS missing_name, count(*) FILTER (WHERE trim(business_address) = '') AS missing_address,
+  count(*) FILTER (WHERE regexp_matches(business_name, '[^\x00-\x7f]')) AS nonlatin_name FROM view_ WHERE entity_id IN (SELECT cand_id FROM truth) GROUP BY ALL"""),
+    "cross_country_examples": _with(VIEW, """SELECT q.entity_id AS s1_id, r.entity_id AS cand_id, q.country AS country_1, r.country AS country_2 FROM view_ q JOIN view_ r ON q.business_name = r.business_name
+WHERE q.entity_id LIKE 'S1-%' AND r.entity_id NOT LIKE 'S1-%' AND q.country <> r.country ORDER BY 1, 2 LIMIT 5"""),
+    "name_vanishes": _with(VIEWED, "SELECT entity_id, business_name FROM viewed WHERE trim(business_name) <> '' AND name_raw = ''"),
     "baselines": _with(f"""{PRUNED}, perfect AS (SELECT s.s1_id, s.cand_id FROM scored s JOIN truth t ON s.s1_id = t.s1_id AND s.cand_id = t.cand_id),
 top1 AS (SELECT s1_id, cand_id FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY prob DESC, cand_id) AS place FROM scored) WHERE place = 1 AND prob >= 0.5),
 {_entity("one", "perfect")}, {_entity("two", "top1")}""", """SELECT (SELECT round(avg(f05), 6) FROM one) AS oracle_f05, (SELECT round(avg((n_true = 0)::INT), 6) FROM one) AS all_empty_f05, (SELECT round(avg(f05), 6) FROM two) AS top1_f05"""),

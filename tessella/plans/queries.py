@@ -2,36 +2,47 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Config, Prune, Rule
+from ..config import Config, Rule
 from ..functions import similarity
 from ..functions import text as T
+from ..functions.translit import to_ascii
 from ..operators import blocking, metrics, model, pairs, profile, retrieve, select
 from ..sources import sinks, tables
+from ..sources.scratch import scratch_dir, stored
 from . import linkage
 
 #: Blocks of the standard tables are small, so the df cut is wide; features stay strings so that SQL can follow.
 CFG = Config(df_frac=0.5, hashed=False, score_digits=6)
 #: A rule for cosines instead of probabilities.
 RULE = Rule(single=0.30, match=0.25, share=0.60, cap=12)
-SWEEP = [Prune(floor_confident=a, floor=b, cap_confident=c, cap=d) for a, b, c, d in ((0.5, 0.35, 10, 30), (0.3, 0.2, 20, 40), (0.28, 0.17, 30, 45), (0.25, 0.15, 25, 50))]
+#: Entities that a country needs for a rule of its own.
+LEAST = 300
+#: The most candidates that recall and the sweeps look at.
+DEEP = replace(CFG, k=max(metrics.KS))
 
 
 class View:
     """The linkage view of one data folder, with normalised queries and records.
 
-    Most plans read the normalised records several times, so they are persisted (memory, then disk).
+    Most plans read the normalised records several times, so they are persisted (memory, then disk) until the next
+    view is made.
     """
 
+    held: DataFrame | None = None
+
     def __init__(self, spark: SparkSession, sf_dir: str):
+        if View.held is not None and View.held.sparkSession is spark:
+            View.held.unpersist()
         self.all = linkage.document_view(spark, sf_dir)
         self.one, self.rest, self.truth = linkage.split_view(self.all)
-        self.viewed = blocking.views(self.all).persist()
+        self.viewed = View.held = blocking.views(self.all).persist()
         self.q, self.r = (self.viewed.where(c) for c in ("entity_id like 'S1-%'", "entity_id not like 'S1-%'"))
 
     @property
@@ -99,10 +110,6 @@ def name_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(pairs.name_idf(v.viewed)[0], "idf")
 
 
-def _true_pairs(v: View) -> DataFrame:
-    return pairs.attach(v.truth.select("s1_id", "cand_id"), v.q, v.r)
-
-
 def set_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = View(spark, sf_dir)
     out = pairs.set_features(pairs.attach(retrieve.prune(v.found()).select("s1_id", "cand_id"), v.q, v.r))
@@ -119,7 +126,7 @@ def soft_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jaro_winkler(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(batches):
         for df in batches:
-            df["name_jaro"] = [similarity.jaro_winkler(a, b) for a, b in zip(df.name_1, df.name_2, strict=True)]
+            df["name_jaro"] = similarity.jaro_winkler_many(list(df.name_1), list(df.name_2))
             yield df[["s1_id", "cand_id", "name_jaro"]]
 
     v = View(spark, sf_dir)
@@ -162,12 +169,15 @@ def macro_f05(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recall_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retrieves as many candidates as the largest k that is reported."""
     v = View(spark, sf_dir)
-    return _round(metrics.recall_curve(v.found(replace(CFG, k=max(metrics.KS))), v.truth), "recall")
+    return _round(metrics.recall_curve(v.found(DEEP), v.truth), "recall")
 
 
 def prune_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All settings, on the first 50 and on the first 100 candidates."""
     v = View(spark, sf_dir)
-    return _round(metrics.prune_sweep(v.found(), v.truth, v.one.count(), SWEEP), "recall", "mean_candidates")
+    found, n = v.found(replace(CFG, k=100)), v.one.count()
+    each = [metrics.prune_sweep(found.where(F.col("rank") <= k), v.truth, n, metrics.SWEEP).withColumn("k", F.lit(k)) for k in (50, 100)]
+    return _round(each[0].unionByName(each[1]), "recall", "mean_candidates")
 
 
 def score_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,10 +202,19 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def country_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best rule of each country with 50 entities or more."""
-    v = View(spark, sf_dir)
+    """The best rule of each country with LEAST entities or more."""
+    return _country_rules(View(spark, sf_dir))
+
+
+def _country_rules(v: View) -> DataFrame:
     scores = _round(metrics.grid_scores(v.entities, v.scored(), v.truth, by=["country"]), "macro_f05")
-    return metrics.best_rule(scores, ["country"], least=50)
+    return metrics.best_rule(scores, ["country"], least=LEAST)
+
+
+def country_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches by the rules of their countries; countries that have none follow the common rule."""
+    v = View(spark, sf_dir)
+    return select.select_matches(v.scored(), RULE, select.rules_by_country(_country_rules(v))).select("s1_id", "cand_id", "country", "prob")
 
 
 def baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,17 +277,115 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def linked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trees trained on the truth's pairs, then matches of all records: the whole plan."""
     v = View(spark, sf_dir)
-    features = linkage.pair_features(v.q, v.r, CFG)
-    labelled = model.label_pairs(features, v.truth)
-    fitted = model.fit(labelled, model.Trees(rounds=8, depth=4))
-    scored = model.predict(features, fitted)
+    features = linkage.pair_features(v.q, v.r, CFG).persist()
+    fitted = model.fit(model.label_pairs(features, v.truth))
+    scored = stored(model.predict(features, fitted), "scored")
+    features.unpersist()
     return select.resolve_one_to_one(select.select_matches(scored, CFG.rule))
 
 
+def transliterate_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and addresses in ASCII, before normalisation."""
+    v = View(spark, sf_dir).all
+    return to_ascii(v.select("entity_id", "business_name", "business_address"), "business_name", "business_address")
+
+
+def index_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = View(spark, sf_dir)
+    return blocking.index_metadata(v.r, blocking.frequencies(blocking.term_counts(v.r, CFG), blocking.block_sizes(v.r), CFG), CFG)
+
+
+def record_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written as a tab-separated file and read again, those of source 1 that have a true pair."""
+    v = View(spark, sf_dir)
+    path = f"{scratch_dir(spark)}/records-{uuid.uuid4().hex}"
+    sinks.write_tsv(v.all.select(*tables.RECORD), path)
+    return tables.only(tables.read_records(spark, path), v.truth.select("s1_id").distinct())
+
+
+def truth_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of true pairs written and read again, as pairs."""
+    v = View(spark, sf_dir)
+    path = f"{scratch_dir(spark)}/truth-{uuid.uuid4().hex}"
+    sinks.write_tsv(sinks.pair_list(v.one, v.truth.withColumn("prob", F.lit(1.0)), "matched_entity_ids"), path)
+    return tables.truth_pairs(tables.read_truth(spark, path))
+
+
+def entity_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which entities validate."""
+    return View(spark, sf_dir).entities.select("s1_id", model.validation(F.col("s1_id")).alias("validation"))
+
+
+def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and labels of a stored training set: English pairs by the truth, confident pairs of other countries as pseudo labels."""
+    v = View(spark, sf_dir)
+    scored = v.scored()
+    own = scored.where("country = 'en'").select("s1_id", "cand_id")
+    pseudo = select.pseudo_labels(scored, spark.createDataFrame([("en",)], "country string"), least=0.5)
+    path = f"{scratch_dir(spark)}/training-{uuid.uuid4().hex}"
+    model.save_training_set(model.training_set(own, v.truth, scored.where("country <> 'en'").select("s1_id", "cand_id"), pseudo), path, ())
+    return model.load_training_set(spark, path, ()).select("s1_id", "cand_id", F.col("label").cast("int").alias("label"), "pseudo")
+
+
+def assembled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both output files of a run by countries with checkpoints, read again: (file, source1_entity_id, ids)."""
+    v = View(spark, sf_dir)
+    path = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
+    score = lambda q, r: linkage.score_as_probability(linkage.candidates(q, r, CFG))
+    scored, matches = linkage.link_corpus(v.one, v.rest, score, replace(CFG, rule=RULE), path)
+    names = linkage.assemble(v.one, scored, matches, path)
+    columns = ("matched_entity_ids", "candidate_entity_ids")
+    files = [profile.read_result(spark, p, c).select(F.lit(f).alias("file"), "source1_entity_id", F.col(c).alias("ids")) for f, p, c in zip(("matches", "candidates"), names, columns, strict=True)]
+    return files[0].unionByName(files[1])
+
+
+def resolver_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Macro F0.5 after the resolver, claims and claims kept."""
+    v = View(spark, sf_dir)
+    claims = v.chosen()
+    return _round(metrics.resolver_report(v.entities, claims, select.resolve_one_to_one(claims), v.truth), "macro_f05")
+
+
+def top_score_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best scores of entities without and with true pairs."""
+    v = View(spark, sf_dir)
+    return metrics.score_percentiles(metrics.top_scores(v.entities, v.found(), v.truth))
+
+
+def missed_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = View(spark, sf_dir)
+    return metrics.missed_examples(retrieve.prune(v.found()), v.truth)
+
+
+def oracle_by_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Macro F0.5 of a perfect choice among the first 10, 50 and 100 candidates."""
+    v = View(spark, sf_dir)
+    found = v.found(replace(CFG, k=100)).join(v.truth.select("s1_id", "cand_id"), ["s1_id", "cand_id"], "left_semi")
+    each = [metrics.macro_f05(v.entities, found.where(F.col("rank") <= k), v.truth).select(F.lit(k).alias("k"), "macro_f05") for k in (10, 50, 100)]
+    return _round(each[0].unionByName(each[1]).unionByName(each[2]), "macro_f05")
+
+
+def profile_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = View(spark, sf_dir)
+    return profile.profile_matched(v.rest, v.truth)
+
+
+def cross_country_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records with one text in two countries, by the heads of their texts."""
+    v = View(spark, sf_dir)
+    pairs_ = v.one.select(F.col("entity_id").alias("s1_id"), "business_name").join(v.rest.select(F.col("entity_id").alias("cand_id"), "business_name"), "business_name")
+    return profile.cross_country_examples(pairs_, v.one, v.rest)
+
+
+def name_vanishes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.name_vanishes(View(spark, sf_dir).all)
+
+
 NAMES = (
-    normalize_text, feature_counts, document_frequencies, tfidf_weights, topk_cosine, hashed_topk, adaptive_prune, retrieval_context, candidate_lists, name_idf,
-    set_features, soft_jaccard, jaro_winkler, string_features, pair_features, select_matches, resolve_one_to_one, entity_f05, macro_f05, recall_curve, prune_sweep,
-    score_percentiles, rank_histogram, missed_by_country, grid_search, country_rules, baselines, weighted_f05, profile_source, country_histogram, profile_truth,
-    list_sizes, same_country_rate, validate_output, pseudo_labels, hash_sample, linked_records,
+    normalize_text, transliterate_names, feature_counts, document_frequencies, index_metadata, tfidf_weights, topk_cosine, hashed_topk, adaptive_prune, retrieval_context, candidate_lists,
+    name_idf, set_features, soft_jaccard, jaro_winkler, string_features, pair_features, select_matches, country_thresholds, resolve_one_to_one, resolver_report, entity_f05, macro_f05,
+    recall_curve, oracle_by_depth, prune_sweep, score_percentiles, top_score_percentiles, rank_histogram, missed_by_country, missed_examples, grid_search, country_rules, baselines,
+    weighted_f05, profile_source, profile_matched, country_histogram, profile_truth, list_sizes, same_country_rate, cross_country_examples, name_vanishes, validate_output, pseudo_labels,
+    hash_sample, entity_split, record_scan, truth_scan, training_set, assembled_files, linked_records,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in NAMES}
