@@ -19,8 +19,9 @@ QUERY_BLOCK = 8192
 #: Vectors whose sorted lists are in memory at once, and queries that read them together.
 LIST_BLOCK = 4096
 QUERY_GROUP = 256
-#: Depths, as shares of a list, after which the bounds are looked at.
-DEPTHS = (0.05, 0.15, 0.35, 0.7, 1.0)
+#: Depths, as shares of a list, at which bounds may be looked at, and the first of them where no score is known yet.
+DEPTHS = (0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.6, 0.8, 1.0)
+FIRST = 2
 
 
 def usable(vector: Column) -> Column:
@@ -49,50 +50,66 @@ class Lists:
         np.put_along_axis(place, order, np.arange(n)[:, None], axis=0)
         self.low, self.top = place, n - 1 - place
         self.sorted = np.take_along_axis(x, order, axis=0)
+        #: What is read down to a depth, and what is not: made once for all queries that look there.
+        self.parts: dict[int, np.ndarray] = {}
+
+    def read(self, depth: int) -> np.ndarray:
+        """Rows: read components by list from the top, from the bottom; then 1 for each unread one, likewise."""
+        if depth not in self.parts:
+            top, low = self.top < depth, self.low < depth
+            kind = self.x.dtype
+            self.parts[depth] = np.concatenate([self.x * top, self.x * low, (~top).astype(kind), (~low).astype(kind)], axis=1).T
+        return self.parts[depth]
 
     def search(self, q: np.ndarray, k: int, floor: np.ndarray, own: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """For each query, the vectors that may be among its k best, given k-th best scores so far.
 
         ``floor``: scores that an answer must reach; ``own[i]``: places of vectors that query i may not
-        return (its own rows).  After each depth a vector's lower bound counts its unread parts at the end
-        of their lists, its upper bound at the frontier.  A query stops when at least k lower bounds reach
-        its threshold and all outsiders' upper bounds lie below it (equal ones stay, as ties go to the
-        smaller id); what remains is small and its scores are resolved by the caller.
+        return (its own rows).  A query's lists are read down to the depth at which a vector seen in none of them
+        could not reach its floor any more (outsiders cannot qualify before); the depth follows from the lists'
+        frontiers alone.  There a vector's upper bound counts its unread parts at the frontier, its lower bound at
+        the end of their lists (only needed where no floor is known).  A query stops when few vectors have an upper
+        bound that reaches the floor (equal ones stay, as ties go to the smaller id), else its lists are read on;
+        the scores of what remains are resolved by the caller.
         """
         n = len(self.x)
         up, down = np.maximum(q, 0), np.minimum(q, 0)
-        waiting = np.arange(len(q))
-        worst_up, worst_down = self.sorted[0], self.sorted[-1]
-        for share in DEPTHS:
-            depth = min(n, max(2 * k, int(np.ceil(n * share))))
+        depths = np.unique([min(n, max(2 * k, int(np.ceil(n * share)))) for share in DEPTHS])
+        fronts = up @ self.sorted[n - depths].T + down @ self.sorted[depths - 1].T
+        ready = fronts < floor[:, None]
+        at = np.where(np.isinf(floor), min(FIRST, len(depths) - 1), np.where(ready.any(1), ready.argmax(1), len(depths) - 1))
+        for g, depth in enumerate(depths):
+            waiting = np.flatnonzero(at == g)
             if not len(waiting):
-                return
+                continue
             p, m = up[waiting], down[waiting]
             if depth >= n:
-                score = p @ self.x.T + m @ self.x.T
-                lower = upper = score
+                lower = upper = q[waiting] @ self.x.T
             else:
-                seen_top, seen_low = self.top < depth, self.low < depth
-                known = p @ (self.x * seen_top).T + m @ (self.x * seen_low).T
-                open_top, open_low = (~seen_top).astype(self.x.dtype).T, (~seen_low).astype(self.x.dtype).T
-                upper = known + (p * self.sorted[n - depth]) @ open_top + (m * self.sorted[depth - 1]) @ open_low
-                lower = known + (p * worst_up) @ open_top + (m * worst_down) @ open_low
-            still = []
+                parts = self.read(int(depth))
+                weigh = lambda a, b, rows: np.concatenate([p[rows], m[rows], p[rows] * a, m[rows] * b], axis=1) @ parts  # noqa: B023, E731
+                upper = weigh(self.sorted[n - depth], self.sorted[depth - 1], slice(None))
+                new = np.flatnonzero(np.isinf(floor[waiting]))
+                lower = np.full(upper.shape if len(new) else (len(upper), 0), -np.inf)
+                if len(new):
+                    lower[new] = weigh(self.sorted[0], self.sorted[-1], new)
             for row, query in enumerate(waiting):
-                lo, hi, bar = lower[row].astype(np.float64), upper[row].astype(np.float64), floor[query]
+                hi, bar = upper[row].astype(np.float64), floor[query]
+                lo = lower[row].astype(np.float64) if np.isinf(bar) else np.zeros(0)
                 if self.x.dtype.kind == "i":  # too large for exact doubles: widen the bounds by their rounding
-                    slack = 1.0 + 2.0**-50 * max(np.abs(lo).max(), np.abs(hi).max())
+                    slack = 1.0 + 2.0**-50 * max(np.abs(lo).max(initial=0), np.abs(hi).max())
                     lo, hi, bar = lo - slack, hi + slack, bar - slack
                 if len(own[query]):
-                    lo[own[query]] = hi[own[query]] = -np.inf
-                if n > k:
+                    hi[own[query]] = -np.inf
+                    if len(lo):
+                        lo[own[query]] = -np.inf
+                if len(lo) > k:
                     bar = max(bar, np.partition(lo, n - k)[n - k])
                 inside = np.flatnonzero((hi >= bar) & (hi > -np.inf))
-                if depth >= n or len(inside) <= max(4 * k, n // 64):
+                if depth >= n or len(inside) <= max(4 * k, n // 16):
                     yield query, inside
                 else:
-                    still.append(query)
-            waiting = np.array(still, int)
+                    at[query] = len(depths) - 1
 
 
 class Best:
