@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import discard, scratch_dir, shared_dir, stored
+
+__all__ = ["discard", "scratch_dir", "shared_dir", "stored"]
+
 #: ASCII white space, the only separators of words (fixed value).
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -24,48 +26,6 @@ PIECE = 1 << 20
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    A local folder, one for each application, is used only where the session names none and runs in one
-    process (single-machine tests).
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-    return tempfile.gettempdir()
-
-
-_MADE: set[str] = set()
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """This application's folder in the shared one; it is deleted when the driver ends."""
-    path = f"{shared_dir(spark)}/tessella-{spark.sparkContext.applicationId}"
-    if path not in _MADE:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        files.mkdirs(folder)
-        files.deleteOnExit(folder)
-        _MADE.add(path)
-    return path
-
-
-def stored(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    This cuts the lineage, keeps no executor-local state, and gives later steps a
-    table with statistics and column pruning.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}
@@ -74,15 +34,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete tables of :func:`stored` that no later step reads."""
-    for df in tables:
-        spark = df.sparkSession
-        for f in {x.rpartition("/")[0] for x in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 #: Rows of a table of keys that go to every task at most (two longs each, 32 MB); more are joined.
 BROADCAST_ROWS = 2_000_000
 

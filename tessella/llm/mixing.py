@@ -17,7 +17,7 @@ TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.9}
 FRACTION = 0.8
 ROUNDS = 400
 #: Rounds end when no share is farther from its target than this; targets count as met within MET.
-TOLERANCE = 1e-9
+TOLERANCE = 1e-12
 MET = 1e-6
 #: Default targets that cannot be met together are moved towards the actual shares in these steps.
 STRENGTHS = (1.0, 0.75, 0.5, 0.25, 0.0)
@@ -270,8 +270,8 @@ def mix(
     """``docs`` with topic, weight, probability and selected columns.
 
     ``weight`` is the fitted weight of a token of the row (fitted share over actual share), ``probability``
-    the chance to be kept, ``selected`` whether a hash of the id falls below it, so copies of an id share
-    their fate and a rerun gives the same sample.  Null sources, languages and topics are groups of their
+    the chance to be kept, ``selected`` whether a hash of the id (of the text, without an id) falls below it, so
+    copies of an id share their fate and a rerun gives the same sample.  Null sources, languages and topics are groups of their
     own.  Texts without words hold no tokens and have no say in the fit; those of a cell without any tokens get
     weight and probability 0.  Names that ``docs`` already has get an underscore.  An empty table stays empty.
     """
@@ -293,5 +293,7 @@ def mix(
     # At most max_cells rows are broadcast; more are joined as a table (skewed keys are split by adaptive execution).
     out = out.withColumn(keys[2], _group(F.col(names["topic"]))).join(F.broadcast(fitted) if small else fitted, keys, "left")
     out = out.fillna(0.0, [names["weight"], names["probability"]])
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    # 52 bits of the id's md5 (of the text's, without an id) as a fraction.
+    who = F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.md5(text_col)), F.lit(str(seed)))
+    draw = F.conv(F.substring(F.md5(who), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
     return out.withColumn(names["selected"], draw < F.col(names["probability"])).select(*docs.columns, *names.values())

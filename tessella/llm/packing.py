@@ -87,7 +87,7 @@ def pack(
     ``length``: the tokens of a row, by default the words of its whole text (null and empty texts have 0
     tokens and go to the first bucket).  A batch holds up to max(1, budget // bucket_len) rows of one bucket,
     padded to bucket_len; a document longer than the budget is a batch of its own.  Rows of a bucket are
-    dealt to shards by a hash of id and length (without an id, of the row's place), and numbered within the shard, so
+    dealt to shards by the md5 of id and length (without an id, of the row's place), and numbered within the shard, so
     a window holds about ``shard_rows`` rows, and more only where one id repeats; all batches of a shard but the last
     are full.  Columns of ``docs`` that have
     one of the names used here keep it, and the new column gets an underscore.  Repeated rows are packed
@@ -109,10 +109,12 @@ def pack(
             out = F.when(F.col(names["n_tokens"]) <= end, value).otherwise(out)
         return out.cast("long")
 
+    row = F.coalesce(F.col(id_col).cast("long"), F.monotonically_increasing_id())
+    spread = F.conv(F.substring(F.md5(F.concat_ws("|", row, names["n_tokens"])), 1, 8), 16, 10).cast("long")
     dealt = measured.withColumns({
         names["bucket"]: by_bucket(list(range(len(ends)))).cast("int"),
         names["bucket_len"]: by_bucket(ends),
-        names["shard"]: F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.monotonically_increasing_id()), F.col(names["n_tokens"])), by_bucket(shards)).cast("int"),
+        names["shard"]: (spread % by_bucket(shards)).cast("int"),
     })
     place = fresh(docs, "place")
     size = by_bucket([max(1, budget // max(1, e)) for e in ends])
