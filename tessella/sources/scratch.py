@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _MADE: set[str] = set()
+_OPEN: list[list[str]] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -46,14 +49,40 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def discard(*tables: DataFrame) -> None:
     """Delete tables of :func:`stored` that no later step reads."""
     for df in tables:
-        spark = df.sparkSession
-        for f in {x.rpartition("/")[0] for x in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, df._scratch)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that :func:`stored` writes inside are deleted at the end, but for those given to what this yields."""
+    paths: list[str] = []
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._scratch)
+        return df
+
+    _OPEN.append(paths)
+    try:
+        yield keep
+    finally:
+        _OPEN.remove(paths)
+        for path in paths:
+            if path not in kept:
+                _delete(spark, path)
