@@ -11,9 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import discard, scratch_dir, shared_dir, stored
+from ..sources.scratch import discard, passing, scratch_dir, shared_dir, stored
 
-__all__ = ["discard", "scratch_dir", "shared_dir", "stored"]
+__all__ = ["discard", "passing", "scratch_dir", "shared_dir", "stored"]
 
 #: ASCII white space, the only separators of words (fixed value).
 SPACE = r"[\x20\x09-\x0D]+"
@@ -34,18 +34,22 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-#: Rows of a table of keys that go to every task at most (two longs each, 32 MB); more are joined.
+#: Rows of a table of keys that go to every task at most (two or three longs each, 48 MB); more are joined.
 BROADCAST_ROWS = 2_000_000
 
 
+def few(rows: DataFrame) -> DataFrame:
+    """A written table of narrow rows, with a hint to send it to every task if it has at most BROADCAST_ROWS."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def shared(rows: DataFrame, keys: list[str], name: str = "counts") -> DataFrame:
     """The rows of ``rows`` whose ``keys`` come up again, with their number as ``members``.
 
     Keys are counted with sums before the shuffle, so a common key gathers nowhere.  Those that repeat are written;
-    up to BROADCAST_ROWS of them are sent to the rows, so the rows are not shuffled for it, and more are joined.
+    if they are few they are sent to the rows, so the rows are not shuffled for it, else joined.
     """
-    counts = stored(rows.groupBy(*keys).agg(F.count("*").alias("members")).where("members > 1"), name)
-    return rows.join(F.broadcast(counts) if counts.count() <= BROADCAST_ROWS else counts, keys)
+    return rows.join(few(stored(rows.groupBy(*keys).agg(F.count("*").alias("members")).where("members > 1"), name)), keys)
 
 
 def bucket(id_col: Column, modulus: int) -> Column:

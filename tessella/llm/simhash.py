@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, fresh, gathered, raw, shared, slices, stored
+from .common import few, fresh, gathered, passing, raw, shared, slices, stored
 from .components import components
 
 SHINGLE = 3
@@ -157,16 +157,16 @@ def near_duplicates(
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
     """One document of each group that ``by`` finds stays: that with the smallest id, all columns kept.
 
-    Only ids are joined with the documents: those that go, and those that repeat.  Up to BROADCAST_ROWS of them are
-    sent to all tasks, so no text is shuffled; more are joined.  Rows that repeat the id of the document that stays
+    Only ids are joined with the documents: those that go, and those that repeat.  If they are few
+    (see :func:`common.few`) they are sent to all tasks, so no text is shuffled; else they are joined.  Rows that repeat the id of the document that stays
     are reduced to one of them (by a hash of the text).  Rows without an id cannot be told apart and stay.
     """
-    found = by(docs, id_col, text_col, **options).where(F.col(id_col).isNotNull())
-    each = found.groupBy(F.col(id_col).alias("id")).agg(F.max("component_id").alias("head"), F.count("*").alias("rows"))
-    marked = stored(each.where("head < id or rows > 1"), "marked")
-    few = marked.count() <= BROADCAST_ROWS
+    with passing(docs.sparkSession) as keep:
+        found = by(docs, id_col, text_col, **options).where(F.col(id_col).isNotNull())
+        each = found.groupBy(F.col(id_col).alias("id")).agg(F.max("component_id").alias("head"), F.count("*").alias("rows"))
+        marked = keep(stored(each.where("head < id or rows > 1"), "marked"))
     key = fresh(docs, "marked_id")
-    ids = lambda condition: (lambda t: F.broadcast(t) if few else t)(marked.where(condition).select(F.col("id").alias(key)))
+    ids = lambda condition: few(marked.where(condition).select(F.col("id").alias(key)))
     match = F.col(id_col).cast("long") == F.col(key)
     once = docs.join(ids("true"), match, "left_anti")
     again = docs.join(ids("head = id"), match, "left_semi")
