@@ -95,12 +95,12 @@ def test_targets_that_cannot_be_met(spark, most):
     """Only x is in source a and only y in b: given margins that conflict are an error, tempered ones are softened."""
     cells = cells_of(spark, [("a", "x", "p", 90), ("b", "y", "p", 10)])
     with pytest.raises(ValueError, match="cannot be met together.*source=b"):
-        mixing.fit(cells, {"source": {"a": 0.2, "b": 0.8}, "lang": {"x": 0.5, "y": 0.5}}, rounds=12, max_cells=most)
+        mixing.fit(cells, {"source": {"a": 0.2, "b": 0.8}, "lang": {"x": 0.5, "y": 0.5}}, rounds=4, max_cells=most)
     with pytest.raises(ValueError, match="without tokens: z"):
         mixing.fit(cells, {"lang": {"z": 1.0}}, max_cells=most)
     with pytest.raises(ValueError, match="above 0"):
         mixing.fit(cells, {"lang": {"x": 0.0}}, max_cells=most)
-    soft = mixing.fit(cells, temper={"source": 0.2, "lang": 1.0, "topic": 1.0}, rounds=12, max_cells=most)
+    soft = mixing.fit(cells, temper={"source": 0.2, "lang": 1.0, "topic": 1.0}, rounds=4, max_cells=most)
     assert soft.strength == 0 and max(soft.margins.values()) <= mixing.MET
     assert all(r.weight == pytest.approx(1) and r.probability == pytest.approx(mixing.FRACTION) for r in soft.cells.collect())
 

@@ -98,3 +98,26 @@ def test_bands_reject_base64_and_hex_at_every_length(spark, sf):
     assert sum(len(t.split()) >= quality.MIN_WORDS for t in noise) > 60
     whole = spark.createDataFrame([(1, prose)], "doc_id long, text string")
     assert quality.judge(whole).first().reason not in ("incompressible", "chunks")
+
+
+def brute_verdict(text):
+    """Base rules, then the ratio of the whole text and of each piece of 4,096 bytes against the limits for its length."""
+    data = (text or "").encode()
+    if brute(text)[-1]:
+        return False
+    ratio = lambda b: len(b) / len(zstandard.ZstdCompressor(level=3).compress(b))
+
+    def inside(bands, b):
+        low, high = [(x.low, x.high) for x in bands if x.from_bytes <= len(b)][-1]
+        return low <= ratio(b) <= high
+
+    pieces = [data[i : i + 4096] for i in range(0, len(data), 4096)]
+    bad = sum(len(p) for p in pieces if not inside(quality.CHUNK_BANDS, p))
+    return inside(quality.DOCUMENT_BANDS, data) and 4 * bad <= len(data)
+
+
+def test_verdict_equals_brute_force(spark, odd_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for table in (docs, odd_docs):
+        want = sorted((str(r.doc_id), brute_verdict(r.text)) for r in table.collect())
+        assert sorted((str(r.doc_id), r.kept) for r in quality.judge(table).collect()) == want
