@@ -30,7 +30,7 @@ def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", ["normalize_text", "tfidf_weights", "adaptive_prune", "resolve_one_to_one", "grid_search", "profile_truth", "validate_output"])
+@pytest.mark.parametrize("name", ["normalize_text", "tfidf_weights", "adaptive_prune", "resolve_one_to_one", "grid_search", "profile_truth", "validate_output", "country_thresholds", "training_set", "assembled_files", "transliterate_names", "prune_sweep"])
 def test_same_as_sql(spark, sf, name):
     con = duckdb.connect()
     for t in TABLES:
