@@ -6,7 +6,6 @@ The models learn from URLs that a rule accepts or rejects, and from labels if th
 from __future__ import annotations
 
 import math
-import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,10 +46,10 @@ def rule_for(host: Column, path: Column, rules=RULES) -> Column:
     return F.lit(None).cast("struct<rule:string,verdict:string>") if out is None else out
 
 
-def without_rule_host(host: Column, rules=RULES) -> Column:
-    """A host without the longest rule's host that it is or ends with."""
-    own = sorted({rule.partition("/")[0] for _, rule in rules}, key=lambda h: (-len(h), h))
-    return F.regexp_replace(host, rf"(?:^|\.)(?:{'|'.join(re.escape(h) for h in own)})$", "") if own else host
+def without_domain(host: Column, rules=RULES) -> Column:
+    """A host without as many last labels as the longest rule's host has."""
+    most = max((len(rule.partition("/")[0].split(".")) for _, rule in rules), default=0)
+    return F.regexp_replace(host, rf"(?:(?:^|\.)[^.]*){{1,{most}}}$", "") if most else host
 
 
 def _codes(text: Column) -> Column:
@@ -144,8 +143,8 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     """(id, host, path, rule, verdict, llr) for every row.
 
     Training: URLs that a rule allows are accepted and URLs that a rule blocks are rejected; ``labels`` (url,
-    accepted) adds URLs of known worth.  The models see hosts without the rules' hosts: those the rules decide
-    by already, and they would pass or block all other URLs by them alone.  A fifth of the distinct URLs, by a hash of the URL, is kept out of the
+    accepted) adds URLs of known worth.  The models see hosts without their last labels, as many as rules
+    speak about: by these the rules decide already, and all other URLs would pass or go by them alone.  A fifth of the distinct URLs, by a hash of the URL, is kept out of the
     counts and sets the threshold, so no URL is on both sides.  Without accepted or without rejected URLs nothing
     is blocked but by rules.  Null urls and urls without '://' have empty host and path, no rule, no ``llr``, and are
     allowed (there is nothing to object to).  Repeated rows each get their row, rows without id too; an empty table
@@ -153,7 +152,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     """
     def parsed(df: DataFrame, url: str, *keep: Column) -> DataFrame:
         host, path = host_path(F.col(url))
-        return df.select(*keep, host.alias("host"), path.alias("path")).withColumn("text", F.concat(without_rule_host(F.col("host"), rules), "path"))
+        return df.select(*keep, host.alias("host"), path.alias("path")).withColumn("text", F.concat(without_domain(F.col("host"), rules), "path"))
 
     rows = parsed(pages, url_col, F.col(id_col).cast("long").alias("id")).withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
     known = rows.where("found is not null and text <> ''").select("text", (F.col("found.verdict") == "allow").alias("accepted"))

@@ -63,12 +63,8 @@ def test_models_equal_brute_force(spark):
 
 
 def seen(host, path):
-    """What the models see: the host without the longest rule's host that it is or ends with, and the path."""
-    for own in sorted({r.split("/")[0] for _, r in urls.RULES}, key=len, reverse=True):
-        if host == own or host.endswith("." + own):
-            host = host[: -len(own)].removesuffix(".")
-            break
-    return host + path
+    """What the models see: the host without its last two labels (rules speak about two at most), and the path."""
+    return ".".join(host.split(".")[:-2]) + path
 
 
 def kept_out(spark, texts):
@@ -111,7 +107,9 @@ def test_labels_teach_the_models(spark, sf):
 
 
 def test_held_out_rule_urls_are_told_apart(spark):
-    _, held, limit = check(spark, spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    # Some 200 URLs; the smaller tables keep a dozen of each kind out.
+    _, held, limit = check(spark, spark.read.parquet("/root/testdata/sf0.1/pages.parquet"))
+    assert len(held) > 150
     yes, no = [x >= limit for x, y in held if y], [x < limit for x, y in held if not y]
     assert yes and no and sum(yes) / len(yes) > 0.9 and sum(no) / len(no) > 0.9
 
