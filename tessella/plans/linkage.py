@@ -29,6 +29,7 @@ def document_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("country"), longest.alias("w")).select(
         "doc_id", "country", F.array_join(F.slice("w", 1, NAME_WORDS), " ").alias("business_name"), F.array_join(F.slice("w", NAME_WORDS + 1, ADDRESS_WORDS), " ").alias("business_address")
     )
+    rows = stored(rows, "records")  # all readers of the view start from the short records, not from the texts
     first = rows.groupBy("country", "business_name").agg(F.min("doc_id").alias("head"))
     source = F.when(F.col("doc_id") == F.col("head"), "S1-").when(F.col("doc_id") % 2 == 0, "S2-").otherwise("S3-")
     joined = rows.join(first, ["country", "business_name"])
