@@ -67,9 +67,14 @@ def block_sizes(viewed: DataFrame) -> DataFrame:
     return viewed.groupBy("country").agg(F.count("*").alias("n_records"))
 
 
+def raw_weights(counts: DataFrame, idf: DataFrame) -> DataFrame:
+    """(country, entity_id, fid, w): tf * idf; dropped features do not count."""
+    return counts.join(idf.select("country", "fid", "idf"), ["country", "fid"]).select("country", "entity_id", "fid", (F.col("tf") * F.col("idf")).alias("w"))
+
+
 def weigh(counts: DataFrame, idf: DataFrame) -> DataFrame:
     """(country, entity_id, fid, w): tf * idf over the record's norm; dropped features do not count."""
-    raw = counts.join(idf.select("country", "fid", "idf"), ["country", "fid"]).withColumn("w", F.col("tf") * F.col("idf"))
+    raw = raw_weights(counts, idf)
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("country", "entity_id")))
     return raw.select("country", "entity_id", "fid", (F.col("w") / F.when(norm > 0, norm).otherwise(1.0)).alias("w"))
 

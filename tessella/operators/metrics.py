@@ -114,7 +114,7 @@ def grid_scores(entities: DataFrame, scored: DataFrame, truth: DataFrame, grid=G
     n_true = t.groupBy("s1_id").agg(F.count("*").alias("n_true"))
     flagged = scored.join(t, ["s1_id", "cand_id"], "left")
     item = F.struct((-F.col("prob")).alias("neg"), "cand_id", F.coalesce("t", F.lit(0)).alias("t"))
-    lists = flagged.groupBy("s1_id").agg(F.slice(F.array_sort(F.collect_list(item)), 1, cap).alias("items"))
+    lists = flagged.groupBy("s1_id").agg(F.slice(F.sort_array(F.collect_list(item)), 1, cap).alias("items"))
     every = entities.select("s1_id", *by).distinct().join(lists, "s1_id", "left").join(n_true, "s1_id", "left").withColumn("items", F.coalesce("items", F.array().cast(lists.schema["items"].dataType))).withColumn("n_true", F.coalesce("n_true", F.lit(0)))
     rules = F.array(*(F.struct(F.lit(i).alias("rule"), F.lit(a).alias("single"), F.lit(b).alias("match"), F.lit(c).alias("share")) for i, (a, b, c) in enumerate(product(*grid))))
     each = every.select("*", F.explode(rules).alias("r"))

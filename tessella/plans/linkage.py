@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +13,31 @@ from ..operators import blocking, model, pairs, retrieve, select
 from ..sources import sinks
 from ..sources.scratch import discard, stored
 
-SPACE = r"[\x20\x09-\x0D]+"
+#: Texts that are Python objects at once.
+SLICE = 256
 #: Words of a record's name, and of its address.
 NAME_WORDS, ADDRESS_WORDS = 4, 8
 
 
+def longest_words(text: bytes | None, n: int = NAME_WORDS + ADDRESS_WORDS) -> list[str]:
+    """The n longest distinct words of UTF-8 text, ties in order of the alphabet; words end at ASCII white space."""
+    words = b" ".join(set((text or b"").split())).decode().split(" ") if text else []
+    sizes = sorted(map(len, words), reverse=True)
+    least = sizes[n - 1] if len(sizes) > n else 1
+    return sorted((w for w in words if len(w) >= least), key=lambda w: (-len(w), w))[:n]
+
+
+def _short_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names, addresses = [], []
+        for at in range(0, batch.num_rows, SLICE):
+            for text in batch.column(2).slice(at, SLICE).cast(pa.binary()).to_pylist():
+                w = longest_words(text)
+                names.append(" ".join(w[:NAME_WORDS]))
+                addresses.append(" ".join(w[NAME_WORDS:]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(addresses, pa.string())], names=["doc_id", "country", "business_name", "business_address"])
+
+
 def document_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as noisy records: name = the 4 longest words of the whole text, address = the next 8, country = lang.
 
@@ -22,13 +45,9 @@ def document_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     record wherever they differ.  The first record of each (country, name) is of source 1, the others of source 2
     (even doc_id) or 3.
     """
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
-    parts = F.array_distinct(F.filter(F.split(F.coalesce("text", F.lit("")), SPACE), lambda w: w != ""))
-    ranked = F.array_sort(F.transform(parts, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
-    longest = F.transform(F.slice(ranked, 1, NAME_WORDS + ADDRESS_WORDS), lambda x: x["w"])
-    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("country"), longest.alias("w")).select(
-        "doc_id", "country", F.array_join(F.slice("w", 1, NAME_WORDS), " ").alias("business_name"), F.array_join(F.slice("w", NAME_WORDS + 1, ADDRESS_WORDS), " ").alias("business_address")
-    )
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("lang", F.lit("")).alias("country"), "text")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, country string, business_name string, business_address string"
+    rows = docs.mapInArrow(_short_records, schema)
     rows = stored(rows, "records")  # all readers of the view start from the short records, not from the texts
     first = rows.groupBy("country", "business_name").agg(F.min("doc_id").alias("head"))
     source = F.when(F.col("doc_id") == F.col("head"), "S1-").when(F.col("doc_id") % 2 == 0, "S2-").otherwise("S3-")
