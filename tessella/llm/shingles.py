@@ -1,4 +1,4 @@
-"""Near-duplicates by the exact Jaccard similarity of word shingles, candidates by MinHash bands."""
+"""Near-duplicates by the exact Jaccard similarity of word shingles, candidates by SimHash fingerprints and MinHash bands."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import few, gathered, raw, shared, slices, stored
 from .components import components
+from .simhash import MAX_BITS, block_masks
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -53,6 +54,17 @@ def band_keys(found: np.ndarray, a: np.ndarray, b: np.ndarray, rows: int = ROWS)
     return np.array(keys, np.uint64).view(np.int64)
 
 
+def simhash(found: np.ndarray) -> int:
+    """64-bit SimHash of a set of shingles."""
+    ones = np.unpackbits(found.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits((2 * ones > len(found)).astype(np.uint8), bitorder="little").view(np.uint64)[0])
+
+
+def block_keys(fp: int, masks: np.ndarray) -> np.ndarray:
+    """One signed long for each choice of blocks of a fingerprint."""
+    return np.array([xxhash.xxh64_intdigest(x.tobytes(), k) for k, x in enumerate(np.uint64(fp) & masks)], np.uint64).view(np.int64)
+
+
 def set_name(found: np.ndarray) -> int:
     """A signed long that names a set of shingles."""
     name = xxhash.xxh64_intdigest(found.tobytes())
@@ -60,16 +72,18 @@ def set_name(found: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, rows: int, bands: int) -> DataFrame:
-    """(id, fp, n, keys) for every row: name and size of its set of shingles, band keys.  No shuffle."""
+    """(id, fp, n, keys) for every row: name and size of its set of shingles, band keys (odd), SimHash block keys (even).  No shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _factors(rows * bands)
+        masks = np.array(block_masks(), np.int64).view(np.uint64)
+        each = bands + len(masks)
 
         def out() -> Iterator[pa.RecordBatch]:
             for part in slices(batches):
                 sets = [shingle_set(x, width) for x in raw(part.column(1))]
-                keys = np.concatenate([band_keys(x, a, b, rows) for x in sets])
-                offsets = pa.array(np.arange(0, len(keys) + 1, bands, dtype=np.int32))
+                keys = np.concatenate([y for x in sets for y in (band_keys(x, a, b, rows) | 1, block_keys(simhash(x), masks) & ~1)])
+                offsets = pa.array(np.arange(0, len(keys) + 1, each, dtype=np.int32))
                 columns = [part.column(0), pa.array(map(set_name, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(keys))]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "fp", "n", "keys"])
 
@@ -79,9 +93,11 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, rows: in
     return narrow.mapInArrow(run, "id long, fp long, n long, keys array<long>")
 
 
-def similar_links(names: list[int], sets: list[np.ndarray], similarity: float = SIMILARITY) -> tuple[list[int], list[int]]:
+def similar_links(names: list[int], sets: list[np.ndarray], similarity: float = SIMILARITY, max_bits: int | None = None) -> tuple[list[int], list[int]]:
     """Links that connect what has a Jaccard similarity of ``similarity`` or more, as few as a spanning forest has.
 
+    With ``max_bits`` only what has SimHash fingerprints within so many bits is compared.
+
     Breadth-first search, each step comparing one set with all not yet reached: no pair is left out, and a
     dense group is used up in a few steps.
     """
@@ -90,6 +106,7 @@ def similar_links(names: list[int], sets: list[np.ndarray], similarity: float =
     kinds, flat = np.unique(np.concatenate(sets), return_inverse=True)
     mark = np.zeros(len(kinds), bool)
     rest = np.ones(len(sets), bool)
+    prints = np.array([simhash(x) for x in sets], np.uint64) if max_bits is not None else None
     a: list[int] = []
     b: list[int] = []
     for first in range(len(sets)):
@@ -99,11 +116,14 @@ def similar_links(names: list[int], sets: list[np.ndarray], similarity: float =
         queue = [first]
         while queue and rest.any():
             x = queue.pop()
+            close = rest if prints is None else rest & (np.bitwise_count(prints ^ prints[x]) <= max_bits)
+            if not close.any():
+                continue
             own = flat[starts[x] : starts[x] + size[x]]
             mark[own] = True
             both = np.add.reduceat(mark[flat], starts, dtype=np.int64)
             mark[own] = False
-            near = np.flatnonzero(rest & (both >= similarity * (size + size[x] - both) - 1e-9))
+            near = np.flatnonzero(close & (both >= similarity * (size + size[x] - both) - 1e-9))
             a += [names[x]] * len(near)
             b += [names[y] for y in near]
             rest[near] = False
@@ -112,16 +132,17 @@ def similar_links(names: list[int], sets: list[np.ndarray], similarity: float =
 
 
 def links(table: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float, part_bytes: int = PART_BYTES) -> DataFrame:
-    """(a, b): links between distinct sets whose components are those of all similar pairs that share a band.
+    """(a, b): links between distinct sets whose components are those of all similar pairs that share a key.
 
-    Band keys with the same members are compared once.  A key with more than ``part_bytes`` of shingles is
+    Members of a band key are compared all with all, those of a SimHash block key where their fingerprints are within
+    MAX_BITS bits.  Keys with the same members are compared once, by the band key if there is one.  A key with more than ``part_bytes`` of shingles is
     split into parts that meet pairwise, so no task holds more than two parts and no pair is left out.
     """
     heads = stored(table.groupBy("fp").agg(F.min_by(F.struct("id", "n", "keys"), "id").alias("h")).select("fp", "h.*"), "heads")
     keyed = heads.select("fp", "id", "n", F.explode("keys").alias("key"))
     again = stored(shared(keyed, ["key"]), "shared")
     groups = again.groupBy("key").agg(F.first("members").alias("members"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.min("fp").alias("least"), F.sum("n").alias("n"))
-    once = groups.groupBy("members", "x", "least").agg(F.min("key").alias("key"), F.first("n").alias("all"))
+    once = groups.groupBy("members", "x", "least").agg(F.max(F.struct(F.col("key").bitwiseAND(1).alias("band"), "key"))["key"].alias("key"), F.first("n").alias("all"))
     parts = F.ceil(8 * F.col("all") / part_bytes).cast("int")
     met = stored(again.join(once.select("key", parts.alias("parts")), "key").select("key", "fp", "id", "parts"), "met")
     dealt = met.withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
@@ -140,7 +161,7 @@ def links(table: DataFrame, docs: DataFrame, id_col: str, text_col: str, width:
         at, held = None, {}
 
         def found() -> pa.RecordBatch:
-            a, b = similar_links(list(held), list(held.values()), similarity) if len(held) > 1 else ([], [])
+            a, b = similar_links(list(held), list(held.values()), similarity, None if at[0] & 1 else MAX_BITS) if len(held) > 1 else ([], [])
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
@@ -171,8 +192,8 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, component_id) for every row of ``docs`` with an id.
 
-    Texts with the same set of shingles meet as one before any comparison.  Candidates share a band of
-    MinHash values; only pairs whose exact similarity is ``similarity`` or more are linked.
+    Texts with the same set of shingles meet as one before any comparison.  Candidates are those of SimHash (a choice of
+    3 of 6 blocks in common, fingerprints within 3 bits) and those that share a band of MinHash values; only pairs whose exact similarity is ``similarity`` or more are linked.
     """
     docs = docs.where(F.col(id_col).isNotNull())
     table = stored(signatures(docs, id_col, text_col, width, rows, bands), "signatures")

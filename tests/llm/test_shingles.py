@@ -84,3 +84,22 @@ def test_links_span_and_are_similar():
     x = np.arange(100, dtype=np.uint64)
     a, b = shingles.similar_links([1, 2, 3, 4], [x, x[10:], x[20:], x[50:]])
     assert sorted(zip(a, b, strict=True)) in ([(1, 2), (1, 3)], [(1, 2), (2, 3)])
+
+
+def test_simhash_alone_finds_copies_within_its_bits(spark):
+    """Without a band, what SimHash blocks bring together and the exact similarity confirms."""
+    words = [f"w{i}" for i in range(2000)]
+    texts = [" ".join(words), " ".join([*words[:-1], "x"]), " ".join(words[1000:] + [f"v{i}" for i in range(1000)]), None]
+    prints = [shingles.simhash(shingles.shingle_set((x or "").encode())) for x in texts]
+    assert (prints[0] ^ prints[1]).bit_count() <= 3 < (prints[0] ^ prints[2]).bit_count()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = shingles.near_duplicates(docs, bands=0).collect()
+    assert {r.doc_id: r.component_id for r in found} == {0: 0, 1: 0, 2: 2, 3: 3}
+
+
+def test_fingerprints_limit_what_is_compared():
+    x = np.arange(100, dtype=np.uint64)  # small numbers: all high bits agree
+    assert shingles.similar_links([1, 2], [x, x[10:]], max_bits=64) == ([1], [2])
+    far = (x[10:] ^ np.uint64(0)).copy()
+    bits = (shingles.simhash(x) ^ shingles.simhash(far)).bit_count()
+    assert shingles.similar_links([1, 2], [x, far], max_bits=bits - 1) == ([], [])
