@@ -48,8 +48,12 @@ def bag(name_tokens: Column, address_tokens: Column) -> Column:
 
 
 def term_counts(viewed: DataFrame, cfg: Config) -> DataFrame:
-    """(country, entity_id, fid, tf): each feature of a record once; hashed features that collide are added."""
-    features = viewed.select("country", "entity_id", F.explode(bag(F.col("name_tokens"), F.col("address_tokens"))).alias("feature"))
+    """(country, entity_id, fid, tf): each feature of a record once; hashed features that collide are added.
+
+    Records are dealt before their features become rows, so that counting moves records and not features.
+    """
+    dealt = viewed.select("country", "entity_id", "name_tokens", "address_tokens").repartition("country", "entity_id")
+    features = dealt.select("country", "entity_id", F.explode(bag(F.col("name_tokens"), F.col("address_tokens"))).alias("feature"))
     fid = (F.crc32(F.col("feature").cast("binary")) % cfg.buckets).cast("int") if cfg.hashed else F.col("feature")
     return features.groupBy("country", "entity_id", fid.alias("fid")).agg(F.count("*").alias("tf"))
 

@@ -66,8 +66,9 @@ def split_view(view: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def candidates(queries: DataFrame, records: DataFrame, cfg: Config, pruned: bool = True) -> DataFrame:
     """(s1_id, country, cand_id, score, rank) from viewed queries and records."""
-    weights, idf = blocking.build_index(records, cfg)
-    found = retrieve.top_k(queries, weights, idf, cfg)
+    counts = blocking.term_counts(records, cfg)
+    idf = stored(blocking.frequencies(counts, blocking.block_sizes(records), cfg), "idf")  # both sides' weights read it
+    found = retrieve.top_k(queries, blocking.weigh(counts, idf), idf, cfg)
     return retrieve.prune(found, cfg.prune) if pruned else found
 
 

@@ -31,19 +31,16 @@ DEEP = replace(CFG, k=max(metrics.KS))
 class View:
     """The linkage view of one data folder, with normalised queries and records.
 
-    Most plans read the normalised records several times, so they are persisted (memory, then disk) until the next
-    view is made.
+    Most plans read the normalised records several times, and scored candidates are both claims and their measure:
+    both are written once.
     """
 
-    held: DataFrame | None = None
-
     def __init__(self, spark: SparkSession, sf_dir: str):
-        if View.held is not None and View.held.sparkSession is spark:
-            View.held.unpersist()
         self.all = linkage.document_view(spark, sf_dir)
         self.one, self.rest, self.truth = linkage.split_view(self.all)
-        self.viewed = View.held = blocking.views(self.all).persist()
+        self.viewed = stored(blocking.views(self.all), "views")
         self.q, self.r = (self.viewed.where(c) for c in ("entity_id like 'S1-%'", "entity_id not like 'S1-%'"))
+        self._scored: DataFrame | None = None
 
     @property
     def entities(self) -> DataFrame:
@@ -53,7 +50,9 @@ class View:
         return linkage.candidates(self.q, self.r, cfg, pruned=False)
 
     def scored(self) -> DataFrame:
-        return linkage.score_as_probability(retrieve.prune(self.found()))
+        if self._scored is None:
+            self._scored = stored(linkage.score_as_probability(retrieve.prune(self.found())), "scored")
+        return self._scored
 
     def chosen(self) -> DataFrame:
         return select.select_matches(self.scored(), RULE)

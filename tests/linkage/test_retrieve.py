@@ -2,7 +2,7 @@ import random
 
 from tessella.config import Config
 from tessella.operators import blocking, retrieve
-from tessella.plans import linkage
+from tessella.plans import linkage, queries
 
 
 def records(spark, n, prefix, seed, common="alpha"):
@@ -56,3 +56,22 @@ def test_products_of_a_common_feature_are_not_shuffled(spark):
 def test_longest_words():
     assert linkage.longest_words(None) == linkage.longest_words(b" \n") == []
     assert linkage.longest_words("bb a\x0bccc  ccc é ée aa".encode(), 3) == ["é ée", "ccc", "aa"]
+
+
+def test_counting_features_moves_records(spark):
+    cfg = Config(hashed=False)
+    r = records(spark, 1000, "S1-", 1).persist()
+    assert r.count() == 1000
+    before = written(spark)
+    counts = blocking.term_counts(r.unionByName(r), cfg)  # features of a record given twice are added
+    assert counts.where("tf % 2 = 0").count() == counts.count() > 5000
+    assert written(spark) - before < 5000  # two counts of 2,000 records
+    r.unpersist()
+
+
+def test_a_view_scores_once(spark, sf):
+    v = queries.View(spark, sf)
+    scored = v.scored()
+    before = written(spark)
+    assert v.scored() is scored and scored.count() > 0
+    assert written(spark) - before < 50  # counts of tasks
