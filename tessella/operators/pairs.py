@@ -70,11 +70,18 @@ def soft_jaccard_of(a: Column, b: Column) -> Column:
 
 
 def soft_jaccard(pairs: DataFrame, idf: DataFrame, total: DataFrame) -> DataFrame:
-    """(s1_id, cand_id, name_idf_soft_jaccard) of pairs with core names core_1 and core_2."""
-    weights = token_weights(pairs.select("core_1").union(pairs.select("core_2")), idf, total, "core_1")
-    side = lambda n: weights.select(F.col("core").alias(f"core_{n}"), F.col("weights").alias(f"weights_{n}"))
-    both = pairs.select("s1_id", "cand_id", "core_1", "core_2").join(side(1), "core_1").join(side(2), "core_2")
-    return both.select("s1_id", "cand_id", soft_jaccard_of(F.col("weights_1"), F.col("weights_2")).alias("name_idf_soft_jaccard"))
+    """(s1_id, cand_id, name_idf_soft_jaccard) of pairs with core names core_1 and core_2, or with their weights (:func:`weighted`)."""
+    if "weights_1" not in pairs.columns:
+        weights = token_weights(pairs.select("core_1").union(pairs.select("core_2")), idf, total, "core_1")
+        side = lambda n: weights.select(F.col("core").alias(f"core_{n}"), F.col("weights").alias(f"weights_{n}"))
+        pairs = pairs.select("s1_id", "cand_id", "core_1", "core_2").join(side(1), "core_1").join(side(2), "core_2")
+    return pairs.select("s1_id", "cand_id", soft_jaccard_of(F.col("weights_1"), F.col("weights_2")).alias("name_idf_soft_jaccard"))
+
+
+def weighted(queries: DataFrame, records: DataFrame, idf: DataFrame, total: DataFrame) -> list[DataFrame]:
+    """Views of both sides with the token weights of their core names, joined once for each record and not for each pair."""
+    weights = token_weights(queries.select("name_core").union(records.select("name_core")), idf, total).withColumnRenamed("core", "name_core")
+    return [df.join(weights, "name_core") for df in (queries, records)]
 
 
 def attach(candidates: DataFrame, queries: DataFrame, records: DataFrame) -> DataFrame:
@@ -141,8 +148,7 @@ def features(candidates: DataFrame, queries: DataFrame, records: DataFrame, idf:
     Both sides' views, with the token weights of their names, are joined to the candidates once; everything else is
     columns of that row, so pairs are not joined with each other.
     """
-    weights = token_weights(queries.select("name_core").union(records.select("name_core")), idf, total).withColumnRenamed("core", "name_core")
-    sides = [df.join(weights, "name_core") for df in (queries, records)]
+    sides = weighted(queries, records, idf, total)
     keep = ["s1_id", "cand_id", *(["country"] if "country" in candidates.columns else [])]
     given = {"ret_score": "score", "ret_rank": "rank", "ret_score_over_best": "score_over_best", "ret_gap_best": "gap_best", "ret_gap_next": "gap_next"}
     columns = {n: F.col(c) for n, c in given.items()} | set_columns() | {"name_idf_soft_jaccard": soft_jaccard_of(F.col("weights_1"), F.col("weights_2"))}

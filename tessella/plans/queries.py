@@ -118,7 +118,7 @@ def set_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def soft_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = View(spark, sf_dir)
     idf, total = pairs.name_idf(v.viewed)
-    found = pairs.attach(retrieve.prune(v.found()).select("s1_id", "cand_id"), v.q, v.r)
+    found = pairs.attach(retrieve.prune(v.found()).select("s1_id", "cand_id"), *pairs.weighted(v.q, v.r, idf, total))
     return _round(pairs.soft_jaccard(found, idf, total), "name_idf_soft_jaccard")
 
 

@@ -2,6 +2,7 @@ import random
 
 from tessella.config import Config
 from tessella.operators import blocking, retrieve
+from tessella.operators import pairs as pair_ops
 from tessella.plans import linkage, queries
 
 
@@ -75,3 +76,15 @@ def test_a_view_scores_once(spark, sf):
     before = written(spark)
     assert v.scored() is scored and scored.count() > 0
     assert written(spark) - before < 50  # counts of tasks
+
+
+def test_soft_jaccard_joins_weights_once_for_each_record(spark):
+    q, r = records(spark, 60, "S1-", 1), records(spark, 90, "S2-", 2)
+    idf, total = pair_ops.name_idf(q.unionByName(r))
+    ids = q.select("country", q.entity_id.alias("s1_id")).join(r.select("country", r.entity_id.alias("cand_id")), "country").select("s1_id", "cand_id").persist()
+    want = {(x.s1_id, x.cand_id): x.name_idf_soft_jaccard for x in pair_ops.soft_jaccard(pair_ops.attach(ids, q, r), idf, total).collect()}
+    before = written(spark)
+    got = pair_ops.soft_jaccard(pair_ops.attach(ids, *pair_ops.weighted(q, r, idf, total)), idf, total).collect()
+    assert written(spark) - before < 3 * len(want)  # pairs go to each side's views, not to their names' weights
+    assert len(got) == len(want) == 2700 and all(abs(x.name_idf_soft_jaccard - want[x.s1_id, x.cand_id]) < 1e-12 for x in got)
+    ids.unpersist()
