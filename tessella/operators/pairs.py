@@ -85,7 +85,11 @@ def weighted(queries: DataFrame, records: DataFrame, idf: DataFrame, total: Data
 
 
 def attach(candidates: DataFrame, queries: DataFrame, records: DataFrame) -> DataFrame:
-    """Candidates with the views of both sides under the suffixes _1 and _2 (late lookup: ids first, texts after top-k)."""
+    """Candidates with the views of both sides under the suffixes _1 and _2 (late lookup: ids first, texts after top-k).
+
+    Records come first: each is in many more pairs than a query is, and a join leaves the rows of one record side by
+    side, so the shuffle that brings them to the queries compresses the repeated text.
+    """
 
     def side(df: DataFrame, key: str, n: int) -> DataFrame:
         return df.select(
@@ -94,7 +98,7 @@ def attach(candidates: DataFrame, queries: DataFrame, records: DataFrame) -> Dat
             *([F.col("weights").alias(f"weights_{n}")] if "weights" in df.columns else []),
         )
 
-    return candidates.join(side(queries, "s1_id", 1), "s1_id").join(side(records, "cand_id", 2), "cand_id")
+    return candidates.join(side(records, "cand_id", 2), "cand_id").join(side(queries, "s1_id", 1), "s1_id")
 
 
 def set_columns() -> dict[str, Column]:
