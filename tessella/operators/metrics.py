@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
 from itertools import product
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,17 +53,23 @@ def recall_curve(candidates: DataFrame, truth: DataFrame, ks: tuple[int, ...] =
     return sums.select("truths", rows.alias("x")).select("x.k", "x.hits", "truths", (F.col("x.hits") / F.col("truths")).alias("recall"))
 
 
-def prune_sweep(candidates: DataFrame, truth: DataFrame, n_queries: int, settings: list[Prune]) -> DataFrame:
-    """(setting, kept, hits, recall, mean_candidates) of several pruning rules in one pass (settings are few)."""
+def prune_sweep(candidates: DataFrame, truth: DataFrame, n_queries: int, settings: Sequence[Prune], depths: Sequence[int] = ()) -> DataFrame:
+    """(setting, kept, hits, recall, mean_candidates[, k]) of several pruning rules in one pass (settings are few).
+
+    With ``depths`` each rule is applied to the first k candidates for each k of them.  Only candidates that a rule keeps meet the truth.
+    """
     best = F.max("score").over(Window.partitionBy("s1_id"))
     t = truth.select("s1_id", "cand_id").withColumn("true", F.lit(1))
-    base = candidates.drop("rank").withColumns({"best": best, "rank": F.row_number().over(best_first())}).join(t, ["s1_id", "cand_id"], "left")
-    kept = [keep_adaptively(F.col("score"), F.col("rank"), F.col("best"), p) for p in settings]
+    each = [(i, k) for k in depths or (None,) for i in range(len(settings))]
+    rule = [keep_adaptively(F.col("score"), F.col("rank"), F.col("best"), p) for p in settings]
+    kept = [rule[i] if k is None else rule[i] & (F.col("rank") <= k) for i, k in each]
+    ranked = candidates.drop("rank").withColumns({"best": best, "rank": F.row_number().over(best_first())})
+    base = ranked.where(reduce(or_, rule)).join(t, ["s1_id", "cand_id"], "left")
     sums = base.agg(*(F.count(F.when(c, 1)).alias(f"n{i}") for i, c in enumerate(kept)), *(F.count(F.when(c & F.col("true").isNotNull(), 1)).alias(f"h{i}") for i, c in enumerate(kept)))
     truths = truth.agg(F.count("*").alias("truths"))
-    rows = F.explode(F.array(*(F.struct(F.lit(i).alias("setting"), F.col(f"n{i}").alias("kept"), F.col(f"h{i}").alias("hits")) for i in range(len(settings)))))
+    rows = F.explode(F.array(*(F.struct(F.lit(s).alias("setting"), F.col(f"n{i}").alias("kept"), F.col(f"h{i}").alias("hits"), F.lit(k).alias("k")) for i, (s, k) in enumerate(each))))
     out = sums.join(truths).select("truths", rows.alias("x"))  # one row each
-    return out.select("x.setting", "x.kept", "x.hits", (F.col("x.hits") / F.col("truths")).alias("recall"), (F.col("x.kept") / n_queries).alias("mean_candidates"))
+    return out.select("x.setting", "x.kept", "x.hits", (F.col("x.hits") / F.col("truths")).alias("recall"), (F.col("x.kept") / n_queries).alias("mean_candidates"), *(["x.k"] if depths else []))
 
 
 def score_percentiles(scored: DataFrame, by: str = "kind", digits: int = 4) -> DataFrame:

@@ -150,10 +150,10 @@ def features(candidates: DataFrame, queries: DataFrame, records: DataFrame, idf:
     """All 42 features (float) of pruned candidates with :func:`retrieve.context`; one row for each pair.
 
     Both sides' views, with the token weights of their names, are joined to the candidates once; everything else is
-    columns of that row, so pairs are not joined with each other.
+    columns of that row, so pairs are not joined with each other.  A country or label of the candidates stays.
     """
     sides = weighted(queries, records, idf, total)
-    keep = ["s1_id", "cand_id", *(["country"] if "country" in candidates.columns else [])]
+    keep = ["s1_id", "cand_id", *(c for c in ("country", "label") if c in candidates.columns)]
     given = {"ret_score": "score", "ret_rank": "rank", "ret_score_over_best": "score_over_best", "ret_gap_best": "gap_best", "ret_gap_next": "gap_next"}
     columns = {n: F.col(c) for n, c in given.items()} | set_columns() | {"name_idf_soft_jaccard": soft_jaccard_of(F.col("weights_1"), F.col("weights_2"))}
     wide = attach(candidates, *sides).select(*keep, *(c.alias(n) for n, c in columns.items()), string_columns().alias("s"))

@@ -36,6 +36,23 @@ def of_unit_length(rows: DataFrame) -> DataFrame:
     return rows.withColumn("norm", norm).withColumn("ws", F.transform("ws", lambda w: w / F.when(F.col("norm") > 0, F.col("norm")).otherwise(1.0))).drop("norm")
 
 
+def may_be_kept(scores: np.ndarray, rules: tuple[Prune, ...]) -> np.ndarray:
+    """Which of a part's scores, best first, one of the rules can still keep when all parts are known.
+
+    The best of all parts is this part's or more and ranks only grow, so the bounds are the loosest that can come.
+    What a rule keeps stands above all that it drops: pruning the rest gives what pruning all gives, with the same ranks.
+    """
+    best, rank = scores[0], np.arange(1, len(scores) + 1)
+    may = rank == 1
+    for p in rules:
+        may |= (scores >= p.floor_confident * max(best, p.confident)) & (rank <= p.cap_confident)
+        if best <= p.confident:
+            may |= (scores >= p.floor * max(best, p.usable)) & (rank <= p.cap)
+        if best < p.usable:
+            may |= rank <= p.fallback
+    return may
+
+
 class Postings:
     """Posting lists of the records of one part, in the order of their ids."""
 
@@ -51,8 +68,8 @@ class Postings:
         self.w = w.flatten().to_numpy()[order]
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(self.features)))])
 
-    def best(self, codes: np.ndarray, q: np.ndarray, k: int, digits: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of the k records most similar to one query: score > 0, best first, ties by id."""
+    def best(self, codes: np.ndarray, q: np.ndarray, k: int, digits: int | None, within: tuple[Prune, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the k records most similar to one query: score > 0, best first, ties by id; see :func:`may_be_kept`."""
         cuts = [slice(self.starts[c], self.starts[c + 1]) for c in codes]
         if not cuts:
             return np.zeros(0, np.int64), np.zeros(0)
@@ -72,9 +89,11 @@ class Postings:
             keep &= sums >= np.partition(sums, len(sums) - k)[len(sums) - k]
         places, sums = places[keep], sums[keep]
         order = np.argsort(-sums, kind="stable")[:k]
+        if within and len(order):
+            order = order[may_be_kept(sums[order], within)]
         return places[order], sums[order]
 
-    def search(self, queries: pa.RecordBatch, k: int, digits: int | None) -> pa.RecordBatch:
+    def search(self, queries: pa.RecordBatch, k: int, digits: int | None, within: tuple[Prune, ...] = ()) -> pa.RecordBatch:
         """(s1_id, country, cand_ids, scores) of a batch of packed queries."""
         lists, w = queries.column("fids"), queries.column("ws").flatten().to_numpy()
         codes = pc.index_in(lists.flatten(), value_set=self.features).fill_null(-1).to_numpy()
@@ -82,7 +101,7 @@ class Postings:
         found = []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             known = codes[a:b] >= 0
-            found.append(self.best(codes[a:b][known], w[a:b][known], k, digits))
+            found.append(self.best(codes[a:b][known], w[a:b][known], k, digits, within))
         offsets = pa.array(np.cumsum([0, *(len(x) for x, _ in found)]), pa.int32())
         ids = self.ids.take(pa.array(np.concatenate([x for x, _ in found])))
         scores = pa.array(np.concatenate([x for _, x in found]))
@@ -90,7 +109,7 @@ class Postings:
         return pa.RecordBatch.from_arrays([queries.column("entity_id"), queries.column("country"), *lists], names=["s1_id", "country", "cand_ids", "scores"])
 
 
-def _meet(batches: Iterator[pa.RecordBatch], k: int, digits: int | None) -> Iterator[pa.RecordBatch]:
+def _meet(batches: Iterator[pa.RecordBatch], k: int, digits: int | None, within: tuple[Prune, ...] = ()) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (country, p, r, side, entity_id): a part of the records (side 0) before the queries that meet it."""
     at, held, index = None, [], None
     for batch in batches:
@@ -108,16 +127,17 @@ def _meet(batches: Iterator[pa.RecordBatch], k: int, digits: int | None) -> Iter
             elif held:
                 index = index or Postings(held)
                 for x in range(0, part.num_rows, BATCH):
-                    yield index.search(part.slice(x, BATCH), k, digits)
+                    yield index.search(part.slice(x, BATCH), k, digits, within)
 
 
-def top_k(queries: DataFrame, weights: DataFrame, idf: DataFrame, cfg: Config, part: int = PART) -> DataFrame:
+def top_k(queries: DataFrame, weights: DataFrame, idf: DataFrame, cfg: Config, part: int = PART, within: tuple[Prune, ...] = ()) -> DataFrame:
     """(s1_id, country, cand_id, score, rank): each query's k most similar indexed records, score > 0.
 
     Queries and records of a block are dealt into parts of about ``part`` rows that meet pairwise.  A task sums the
     products of one query at a time over the posting lists of one part of the records, so no product leaves it: the
     shuffles hold each record once for each part of the queries (and the other way round), and each query's k best of
-    each part.  Ties go by cand_id; with ``score_digits`` scores are rounded before they are ranked.
+    each part.  Ties go by cand_id; with ``score_digits`` scores are rounded before they are ranked.  A caller that
+    prunes next names its rules (``within``): what none of them can keep is not shuffled, and ranks count without it.
     """
     asked = stored(of_unit_length(packed(raw_weights(term_counts(queries, cfg), idf))), "asked")
     held = stored(packed(weights), "held")
@@ -130,7 +150,7 @@ def top_k(queries: DataFrame, weights: DataFrame, idf: DataFrame, cfg: Config, p
     asking = asked.join(deal, "country").withColumns({"p": mine("ps"), "side": F.lit(1)}).withColumn("r", every("rs")).select(*columns)
     met = records.unionByName(asking).repartition("country", "p", "r").sortWithinPartitions(*columns[:5])
     k, digits = cfg.k, cfg.score_digits
-    best = met.mapInArrow(lambda batches: _meet(batches, k, digits), "s1_id string, country string, cand_ids array<string>, scores array<double>")
+    best = met.mapInArrow(lambda batches: _meet(batches, k, digits, within), "s1_id string, country string, cand_ids array<string>, scores array<double>")
     rows = best.repartition("s1_id").select("s1_id", "country", F.explode(F.arrays_zip("cand_ids", "scores")).alias("x"))
     ranked = rows.select("s1_id", "country", F.col("x.cand_ids").alias("cand_id"), F.col("x.scores").alias("score")).withColumn("rank", F.row_number().over(best_first()))
     return ranked.where(F.col("rank") <= cfg.k).select("s1_id", "country", "cand_id", "score", "rank")

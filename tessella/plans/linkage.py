@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Config
+from ..config import Config, Prune
 from ..operators import blocking, model, pairs, retrieve, select
 from ..sources import sinks
 from ..sources.scratch import discard, stored
@@ -64,17 +64,18 @@ def split_view(view: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return one.select(*columns), rest.select(*columns), truth
 
 
-def candidates(queries: DataFrame, records: DataFrame, cfg: Config, pruned: bool = True) -> DataFrame:
-    """(s1_id, country, cand_id, score, rank) from viewed queries and records."""
+def candidates(queries: DataFrame, records: DataFrame, cfg: Config, pruned: bool = True, within: tuple[Prune, ...] = ()) -> DataFrame:
+    """(s1_id, country, cand_id, score, rank) from viewed queries and records; ``within``: see :func:`retrieve.top_k`."""
     counts = blocking.term_counts(records, cfg)
     idf = stored(blocking.frequencies(counts, blocking.block_sizes(records), cfg), "idf")  # both sides' weights read it
-    found = retrieve.top_k(queries, blocking.weigh(counts, idf), idf, cfg)
+    found = retrieve.top_k(queries, blocking.weigh(counts, idf), idf, cfg, within=(cfg.prune,) if pruned else within)
     return retrieve.prune(found, cfg.prune) if pruned else found
 
 
-def pair_features(queries: DataFrame, records: DataFrame, cfg: Config) -> DataFrame:
-    """The 42 features of all pruned candidates."""
+def pair_features(queries: DataFrame, records: DataFrame, cfg: Config, truth: DataFrame | None = None) -> DataFrame:
+    """The 42 features of all pruned candidates, with labels by ``truth`` if it is given: they meet the ids, not the features."""
     found = retrieve.context(candidates(queries, records, cfg))
+    found = found if truth is None else model.label_pairs(found, truth)
     idf, total = pairs.name_idf(queries.unionByName(records))
     return pairs.features(found, queries, records, idf, total)
 

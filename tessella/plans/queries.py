@@ -9,13 +9,13 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Config, Rule
+from ..config import Config, Prune, Rule
 from ..functions import similarity
 from ..functions import text as T
 from ..functions.translit import to_ascii
 from ..operators import blocking, metrics, model, pairs, profile, retrieve, select
 from ..sources import sinks, tables
-from ..sources.scratch import scratch_dir, stored
+from ..sources.scratch import discard, scratch_dir, stored
 from . import linkage
 
 #: Blocks of the standard tables are small, so the df cut is wide; features stay strings so that SQL can follow.
@@ -46,12 +46,15 @@ class View:
     def entities(self) -> DataFrame:
         return self.one.select(F.col("entity_id").alias("s1_id"), "country")
 
-    def found(self, cfg: Config = CFG) -> DataFrame:
-        return linkage.candidates(self.q, self.r, cfg, pruned=False)
+    def found(self, cfg: Config = CFG, within: tuple[Prune, ...] = ()) -> DataFrame:
+        return linkage.candidates(self.q, self.r, cfg, pruned=False, within=within)
+
+    def pruned(self) -> DataFrame:
+        return linkage.candidates(self.q, self.r, CFG)
 
     def scored(self) -> DataFrame:
         if self._scored is None:
-            self._scored = stored(linkage.score_as_probability(retrieve.prune(self.found())), "scored")
+            self._scored = stored(linkage.score_as_probability(self.pruned()), "scored")
         return self._scored
 
     def chosen(self) -> DataFrame:
@@ -92,16 +95,16 @@ def topk_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adaptive_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieve.prune(View(spark, sf_dir).found())
+    return View(spark, sf_dir).pruned()
 
 
 def retrieval_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(retrieve.context(retrieve.prune(View(spark, sf_dir).found())), "score_over_best", "gap_best", "gap_next")
+    return _round(retrieve.context(View(spark, sf_dir).pruned()), "score_over_best", "gap_best", "gap_next")
 
 
 def candidate_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = View(spark, sf_dir)
-    return retrieve.candidate_lists(v.one, retrieve.prune(v.found())).select("entity_id", F.array_join("candidate_ids", ",").alias("candidate_ids"))
+    return retrieve.candidate_lists(v.one, v.pruned()).select("entity_id", F.array_join("candidate_ids", ",").alias("candidate_ids"))
 
 
 def name_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,14 +114,14 @@ def name_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def set_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = View(spark, sf_dir)
-    out = pairs.set_features(pairs.attach(retrieve.prune(v.found()).select("s1_id", "cand_id"), v.q, v.r))
+    out = pairs.set_features(pairs.attach(v.pruned().select("s1_id", "cand_id"), v.q, v.r))
     return _round(out, "core_token_jaccard", "addr_token_jaccard", "addr_word_jaccard", "num_jaccard")
 
 
 def soft_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = View(spark, sf_dir)
     idf, total = pairs.name_idf(v.viewed)
-    found = pairs.attach(retrieve.prune(v.found()).select("s1_id", "cand_id"), *pairs.weighted(v.q, v.r, idf, total))
+    found = pairs.attach(v.pruned().select("s1_id", "cand_id"), *pairs.weighted(v.q, v.r, idf, total))
     return _round(pairs.soft_jaccard(found, idf, total), "name_idf_soft_jaccard")
 
 
@@ -129,13 +132,13 @@ def jaro_winkler(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield df[["s1_id", "cand_id", "name_jaro"]]
 
     v = View(spark, sf_dir)
-    named = pairs.attach(retrieve.prune(v.found()).select("s1_id", "cand_id"), v.q, v.r).select("s1_id", "cand_id", "name_1", "name_2")
+    named = pairs.attach(v.pruned().select("s1_id", "cand_id"), v.q, v.r).select("s1_id", "cand_id", "name_1", "name_2")
     return _round(named.mapInPandas(run, "s1_id string, cand_id string, name_jaro double"), "name_jaro")
 
 
 def string_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = View(spark, sf_dir)
-    return pairs.string_features(pairs.attach(retrieve.prune(v.found()).select("s1_id", "cand_id"), v.q, v.r))
+    return pairs.string_features(pairs.attach(v.pruned().select("s1_id", "cand_id"), v.q, v.r))
 
 
 def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,9 +177,8 @@ def recall_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prune_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All settings, on the first 50 and on the first 100 candidates."""
     v = View(spark, sf_dir)
-    found, n = v.found(replace(CFG, k=100)), v.one.count()
-    each = [metrics.prune_sweep(found.where(F.col("rank") <= k), v.truth, n, metrics.SWEEP).withColumn("k", F.lit(k)) for k in (50, 100)]
-    return _round(each[0].unionByName(each[1]), "recall", "mean_candidates")
+    found = v.found(replace(CFG, k=100), metrics.SWEEP)
+    return _round(metrics.prune_sweep(found, v.truth, v.one.count(), metrics.SWEEP, (50, 100)), "recall", "mean_candidates")
 
 
 def score_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,7 +261,7 @@ def validate_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The truth as matches against the retrieved candidates: pairs that were not retrieved break a rule."""
     v = View(spark, sf_dir)
     matches = sinks.pair_list(v.one, v.truth.withColumn("prob", F.lit(1.0)), "matched_entity_ids")
-    found = sinks.pair_list(v.one, retrieve.prune(v.found()), "candidate_entity_ids", order="score")
+    found = sinks.pair_list(v.one, v.pruned(), "candidate_entity_ids", order="score")
     return profile.violations(matches, found, v.one, v.rest)
 
 
@@ -276,10 +278,9 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def linked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trees trained on the truth's pairs, then matches of all records: the whole plan."""
     v = View(spark, sf_dir)
-    features = linkage.pair_features(v.q, v.r, CFG).persist()
-    fitted = model.fit(model.label_pairs(features, v.truth))
-    scored = stored(model.predict(features, fitted), "scored")
-    features.unpersist()
+    features = stored(linkage.pair_features(v.q, v.r, CFG, v.truth), "features")  # each boosting job starts from these rows, not from their plan
+    scored = stored(model.predict(features, model.fit(features)), "scored")
+    discard(features)
     return select.resolve_one_to_one(select.select_matches(scored, CFG.rule))
 
 
@@ -353,13 +354,13 @@ def top_score_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def missed_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = View(spark, sf_dir)
-    return metrics.missed_examples(retrieve.prune(v.found()), v.truth)
+    return metrics.missed_examples(v.pruned(), v.truth)
 
 
 def oracle_by_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Macro F0.5 of a perfect choice among the first 10, 50 and 100 candidates."""
     v = View(spark, sf_dir)
-    found = v.found(replace(CFG, k=100)).join(v.truth.select("s1_id", "cand_id"), ["s1_id", "cand_id"], "left_semi")
+    found = stored(v.found(replace(CFG, k=100)).join(v.truth.select("s1_id", "cand_id"), ["s1_id", "cand_id"], "left_semi"), "found")  # true pairs only, read for each depth
     each = [metrics.macro_f05(v.entities, found.where(F.col("rank") <= k), v.truth).select(F.lit(k).alias("k"), "macro_f05") for k in (10, 50, 100)]
     return _round(each[0].unionByName(each[1]).unionByName(each[2]), "macro_f05")
 

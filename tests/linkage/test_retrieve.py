@@ -1,7 +1,10 @@
 import random
 
-from tessella.config import Config
-from tessella.operators import blocking, retrieve
+import numpy as np
+from pyspark.sql import functions as F
+
+from tessella.config import Config, Prune
+from tessella.operators import blocking, metrics, model, retrieve
 from tessella.operators import pairs as pair_ops
 from tessella.plans import linkage, queries
 
@@ -88,3 +91,53 @@ def test_soft_jaccard_joins_weights_once_for_each_record(spark):
     assert written(spark) - before < 3 * len(want)  # pairs go to each side's views, not to their names' weights
     assert len(got) == len(want) == 2700 and all(abs(x.name_idf_soft_jaccard - want[x.s1_id, x.cand_id]) < 1e-12 for x in got)
     ids.unpersist()
+
+
+def test_what_no_part_keeps_is_never_kept():
+    rng = np.random.default_rng(1)
+    rules = (Prune(), Prune(confident=0.5, usable=0.3, cap_confident=3, cap=5, fallback=1), *metrics.SWEEP)
+    for i in range(200):
+        whole = np.round(np.sort(rng.random(120) * rng.choice([0.1, 0.3, 0.9, 1.0]))[::-1], 2)
+        part = whole[rng.random(120) < rng.random()]
+        for p in rules[i % 2 :]:
+            best, rank = whole[0], np.arange(1, 121)
+            floor, cap = (p.floor_confident, p.cap_confident) if best > p.confident else (p.floor, p.cap)
+            kept = whole[(whole >= floor * best) & (rank <= cap) if best >= p.usable else rank <= p.fallback]
+            held = part[retrieve.may_be_kept(part, (p,))] if len(part) else part
+            assert set(part[part > kept[-1]]) <= set(held) and len(held) <= len(part)
+
+
+def test_pruning_starts_in_the_parts(spark):
+    cfg = Config(k=30, df_frac=1.0, hashed=False, score_digits=6)
+    q, r = records(spark, 60, "S1-", 1), records(spark, 90, "S2-", 2)
+    weights, idf = blocking.build_index(r, cfg)
+    rows = lambda df: sorted(tuple(x) for x in df.collect())
+    for rule in (Prune(), Prune(floor_confident=0.6, floor=0.6, cap_confident=4, cap=6), Prune(usable=20.0, confident=30.0)):
+        for part in (4, 30, 1000):
+            every, some = retrieve.top_k(q, weights, idf, cfg, part), retrieve.top_k(q, weights, idf, cfg, part, (rule,))
+            assert rows(retrieve.prune(some, rule)) == rows(retrieve.prune(every, rule))
+            assert part < 1000 or rule == Prune() or some.count() < every.count()
+
+
+def test_a_sweep_reads_candidates_once(spark):
+    cfg = Config(k=30, df_frac=1.0, hashed=False, score_digits=6)
+    q, r = records(spark, 60, "S1-", 1), records(spark, 90, "S2-", 2)
+    weights, idf = blocking.build_index(r, cfg)
+    found = retrieve.top_k(q, weights, idf, cfg)
+    truth = found.where("rank % 5 = 1").select("s1_id", "cand_id")
+    rules = (*metrics.SWEEP, Prune(cap_confident=20, cap=20))
+    got = metrics.prune_sweep(retrieve.top_k(q, weights, idf, cfg, 30, rules), truth, 60, rules, (8, 30)).collect()
+    want = [x for k in (8, 30) for x in metrics.prune_sweep(found.where(f"rank <= {k}"), truth, 60, rules).withColumn("k", F.lit(k)).collect()]
+    assert sorted(got) == sorted(want) and len({x.kept for x in got}) > 2
+
+
+def test_labels_meet_ids_before_features(spark):
+    cfg = Config(k=10, df_frac=1.0, hashed=False, score_digits=6)
+    q, r = records(spark, 20, "S1-", 1), records(spark, 30, "S2-", 2)
+    plain = linkage.pair_features(q, r, cfg)
+    truth = linkage.candidates(q, r, cfg).where("rank = 1").select("s1_id", "cand_id")
+    labelled = linkage.pair_features(q, r, cfg, truth)
+    assert labelled.columns == [*plain.columns[:3], "label", *plain.columns[3:]]
+    columns = sorted(labelled.columns)
+    rows = lambda df: sorted(tuple(x) for x in df.select(*columns).collect())
+    assert rows(labelled) == rows(model.label_pairs(plain, truth)) and labelled.where("label = 1").count() == 20
