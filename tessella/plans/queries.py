@@ -360,7 +360,7 @@ def missed_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def oracle_by_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Macro F0.5 of a perfect choice among the first 10, 50 and 100 candidates."""
     v = View(spark, sf_dir)
-    found = stored(v.found(replace(CFG, k=100)).join(v.truth.select("s1_id", "cand_id"), ["s1_id", "cand_id"], "left_semi"), "found")  # true pairs only, read for each depth
+    found = stored(v.found(replace(CFG, k=100)).select("s1_id", "cand_id", "rank").join(v.truth.select("s1_id", "cand_id"), ["s1_id", "cand_id"], "left_semi"), "found")  # true pairs only, read for each depth
     each = [metrics.macro_f05(v.entities, found.where(F.col("rank") <= k), v.truth).select(F.lit(k).alias("k"), "macro_f05") for k in (10, 50, 100)]
     return _round(each[0].unionByName(each[1]).unionByName(each[2]), "macro_f05")
 
