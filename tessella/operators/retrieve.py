@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config, Prune
-from ..sources.scratch import stored
+from ..sources.scratch import passing, stored
 from .blocking import raw_weights, term_counts
 
 #: Queries, and records, of one part that a task compares.
@@ -138,19 +138,22 @@ def top_k(queries: DataFrame, weights: DataFrame, idf: DataFrame, cfg: Config, p
     shuffles hold each record once for each part of the queries (and the other way round), and each query's k best of
     each part.  Ties go by cand_id; with ``score_digits`` scores are rounded before they are ranked.  A caller that
     prunes next names its rules (``within``): what none of them can keep is not shuffled, and ranks count without it.
+    The parts' lists are a stored table (see :func:`scratch.passing`); ranking them is left to the result.
     """
-    asked = stored(of_unit_length(packed(raw_weights(term_counts(queries, cfg), idf))), "asked")
-    held = stored(packed(weights), "held")
     parts = lambda df, name: df.groupBy("country").agg(F.ceil(F.count("*") / part).cast("int").alias(name))
-    deal = F.broadcast(parts(asked, "ps").join(parts(held, "rs"), "country"))  # one row for each country
     mine = lambda n: F.pmod(F.xxhash64("entity_id"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ["country", "p", "r", "side", "entity_id", "fids", "ws"]
-    records = held.join(deal, "country").withColumns({"p": every("ps"), "r": mine("rs"), "side": F.lit(0)}).select(*columns)
-    asking = asked.join(deal, "country").withColumns({"p": mine("ps"), "side": F.lit(1)}).withColumn("r", every("rs")).select(*columns)
-    met = records.unionByName(asking).repartition("country", "p", "r").sortWithinPartitions(*columns[:5])
     k, digits = cfg.k, cfg.score_digits
-    best = met.mapInArrow(lambda batches: _meet(batches, k, digits, within), "s1_id string, country string, cand_ids array<string>, scores array<double>")
+    with passing(queries.sparkSession) as keep:
+        asked = stored(of_unit_length(packed(raw_weights(term_counts(queries, cfg), idf))), "asked")
+        held = stored(packed(weights), "held")
+        deal = F.broadcast(parts(asked, "ps").join(parts(held, "rs"), "country"))  # one row for each country
+        records = held.join(deal, "country").withColumns({"p": every("ps"), "r": mine("rs"), "side": F.lit(0)}).select(*columns)
+        asking = asked.join(deal, "country").withColumns({"p": mine("ps"), "side": F.lit(1)}).withColumn("r", every("rs")).select(*columns)
+        met = records.unionByName(asking).repartition("country", "p", "r").sortWithinPartitions(*columns[:5])
+        best = met.mapInArrow(lambda batches: _meet(batches, k, digits, within), "s1_id string, country string, cand_ids array<string>, scores array<double>")
+        best = keep(stored(best, "best"))  # weights and their shuffles go before the lists are ranked
     rows = best.repartition("s1_id").select("s1_id", "country", F.explode(F.arrays_zip("cand_ids", "scores")).alias("x"))
     ranked = rows.select("s1_id", "country", F.col("x.cand_ids").alias("cand_id"), F.col("x.scores").alias("score")).withColumn("rank", F.row_number().over(best_first()))
     return ranked.where(F.col("rank") <= cfg.k).select("s1_id", "country", "cand_id", "score", "rank")

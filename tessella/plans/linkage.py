@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import Config, Prune
 from ..operators import blocking, model, pairs, retrieve, select
 from ..sources import sinks
-from ..sources.scratch import discard, stored
+from ..sources.scratch import discard, passing, stored
 
 #: Texts that are Python objects at once.
 SLICE = 256
@@ -67,15 +67,17 @@ def split_view(view: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def candidates(queries: DataFrame, records: DataFrame, cfg: Config, pruned: bool = True, within: tuple[Prune, ...] = ()) -> DataFrame:
     """(s1_id, country, cand_id, score, rank) from viewed queries and records; ``within``: see :func:`retrieve.top_k`."""
     counts = blocking.term_counts(records, cfg)
-    idf = stored(blocking.frequencies(counts, blocking.block_sizes(records), cfg), "idf")  # both sides' weights read it
+    idf = stored(blocking.frequencies(counts, blocking.block_sizes(records), cfg), "idf")  # both sides' weights read it, the result does not
     found = retrieve.top_k(queries, blocking.weigh(counts, idf), idf, cfg, within=(cfg.prune,) if pruned else within)
+    discard(idf)
     return retrieve.prune(found, cfg.prune) if pruned else found
 
 
 def pair_features(queries: DataFrame, records: DataFrame, cfg: Config, truth: DataFrame | None = None) -> DataFrame:
     """The 42 features of all pruned candidates, with labels by ``truth`` if it is given: they meet the ids, not the features."""
-    found = retrieve.context(candidates(queries, records, cfg))
-    found = found if truth is None else model.label_pairs(found, truth)
+    with passing(queries.sparkSession) as keep:
+        found = retrieve.context(candidates(queries, records, cfg))
+        found = keep(stored(found if truth is None else model.label_pairs(found, truth), "context"))  # what retrieval wrote goes before texts are shuffled
     idf, total = pairs.name_idf(queries.unionByName(records))
     return pairs.features(found, queries, records, idf, total)
 
@@ -101,10 +103,10 @@ def link_corpus(queries: DataFrame, records: DataFrame, score, cfg: Config, path
     spark, place = queries.sparkSession, f"{path}/pairs"
     todo = sinks.pending(records.select(F.coalesce("country", F.lit("")).alias("country")).distinct(), place)
     for country in sorted(r["country"] for r in todo.collect()):
-        q, r = (stored(blocking.views(df.where(F.coalesce("country", F.lit("")) == country)), "views") for df in (queries, records))
-        sinks.write_checkpoint(score(q, r).select("s1_id", "cand_id", "prob", "country"), place)
+        with passing(spark):  # what a country stores goes before the next one begins
+            q, r = (stored(blocking.views(df.where(F.coalesce("country", F.lit("")) == country)), "views") for df in (queries, records))
+            sinks.write_checkpoint(score(q, r).select("s1_id", "cand_id", "prob", "country"), place)
         sinks.mark_done(spark.createDataFrame([(country,)], "country string"), place)
-        discard(q, r)
     schema = "s1_id string, cand_id string, prob double, country string"
     scored = spark.read.schema(schema).parquet(place)
     return scored, select.resolve_one_to_one(select.select_matches(scored, cfg.rule, by_country))

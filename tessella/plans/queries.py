@@ -15,7 +15,7 @@ from ..functions import text as T
 from ..functions.translit import to_ascii
 from ..operators import blocking, metrics, model, pairs, profile, retrieve, select
 from ..sources import sinks, tables
-from ..sources.scratch import discard, scratch_dir, stored
+from ..sources.scratch import discard, passing, scratch_dir, stored
 from . import linkage
 
 #: Blocks of the standard tables are small, so the df cut is wide; features stay strings so that SQL can follow.
@@ -54,7 +54,8 @@ class View:
 
     def scored(self) -> DataFrame:
         if self._scored is None:
-            self._scored = stored(linkage.score_as_probability(self.pruned()), "scored")
+            with passing(self.all.sparkSession) as keep:  # retrieval's own tables go
+                self._scored = keep(stored(linkage.score_as_probability(self.pruned()), "scored"))
         return self._scored
 
     def chosen(self) -> DataFrame:

@@ -41,17 +41,36 @@ def scratch_dir(spark: SparkSession) -> str:
     return path
 
 
+#: With it Spark deletes a job's shuffle files when the job ends, else when the driver happens to collect its garbage.
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """Jobs that write inside leave no shuffle files behind."""
+    before = spark.conf.get(_SHUFFLES_GO, None)
+    spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLES_GO)
+        else:
+            spark.conf.set(_SHUFFLES_GO, before)
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     This cuts the lineage, keeps no executor-local state, and gives later steps a
-    table with statistics and column pruning.
+    table with statistics and column pruning.  The shuffle files of the write go with it.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if _OPEN:
         _OPEN[-1].append(path)
-    df.write.parquet(path)
+    with without_shuffle_files(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
@@ -70,7 +89,10 @@ def discard(*tables: DataFrame) -> None:
 
 @contextmanager
 def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """Tables that :func:`stored` writes inside are deleted at the end, but for those given to what this yields."""
+    """Tables that :func:`stored` writes inside are deleted at the end, but for those given to what this yields.
+
+    Those belong to the surrounding ``passing``, if there is one.
+    """
     paths: list[str] = []
     kept: set[str] = set()
 
@@ -82,7 +104,9 @@ def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     try:
         yield keep
     finally:
-        _OPEN.remove(paths)
+        _OPEN.pop()
         for path in paths:
             if path not in kept:
                 _delete(spark, path)
+            elif _OPEN:
+                _OPEN[-1].append(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import without_shuffle_files
+
 
 def pair_list(s1: DataFrame, pairs: DataFrame, list_col: str, order: str = "prob") -> DataFrame:
     """(source1_entity_id, list_col): one row for each record of source 1, ids comma-joined best first, each once."""
@@ -16,7 +18,8 @@ def pair_list(s1: DataFrame, pairs: DataFrame, list_col: str, order: str = "prob
 
 def write_tsv(df: DataFrame, path: str) -> None:
     """Tab-separated with a header; empty fields print as nothing.  Files appear when the job commits."""
-    df.write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", quote='"', escape='"')
+    with without_shuffle_files(df.sparkSession):
+        df.write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", quote='"', escape='"')
 
 
 def write_empty(s1: DataFrame, matches: str, candidates: str) -> None:
@@ -27,7 +30,8 @@ def write_empty(s1: DataFrame, matches: str, candidates: str) -> None:
 
 def write_checkpoint(scored: DataFrame, path: str) -> None:
     """Scored pairs by country; only the countries written are replaced, so a run can resume."""
-    scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("country").parquet(path)
+    with without_shuffle_files(scored.sparkSession):
+        scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("country").parquet(path)
 
 
 def mark_done(countries: DataFrame, path: str) -> None:
