@@ -37,7 +37,7 @@ def test_kept_tables_belong_to_the_surrounding_step(spark):
     assert Path(a._scratch).name not in tables_of(spark) and c.count() == 5
 
 
-@pytest.mark.parametrize("name", ["resolver_report", "weighted_f05", "macro_f05", "baselines", "country_rules", "retrieval_context", "missed_examples", "resolve_one_to_one", "pseudo_labels", "missed_by_country", "rank_histogram", "country_thresholds", "hashed_topk", "pair_features"])
+@pytest.mark.parametrize("name", ["resolver_report", "weighted_f05", "macro_f05", "baselines", "country_rules", "retrieval_context", "missed_examples", "resolve_one_to_one", "pseudo_labels", "missed_by_country", "rank_histogram", "country_thresholds", "hashed_topk", "pair_features", "assembled_files"])
 def test_what_retrieval_stores_goes_before_its_results_are_read(spark, sf, name):
     before = tables_of(spark)
     df = queries.QUERIES[name](spark, sf)
