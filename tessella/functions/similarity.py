@@ -152,15 +152,29 @@ LONGEST = 512
 MASK_BYTES = 32 << 20
 
 
+def _points(strings: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+class Alphabet:
+    """The characters of some strings, numbered from 1 through a table of all code points up to the largest."""
+
+    def __init__(self, *strings: list[str]):
+        found = [np.bincount(_points(x)) for x in strings]
+        seen = np.zeros(max(map(len, found)), bool)
+        for x in found:
+            seen[: len(x)] |= x > 0
+        self.number = np.cumsum(seen, dtype=np.int32)
+        self.size = int(self.number[-1]) if len(seen) else 0
+
+
 class Codes:
     """Strings as rows of character numbers (0 behind a string's end)."""
 
-    def __init__(self, strings: list[str], alphabet: np.ndarray | None = None):
+    def __init__(self, strings: list[str], alphabet: Alphabet):
         self.length = np.fromiter(map(len, strings), np.int64, len(strings))
-        points = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32)
-        self.alphabet = np.unique(points) if alphabet is None else alphabet
         self.rows = np.zeros((len(strings), int(self.length.max(initial=0)) + 1), np.int32)
-        self.rows[np.arange(self.rows.shape[1]) < self.length[:, None]] = np.searchsorted(self.alphabet, points) + 1
+        self.rows[np.arange(self.rows.shape[1]) < self.length[:, None]] = alphabet.number[_points(strings)]
 
 
 def _masks(rows: np.ndarray, length: np.ndarray, letters: int) -> np.ndarray:
@@ -173,6 +187,12 @@ def _masks(rows: np.ndarray, length: np.ndarray, letters: int) -> np.ndarray:
     return out
 
 
+def _flat(masks: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The masks as one list, and by place in the other strings which of them each pair's letter has."""
+    pairs, letters, words = masks.shape
+    return masks.reshape(pairs * letters, words), np.ascontiguousarray((rows + np.arange(0, pairs * letters, letters)[:, None]).T)
+
+
 def _step(v: np.ndarray, m: np.ndarray) -> np.ndarray:
     """One letter of the other string: the bits of ``v`` that stay are pattern places without a partner."""
     u = v & m
@@ -191,6 +211,11 @@ def _found(v: np.ndarray, length: np.ndarray) -> np.ndarray:
     return v.shape[1] * 64 - np.bitwise_count(v).sum(1, dtype=np.int64)
 
 
+def _heads(length: np.ndarray, turns: int) -> list[int]:
+    """How many of the lengths, longest first, are above each turn."""
+    return np.searchsorted(-length, -np.arange(turns), "left").tolist()
+
+
 def _by_chunks(length: np.ndarray, letters: int):
     """Slices of pairs whose masks fit MASK_BYTES."""
     words = max(1, -(-int(length.max(initial=0)) // 64))
@@ -212,16 +237,15 @@ def lcs_many(a: list[str], b: list[str]) -> np.ndarray:
     own = own[np.lexsort((-np.fromiter((len(long[i]) for i in own), np.int64, len(own)), -(-size[own] // 64)))]
     for words in np.unique(-(-size[own] // 64)):
         part = own[-(-size[own] // 64) == words]
-        x = Codes([short[i] for i in part])
-        y_rows = Codes([long[i] for i in part], np.unique(np.concatenate([x.alphabet, np.frombuffer("".join(long[i] for i in part).encode("utf-32-le", "surrogatepass"), np.uint32)])))
-        x = Codes([short[i] for i in part], y_rows.alphabet)
-        for s in _by_chunks(x.length, len(x.alphabet)):
-            masks, rows, length = _masks(x.rows[s], x.length[s], len(x.alphabet)), y_rows.rows[s], y_rows.length[s]
-            v = np.full((len(rows), masks.shape[2]), ~np.uint64(0))
-            at = np.arange(len(rows))
-            for j in range(int(length.max(initial=0))):
-                k = int(np.searchsorted(-length, -j, "left"))
-                v[:k] = _step(v[:k], masks[at[:k], rows[:k, j]])
+        left, right = [short[i] for i in part], [long[i] for i in part]
+        alphabet = Alphabet(left, right)
+        x, y = Codes(left, alphabet), Codes(right, alphabet)
+        for s in _by_chunks(x.length, alphabet.size):
+            masks, length = _masks(x.rows[s], x.length[s], alphabet.size), y.length[s]
+            v = np.full((len(length), masks.shape[2]), ~np.uint64(0))
+            flat, letters = _flat(masks, y.rows[s])
+            for j, k in enumerate(_heads(length, int(length.max(initial=0)))):
+                v[:k] = _step(v[:k], flat[letters[j, :k]])
             out[part[s]] = _found(v, x.length[s])
     return out
 
@@ -255,18 +279,18 @@ def partial_many(a: list[str], b: list[str]) -> np.ndarray:
     for words in sorted({w[0] for w in work}):
         part = [w for w in work if w[0] == words]
         where, short, long = np.array([w[2] for w in part]), [w[3] for w in part], [w[4] for w in part]
-        alphabet = np.unique(np.frombuffer("".join(short + long).encode("utf-32-le", "surrogatepass"), np.uint32))
+        alphabet = Alphabet(short, long)
         best = np.zeros(len(part))
         for reverse in (False, True):
             x = Codes([s[::-1] for s in short] if reverse else short, alphabet)
             y = Codes([s[::-1] for s in long] if reverse else long, alphabet)
-            for s in _by_chunks(x.length, len(alphabet)):
-                masks, n, rows = _masks(x.rows[s], x.length[s], len(alphabet)), x.length[s], y.rows[s]
+            for s in _by_chunks(x.length, alphabet.size):
+                masks, n, rows = _masks(x.rows[s], x.length[s], alphabet.size), x.length[s], y.rows[s]
                 v = np.full((len(n), masks.shape[2]), ~np.uint64(0))
-                at, own = np.arange(len(n)), best[s]
-                for j in range(int(n.max(initial=0)) - 1):
-                    k = int(np.searchsorted(-n, -(j + 1), "left"))  # heads are shorter than the pattern
-                    v[:k] = _step(v[:k], masks[at[:k], rows[:k, j]])
+                own = best[s]
+                flat, letters = _flat(masks, rows)
+                for j, k in enumerate(_heads(n, int(n.max(initial=0)))[1:]):  # heads are shorter than the pattern
+                    v[:k] = _step(v[:k], flat[letters[j, :k]])
                     own[:k] = np.maximum(own[:k], 200.0 * _found(v[:k], n[:k]) / (n[:k] + j + 1))
                 if not reverse:
                     _windows(masks, rows, n, y.length[s], own)
@@ -278,15 +302,16 @@ def partial_many(a: list[str], b: list[str]) -> np.ndarray:
 def _windows(masks: np.ndarray, rows: np.ndarray, n: np.ndarray, m: np.ndarray, best: np.ndarray, size: int = 1 << 16) -> None:
     """Raise ``best`` to the best whole window of each pair; pairs come with the longest pattern first."""
     count = m - n + 1
+    flat, letters = masks.reshape(-1, masks.shape[2]), rows.ravel()
     pair = np.repeat(np.arange(len(n)), count)
     start = np.arange(len(pair)) - np.repeat(np.cumsum(count) - count, count)
     for begin in range(0, len(pair), size):
         p, at = pair[begin : begin + size], start[begin : begin + size]
         v = np.full((len(p), masks.shape[2]), ~np.uint64(0))
         length = n[p]
-        for j in range(int(length.max(initial=0))):
-            k = int(np.searchsorted(-length, -j, "left"))
-            v[:k] = _step(v[:k], masks[p[:k], rows[p[:k], at[:k] + j]])
+        place, first = p * rows.shape[1] + at, p * masks.shape[1]
+        for j, k in enumerate(_heads(length, int(length.max(initial=0)))):
+            v[:k] = _step(v[:k], flat[first[:k] + letters[place[:k] + j]])
         np.maximum.at(best, p, 100.0 * _found(v, length) / length)
 
 
@@ -302,7 +327,7 @@ def jaro_winkler_many(a: list[str], b: list[str], size: int = 1 << 21) -> np.nda
         at += len(part)
         x = [a[i] for i in part]
         y = [b[i] for i in part]
-        alphabet = np.unique(np.frombuffer("".join(x + y).encode("utf-32-le", "surrogatepass"), np.uint32))
+        alphabet = Alphabet(x, y)
         p, q = Codes(x, alphabet), Codes(y, alphabet)
         reach = np.maximum(0, np.maximum(p.length, q.length) // 2 - 1)
         taken, used = np.zeros(q.rows.shape, bool), np.zeros(p.rows.shape, bool)

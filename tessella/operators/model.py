@@ -6,7 +6,7 @@ import json
 from dataclasses import asdict, dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import Rule
 from ..sources.tables import in_split
+from . import boost
 from .pairs import FEATURES
 from .select import RULES
 
@@ -80,6 +81,14 @@ def validation(s1_id: Column, percent: int = 20) -> Column:
     return in_split(s1_id, percent)
 
 
+def _models(labelled: DataFrame, held: Column, trees: Trees, names: tuple[str, ...], rounds: list[int]) -> list[GBTClassificationModel]:
+    missing = [n for n in names if n not in labelled.columns]
+    if missing:
+        raise ValueError(f"features missing: {missing}")
+    rows = labelled.select(*names, F.xxhash64("s1_id", "cand_id").alias("key"), "label", held.alias("held"))
+    return boost.train(rows, names, [boost.Settings(n, trees.depth, trees.step, trees.least_per_node, trees.rows, float(trees.features), seed) for seed, n in zip(trees.seeds, rounds, strict=True)])
+
+
 def fit(labelled: DataFrame, trees: Trees = Trees(), names: tuple[str, ...] = FEATURES, percent: int = 20) -> list[GBTClassificationModel]:
     """One model for each seed; a fifth of the entities (never single pairs) stops the boosting early.
 
@@ -88,22 +97,12 @@ def fit(labelled: DataFrame, trees: Trees = Trees(), names: tuple[str, ...] = FE
     held = validation(F.col("s1_id"), percent)
     if "pseudo" in labelled.columns:
         held = held & ~F.col("pseudo")
-    data = assemble(labelled, names).withColumn("validation", held).select("vector", "label", "validation")
-    make = lambda seed: GBTClassifier(
-        featuresCol="vector", labelCol="label", validationIndicatorCol="validation", maxIter=trees.rounds, maxDepth=trees.depth, stepSize=trees.step,
-        minInstancesPerNode=trees.least_per_node, subsamplingRate=trees.rows, featureSubsetStrategy=trees.features, seed=seed, cacheNodeIds=True,
-    )
-    return [make(seed).fit(data) for seed in trees.seeds]
+    return _models(labelled, held, trees, names, [trees.rounds] * len(trees.seeds))
 
 
 def refit(labelled: DataFrame, models: list[GBTClassificationModel], trees: Trees = Trees(), names: tuple[str, ...] = FEATURES) -> list[GBTClassificationModel]:
     """Models on all entities, with a tenth more rounds than the stopped ones had (``least_rounds`` at least)."""
-    data = assemble(labelled, names).select("vector", "label")
-    out = []
-    for seed, model in zip(trees.seeds, models, strict=True):
-        rounds = max(trees.least_rounds, int(1.1 * model.getNumTrees))
-        out.append(GBTClassifier(featuresCol="vector", labelCol="label", maxIter=rounds, maxDepth=trees.depth, stepSize=trees.step, minInstancesPerNode=trees.least_per_node, subsamplingRate=trees.rows, featureSubsetStrategy=trees.features, seed=seed, cacheNodeIds=True).fit(data))
-    return out
+    return _models(labelled, F.lit(False), trees, names, [max(trees.least_rounds, int(1.1 * m.getNumTrees)) for m in models])
 
 
 def predict(features: DataFrame, models: list[GBTClassificationModel], names: tuple[str, ...] = FEATURES, digits: int = 6) -> DataFrame:

@@ -76,7 +76,7 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return out
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -84,7 +84,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 def discard(*tables: DataFrame) -> None:
     """Delete tables of :func:`stored` that no later step reads."""
     for df in tables:
-        _delete(df.sparkSession, df._scratch)
+        delete(df.sparkSession, df._scratch)
 
 
 @contextmanager
@@ -107,6 +107,6 @@ def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
         _OPEN.pop()
         for path in paths:
             if path not in kept:
-                _delete(spark, path)
+                delete(spark, path)
             elif _OPEN:
                 _OPEN[-1].append(path)
