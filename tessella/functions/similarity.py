@@ -180,10 +180,13 @@ class Codes:
 def _masks(rows: np.ndarray, length: np.ndarray, letters: int) -> np.ndarray:
     """Bit i of [pair, letter] tells whether the pair's pattern has the letter at place i."""
     longest = int(length.max(initial=0))
-    out = np.zeros((len(rows), letters + 1, max(1, -(-longest // 64))), np.uint64)
+    words = max(1, -(-longest // 64))
+    out = np.zeros((len(rows) * (letters + 1), words), np.uint64)
+    places = np.ascontiguousarray((rows[:, :longest] + np.arange(0, len(out), letters + 1)[:, None]).T)
     for i in range(longest):
-        own = np.flatnonzero(length > i)
-        out[own, rows[own, i], i // 64] |= np.uint64(1 << i % 64)
+        out[places[i], i // 64] |= np.uint64(1 << i % 64)
+    out = out.reshape(len(rows), letters + 1, words)
+    out[:, 0] = 0  # no letter: behind the end
     return out
 
 
@@ -260,19 +263,24 @@ def ratio_many(a: list[str], b: list[str]) -> np.ndarray:
 
 
 def partial_many(a: list[str], b: list[str]) -> np.ndarray:
-    """:func:`partial_ratio` of each pair.
+    """:func:`partial_ratio` of each pair."""
+    return partial_and_lcs(a, b)[0]
 
-    The windows cut at the longer string's ends are its heads and tails: one pass each gives them all.  Whole
-    windows are compared side by side.
+
+def partial_and_lcs(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`partial_ratio` and :func:`lcs` of each pair.
+
+    The windows cut at the longer string's ends are its heads and tails: one pass each gives them all, and the one
+    over the heads ends with the whole string.  Whole windows are compared side by side.
     """
-    out = np.zeros(len(a))
+    out, whole = np.zeros(len(a)), np.zeros(len(a), np.int64)
     work = []
     for i, (x, y) in enumerate(zip(a, b, strict=True)):
         x, y = (x, y) if len(x) <= len(y) else (y, x)
         if x in y:
-            out[i] = 100.0 if x or not y else 0.0
+            out[i], whole[i] = 100.0 if x or not y else 0.0, len(x)
         elif len(x) > LONGEST:
-            out[i] = partial_ratio(x, y)
+            out[i], whole[i] = partial_ratio(x, y), lcs(x, y)
         elif x:
             work.append((-(-len(x) // 64), -len(x), i, x, y))
     work.sort(key=lambda w: w[:3])
@@ -289,14 +297,22 @@ def partial_many(a: list[str], b: list[str]) -> np.ndarray:
                 v = np.full((len(n), masks.shape[2]), ~np.uint64(0))
                 own = best[s]
                 flat, letters = _flat(masks, rows)
-                for j, k in enumerate(_heads(n, int(n.max(initial=0)))[1:]):  # heads are shorter than the pattern
-                    v[:k] = _step(v[:k], flat[letters[j, :k]])
+                heads = _heads(n, int(n.max(initial=0)))[1:]  # heads are shorter than the pattern
+                m, alive = y.length[s], slice(None)
+                for j in range(len(heads) if reverse else int(m.max(initial=0))):
+                    k = heads[j] if j < len(heads) else 0
+                    if reverse:
+                        alive = slice(k)
+                    elif j % 8 == 0 and (m <= j).any():
+                        alive = np.flatnonzero(m > j)
+                    v[alive] = _step(v[alive], flat[letters[j, alive]])
                     own[:k] = np.maximum(own[:k], 200.0 * _found(v[:k], n[:k]) / (n[:k] + j + 1))
                 if not reverse:
-                    _windows(masks, rows, n, y.length[s], own)
+                    whole[where[s]] = _found(v, n)
+                    _windows(masks, rows, n, m, own)
                 best[s] = own
         out[where] = best
-    return out
+    return out, whole
 
 
 def _windows(masks: np.ndarray, rows: np.ndarray, n: np.ndarray, m: np.ndarray, best: np.ndarray, size: int = 1 << 16) -> None:
@@ -361,9 +377,10 @@ def _sorted(strings: list[str]) -> list[str]:
 
 
 def token_set_many(a: list[str], b: list[str]) -> np.ndarray:
+    """:func:`token_set_ratio` of each pair; of the shared words and what follows them only the latter is compared."""
     out = np.zeros(len(a))
     known: dict[str, frozenset[str]] = {}
-    left, right, owner = [], [], []
+    left, right, owner, shared = [], [], [], []
     for i, (s, t) in enumerate(zip(a, b, strict=True)):
         x = known.get(s) if s in known else known.setdefault(s, frozenset(s.split()))
         y = known.get(t) if t in known else known.setdefault(t, frozenset(t.split()))
@@ -373,19 +390,27 @@ def token_set_many(a: list[str], b: list[str]) -> np.ndarray:
         if both and (len(both) == len(x) or len(both) == len(y)):
             out[i] = 100.0
             continue
-        common = " ".join(sorted(both))
-        one, two = (f"{common} {' '.join(sorted(z - both))}".strip() for z in (x, y))
-        pairs = [(one, two), (common, one), (common, two)] if both else [(one, two)]
-        left += [p[0] for p in pairs]
-        right += [p[1] for p in pairs]
-        owner += [i] * len(pairs)
-    np.maximum.at(out, owner, ratio_many(left, right))
+        left.append(" ".join(sorted(x - both)))
+        right.append(" ".join(sorted(y - both)))
+        owner.append(i)
+        shared.append(sum(map(len, both)) + len(both))  # with a space behind each word
+    common = np.array(shared, np.int64)
+    one, two = (common + np.fromiter(map(len, side), np.int64, len(side)) for side in (left, right))
+    best = 200.0 * (common + lcs_many(left, right)) / (one + two)
+    head = np.maximum(common - 1, 0)  # the shared words by themselves, a head of both sides
+    out[owner] = np.where(common > 0, np.maximum(best, np.maximum(200.0 * head / (head + one), 200.0 * head / (head + two))), best)
     return out
 
 
+def ratio_and_partial(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    part, found = partial_and_lcs(a, b)
+    n = np.fromiter((len(x) + len(y) for x, y in zip(a, b, strict=True)), np.float64, len(a))
+    return np.where(n > 0, 200.0 * found / np.maximum(n, 1), 100.0), part
+
+
 def five_many(a: list[str], b: list[str], weighted: bool = True) -> list[np.ndarray]:
     """ratio, token_sort, token_set, partial and (if wanted) weighted ratio of each pair."""
-    whole, in_order, sets, part = ratio_many(a, b), ratio_many(_sorted(a), _sorted(b)), token_set_many(a, b), partial_many(a, b)
+    (whole, part), in_order, sets = ratio_and_partial(a, b), ratio_many(_sorted(a), _sorted(b)), token_set_many(a, b)
     if not weighted:
         return [whole, in_order, sets, part]
     low = np.fromiter((min(len(x), len(y)) for x, y in zip(a, b, strict=True)), np.float64, len(a))
@@ -427,7 +452,7 @@ def similarities(*sides: pd.Series) -> pd.DataFrame:
     done = {f"{side}_{c}": out[c][s] for side, s in (("name", slice(0, n)), ("core", slice(n, 2 * n))) for c in six}
     each(skel, six[:4], lambda a, b: [x / 100 for x in five_many(a, b, weighted=False)])
     done |= {f"skel_{c}": out[c] for c in six[:4]}
-    each(addr, ["ratio", "token_set", "partial"], lambda a, b: [ratio_many(a, b) / 100, token_set_many(a, b) / 100, partial_many(a, b) / 100])
+    each(addr, ["ratio", "partial", "token_set"], lambda a, b: [x / 100 for x in (*ratio_and_partial(a, b), token_set_many(a, b))])
     done |= {f"addr_{c}": out[c] for c in ("ratio", "token_set", "partial")}
     for side, pairs in (("core", core), ("skel", skel)):
         squeezed = [(p[0].replace(" ", ""), p[1].replace(" ", "")) for p in pairs]

@@ -74,3 +74,13 @@ def test_columns_equal_scalars():
         want = [*six(name), *six(core), S.ratio(*map(squeezed, core)) / 100, *(f(*skel) / 100 for f in S.FIVE[:4]), S.ratio(*map(squeezed, skel)) / 100]
         want += [S.ratio(*addr) / 100, S.token_set_ratio(*addr) / 100, S.partial_ratio(*addr) / 100]
         assert got.iloc[i].tolist() == pytest.approx(want, abs=1e-6)
+
+
+def test_one_pass_gives_partial_and_whole_and_shared_words_are_not_compared():
+    rng = random.Random(23)
+    text = lambda: " ".join("".join(rng.choice("abcdé東") for _ in range(rng.randint(1, 9))) if rng.random() < 0.7 else rng.choice(("to", "be")) for _ in range(rng.choice((0, 1, 4, 12, 30))))
+    a, b = [text() for _ in range(300)], [text() for _ in range(300)]
+    part, whole = S.partial_and_lcs(a, b)
+    assert whole.tolist() == [S.lcs(x, y) for x, y in zip(a, b, strict=True)]
+    assert part.tolist() == pytest.approx([S.partial_ratio(x, y) for x, y in zip(a, b, strict=True)])
+    assert S.token_set_many(a, b).tolist() == pytest.approx([S.token_set_ratio(x, y) for x, y in zip(a, b, strict=True)])
