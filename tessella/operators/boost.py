@@ -307,6 +307,11 @@ def _loaded(spark: SparkSession, trees: list[np.ndarray], cuts: list[np.ndarray]
     return model
 
 
+def at_once(spark: SparkSession) -> bool:
+    """Whether the cluster can run a barrier stage; with dynamic allocation Spark refuses them."""
+    return spark.sparkContext.getConf().get("spark.dynamicAllocation.enabled", "false").lower() != "true"
+
+
 def train(rows: DataFrame, names: tuple[str, ...], each: list[Settings]) -> list[GBTClassificationModel]:
     """One model for each of the settings from rows with ``key`` (long, the row's place in all samples), ``label`` (0 or 1), ``held`` and features.
 

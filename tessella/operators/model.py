@@ -6,7 +6,7 @@ import json
 from dataclasses import asdict, dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,11 +81,18 @@ def validation(s1_id: Column, percent: int = 20) -> Column:
     return in_split(s1_id, percent)
 
 
-def _models(labelled: DataFrame, held: Column, trees: Trees, names: tuple[str, ...], rounds: list[int]) -> list[GBTClassificationModel]:
+def _models(labelled: DataFrame, held: Column | None, trees: Trees, names: tuple[str, ...], rounds: list[int]) -> list[GBTClassificationModel]:
     missing = [n for n in names if n not in labelled.columns]
     if missing:
         raise ValueError(f"features missing: {missing}")
-    rows = labelled.select(*names, F.xxhash64("s1_id", "cand_id").alias("key"), "label", held.alias("held"))
+    if not boost.at_once(labelled.sparkSession):
+        data = assemble(labelled, names).withColumn("validation", F.lit(False) if held is None else held).select("vector", "label", "validation")
+        make = lambda seed, n: GBTClassifier(
+            featuresCol="vector", labelCol="label", maxIter=n, maxDepth=trees.depth, stepSize=trees.step, minInstancesPerNode=trees.least_per_node,
+            subsamplingRate=trees.rows, featureSubsetStrategy=trees.features, seed=seed, cacheNodeIds=True, **({} if held is None else {"validationIndicatorCol": "validation"}),
+        )
+        return [make(seed, n).fit(data) for seed, n in zip(trees.seeds, rounds, strict=True)]
+    rows = labelled.select(*names, F.xxhash64("s1_id", "cand_id").alias("key"), "label", (F.lit(False) if held is None else held).alias("held"))
     return boost.train(rows, names, [boost.Settings(n, trees.depth, trees.step, trees.least_per_node, trees.rows, float(trees.features), seed) for seed, n in zip(trees.seeds, rounds, strict=True)])
 
 
@@ -102,7 +109,7 @@ def fit(labelled: DataFrame, trees: Trees = Trees(), names: tuple[str, ...] = FE
 
 def refit(labelled: DataFrame, models: list[GBTClassificationModel], trees: Trees = Trees(), names: tuple[str, ...] = FEATURES) -> list[GBTClassificationModel]:
     """Models on all entities, with a tenth more rounds than the stopped ones had (``least_rounds`` at least)."""
-    return _models(labelled, F.lit(False), trees, names, [max(trees.least_rounds, int(1.1 * m.getNumTrees)) for m in models])
+    return _models(labelled, None, trees, names, [max(trees.least_rounds, int(1.1 * m.getNumTrees)) for m in models])
 
 
 def predict(features: DataFrame, models: list[GBTClassificationModel], names: tuple[str, ...] = FEATURES, digits: int = 6) -> DataFrame:

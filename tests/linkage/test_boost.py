@@ -76,3 +76,11 @@ def test_pairs_of_features_are_told_apart():
         for f in range(6):
             want[k, f, padded[f, r]] += (1, target[r])
     assert (got == want).all()
+
+
+def test_where_barriers_are_refused_spark_trains(spark, labelled, monkeypatch):
+    assert boost.at_once(spark)
+    monkeypatch.setattr(boost, "at_once", lambda spark: False)
+    trees = model.Trees(rounds=3, depth=2, least_per_node=5, least_rounds=2)
+    fitted = model.fit(labelled, trees, NAMES)
+    assert model.refit(labelled, fitted, trees, NAMES)[0].getNumTrees >= 2
